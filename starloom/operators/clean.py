@@ -57,9 +57,10 @@ def one_per_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
-def union_distinct(column: str, *parts: Column) -> Column:
-    """Not null distinct values of several columns: explode this, then ``distinct``.
+def distinct_values(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+    """Distinct values, null left out, found in any of ``columns`` (all of one type).
 
-    One scan of the input instead of one per column.
+    One scan for all columns together; each task removes its own repeats before the shuffle.
     """
-    return F.explode(F.array_compact(F.array_distinct(F.array(*parts)))).alias(column)
+    values = df.select(F.explode(F.array(*[F.col(f"`{c}`") for c in columns])).alias(name))
+    return values.where(F.col(name).isNotNull()).distinct()

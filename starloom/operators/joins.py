@@ -16,10 +16,10 @@ NULL_KEY_SPREAD = 1024
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's upper estimate of the frame's size; None where the session does not tell."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except AttributeError:
+    plan = getattr(df, "_jdf", None)  # absent in a remote session
+    if plan is None:
         return None
+    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:

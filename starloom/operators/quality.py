@@ -58,31 +58,34 @@ def unique(df: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
     return extra.select(*_row(table, name, F.col("n_duplicates"), F.col("n_duplicates") == 0))
 
 
-def _column_counts(
-    df: DataFrame, table: str, label: str, conditions: Mapping[str, Column]
-) -> DataFrame:
-    """One pass over the table; one report row per condition that must hold for no row."""
-    wide = df.agg(*[F.count_if(bad).alias(c) for c, bad in conditions.items()])
-    long = wide.unpivot([], [f"`{c}`" for c in conditions], "column_name", "n")
-    check = F.concat(F.lit(f"{label}("), F.col("column_name"), F.lit(")"))
+def _violations(df: DataFrame, table: str, rules: Mapping[str, Column]) -> DataFrame:
+    """One pass over the table; one report row per condition, which must hold for no row."""
+    wide = df.agg(*[F.count_if(bad).alias(name) for name, bad in rules.items()])
+    long = wide.unpivot([], [f"`{name}`" for name in rules], "check_name", "value")
     return long.select(
         F.lit(table).alias("table_name"),
-        check.alias("check_name"),
-        F.col("n").alias("value"),
-        (F.col("n") == 0).alias("passed"),
+        "check_name",
+        "value",
+        (F.col("value") == 0).alias("passed"),
     )
 
 
+def _null_rules(columns: Sequence[str]) -> dict[str, Column]:
+    return {f"not_null({c})": F.col(f"`{c}`").isNull() for c in columns}
+
+
+def _length_rules(lengths: Mapping[str, int]) -> dict[str, Column]:
+    return {f"max_length({c})": F.length(f"`{c}`") > n for c, n in lengths.items()}
+
+
 def not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     """``columns`` must hold no null; value = nulls found."""
-    return _column_counts(df, table, "not_null", {c: F.col(f"`{c}`").isNull() for c in columns})
+    return _violations(df, table, _null_rules(columns))
 
 
 def max_length(df: DataFrame, table: str, lengths: Mapping[str, int]) -> DataFrame:
     """Text columns must not exceed their declared length; value = rows that do."""
-    return _column_counts(
-        df, table, "max_length", {c: F.length(f"`{c}`") > n for c, n in lengths.items()}
-    )
+    return _violations(df, table, _length_rules(lengths))
 
 
 def referential(
@@ -96,23 +99,33 @@ def referential(
     )
 
 
-def completeness(source: DataFrame, target: DataFrame, table: str) -> DataFrame:
-    """Source and target must have the same number of rows; value = source minus target."""
-    sides = source.select(F.lit(1).alias("sign")).unionAll(target.select(F.lit(-1).alias("sign")))
-    total = sides.agg(F.coalesce(F.sum("sign"), F.lit(0)).alias("n"))
-    return total.select(*_row(table, "completeness", F.col("n"), F.col("n") == 0))
+def completeness(source: DataFrame | int, target: DataFrame, table: str) -> DataFrame:
+    """Source and target must have the same number of rows; value = source minus target.
+
+    ``source`` may be a number that is known already, such as the rows counted while loading.
+    """
+    if isinstance(source, int):
+        difference = target.agg((F.lit(source) - F.count(F.lit(1))).alias("n"))
+    else:
+        signs = source.select(F.lit(1).alias("s")).unionAll(target.select(F.lit(-1).alias("s")))
+        difference = signs.agg(F.coalesce(F.sum("s"), F.lit(0)).alias("n"))
+    return difference.select(*_row(table, "completeness", F.col("n"), F.col("n") == 0))
 
 
 def contract_checks(df: DataFrame, contract: TableContract) -> DataFrame:
-    """Non-empty, unique key, no null where the contract forbids it, declared text lengths."""
-    reports = [
-        row_counts({contract.name: df}),
+    """Non-empty, unique key, no null where the contract forbids it, declared text lengths.
+
+    Two passes: one counts rows, nulls and lengths, the other groups by the key.
+    """
+    rules = _null_rules(list(dict.fromkeys(contract.key + contract.not_null)))
+    rules |= _length_rules(contract.max_length)
+    # Counted as rows, reported as passed if there are any.
+    counted = _violations(df, contract.name, {"row_count": F.lit(True), **rules})
+    has_rows = F.when(F.col("check_name") == "row_count", F.col("value") > 0)
+    return union_reports(
+        counted.withColumn("passed", has_rows.otherwise(F.col("passed"))),
         unique(df, contract.name, contract.key),
-        not_null(df, contract.name, list(dict.fromkeys(contract.key + contract.not_null))),
-    ]
-    if contract.max_length:
-        reports.append(max_length(df, contract.name, contract.max_length))
-    return union_reports(*reports)
+    )
 
 
 def enforce(report: DataFrame) -> DataFrame:

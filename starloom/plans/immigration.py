@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.calendar import date_parts, sas_date, stay_days
 from starloom.functions.values import to_int
-from starloom.operators.clean import union_distinct
+from starloom.operators.clean import distinct_values
 
 SOURCE_COLUMNS = (
     "cicid", "i94res", "i94cit", "arrdate", "i94addr", "i94yr", "i94mon", "i94port", "i94mode",
@@ -55,7 +55,7 @@ def build_dates(
     ``form="union_all"`` keeps the repeated dates and the null.
     """
     if form == "unique":
-        dates = fact.select(union_distinct("date", F.col(first), F.col(second))).distinct()
+        dates = distinct_values(fact, [first, second], "date")
     elif form == "union_all":
         dates = date_union_all(fact, first, second)
     else:

@@ -33,6 +33,11 @@ def conform(df: DataFrame, contract: TableContract) -> DataFrame:
     )
 
 
+def _location(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    return described.where("col_name = 'Location'").first()["data_type"]
+
+
 def load_table(
     df: DataFrame,
     contract: TableContract,
@@ -49,17 +54,25 @@ def load_table(
     """
     if mode not in ("overwrite", "overwrite_partitions", "append"):
         raise ValueError(f"unknown load mode {mode!r}")
+    if mode == "overwrite_partitions" and not contract.partition_by:
+        raise ValueError(f"{contract.name} has no partitions")
     spark = df.sparkSession
     table = table or contract.name
     create_table(spark, contract, table, location)
     written = Observation()
     laid_out = arrange(conform(df, contract), contract.partition_by, contract.sort_by)
-    # insertInto goes by position; the table holds its partition columns last.
-    ordered = laid_out.select(*[f"`{c}`" for c in spark.table(table).columns])
     # Counted after the last shuffle, where a task that is run again does not count twice.
-    writer = ordered.observe(written, F.count(F.lit(1)).alias("n")).write
-    if contract.partition_by:
-        dynamic = mode == "overwrite_partitions"
-        writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-    writer.insertInto(table, overwrite=mode != "append")
+    counted = laid_out.observe(written, F.count(F.lit(1)).alias("n"))
+    if contract.partition_by and mode != "append":
+        # insertInto takes the overwrite mode from the session only; writing to the table's folder
+        # names it for this write, whatever other loads of the session do.
+        replaced = "dynamic" if mode == "overwrite_partitions" else "static"
+        writer = counted.write.mode("overwrite").option("partitionOverwriteMode", replaced)
+        writer.partitionBy(*contract.partition_by).parquet(_location(spark, table))
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+        spark.catalog.refreshTable(table)
+    else:
+        # insertInto goes by position; the table holds its partition columns last.
+        ordered = counted.select(*[f"`{c}`" for c in spark.table(table).columns])
+        ordered.write.insertInto(table, overwrite=mode == "overwrite")
     return int(written.get["n"])
