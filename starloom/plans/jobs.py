@@ -16,7 +16,7 @@ from starloom.plans.immigration import SOURCE_COLUMNS, build_dates, build_immigr
 from starloom.plans.state import build_state
 from starloom.schemas import CONTRACTS, TEMPERATURE
 from starloom.sinks.load import run_load
-from starloom.sinks.tables import drop_table, load_table
+from starloom.sinks.tables import drop_table, load_table, qualified
 from starloom.sources.files import read_delimited, read_demographics, read_lookup, read_table
 from starloom.sources.logs import read_log_events, read_songs
 
@@ -27,10 +27,6 @@ class JobResult:
     quality_report: DataFrame
 
 
-def _table_name(database: str | None, name: str) -> str:
-    return f"{database}.{name}" if database else name
-
-
 def _check_all(tables: Mapping[str, DataFrame], references: list[DataFrame]) -> DataFrame:
     reports = [quality.contract_checks(df, CONTRACTS[name]) for name, df in tables.items()]
     return quality.union_reports(*reports, *references)
@@ -63,7 +59,7 @@ def arrivals_job(
     def load(name: str, df: DataFrame, mode: str = "overwrite") -> int:
         location = f"{output.rstrip('/')}/{name}.parquet"
         return load_table(
-            df, CONTRACTS[name], _table_name(database, name), mode=mode, location=location
+            df, CONTRACTS[name], qualified(database, name), mode=mode, location=location
         )
 
     def load_fact() -> int:
@@ -74,7 +70,7 @@ def arrivals_job(
         return load("immigration", build_immigration(raw), mode)
 
     def load_dates() -> int:
-        return load("date", build_dates(spark.table(_table_name(database, "immigration"))))
+        return load("date", build_dates(spark.table(qualified(database, "immigration"))))
 
     def load_countries() -> int:
         readings = read_delimited(spark, temperature, TEMPERATURE)
@@ -91,7 +87,7 @@ def arrivals_job(
         ],
     )
     tables = {
-        name: quality.readable(name, lambda n=name: spark.table(_table_name(database, n)))
+        name: quality.readable(name, lambda n=name: spark.table(qualified(database, n)))
         for name in ("immigration", "date", "country", "state")
     }
     written = {row["step"]: row["n_rows"] for row in report.collect()}
@@ -126,13 +122,13 @@ def music_job(
     base = output.rstrip("/")
 
     def load(df: DataFrame, name: str) -> int:
-        table = _table_name(database, name)
+        table = qualified(database, name)
         if rebuild:
             drop_table(spark, table)
         return load_table(df, CONTRACTS[name], table, location=f"{base}/{name}")
 
     def table(name: str) -> DataFrame:
-        return spark.table(_table_name(database, name))
+        return spark.table(qualified(database, name))
 
     def stage(df: DataFrame, name: str, key: str) -> int:
         return load(df.select(identity_key().alias(key), "*"), name)
@@ -147,21 +143,21 @@ def music_job(
         spark,
         [
             {
-                "stage events": lambda: stage(
+                "staging_events": lambda: stage(
                     read_log_events(spark, logs), "staging_events", "staging_event_id"
                 ),
-                "stage songs": lambda: stage(
+                "staging_songs": lambda: stage(
                     read_songs(spark, songs), "staging_songs", "staging_song_id"
                 ),
             },
-            {"load songplays": load_songplays},
+            {"songplays": load_songplays},
             {
-                "load users": lambda: load(music.build_users(table("staging_events")), "users"),
-                "load songs": lambda: load(music.build_songs(table("staging_songs")), "songs"),
-                "load artists": lambda: load(
+                "users": lambda: load(music.build_users(table("staging_events")), "users"),
+                "songs": lambda: load(music.build_songs(table("staging_songs")), "songs"),
+                "artists": lambda: load(
                     music.build_artists(table("staging_songs")), "artists"
                 ),
-                "load time": lambda: load(music.build_time(table("songplays")), "time"),
+                "time": lambda: load(music.build_time(table("songplays")), "time"),
             },
         ],
     )

@@ -19,6 +19,29 @@ DEFAULT_CONF = {
 }
 
 
+_MB = 1024 * 1024
+_MAX_SHUFFLE_PARTITIONS = 50_000
+_MAX_SCAN_TASKS = 200_000
+
+
+def sized_conf(scanned_bytes: int, shuffled_bytes: int, cores: int) -> dict[str, str]:
+    """Partition settings for a job of known size.
+
+    Adaptive execution merges shuffle partitions that turn out small but splits a large one only
+    if it is skewed, so there must be enough to begin with: about 256 MB each, which a task sorts
+    in memory, and two per core. Past 50,000 the bookkeeping for every pair of map and reduce task
+    costs more than somewhat larger partitions, which spill. Scans get 128 MB splits, or larger
+    ones where that would be more than 200,000 tasks (100 TB: 500 MB).
+    """
+    partitions = max(2 * cores, -(-shuffled_bytes // (256 * _MB)))
+    split = max(128 * _MB, -(-scanned_bytes // _MAX_SCAN_TASKS))
+    return {
+        "spark.sql.shuffle.partitions": str(min(_MAX_SHUFFLE_PARTITIONS, partitions)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * _MB),
+        "spark.sql.files.maxPartitionBytes": str(split),
+    }
+
+
 def build_session(app: str = "starloom", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master is not None:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.schemas import TableContract
+from starloom.schemas import CONTRACTS, TableContract
 from starloom.sinks.parquet import arrange
 
 
@@ -23,6 +25,20 @@ def drop_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
+def qualified(database: str | None, name: str) -> str:
+    return f"{database}.{name}" if database else name
+
+
+def create_tables(spark: SparkSession, names: Sequence[str], database: str | None = None) -> None:
+    for name in names:
+        create_table(spark, CONTRACTS[name], qualified(database, name))
+
+
+def drop_tables(spark: SparkSession, names: Sequence[str], database: str | None = None) -> None:
+    for name in names:
+        drop_table(spark, qualified(database, name))
+
+
 def conform(df: DataFrame, contract: TableContract) -> DataFrame:
     """Exactly the contract's columns, found by name and cast to the declared types."""
     missing = [c for c in contract.columns if c not in df.columns]

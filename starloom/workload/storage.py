@@ -101,7 +101,7 @@ def lookup_scan(spark, sf):
     return read_lookup(spark, path)
 
 
-def _write_log(spark, sf, path):
+def write_log(spark, sf, path):
     """Staged log rows back to the service's JSON keys; user 0 becomes a blank user."""
     log = frames.log_events(spark, sf)
     millis = F.unix_millis(F.col("ts").cast("timestamp"))
@@ -124,19 +124,19 @@ def _write_log(spark, sf, path):
         millis.alias("ts"),
         F.col("user_agent").alias("userAgent"),
         F.when(F.col("user_id") > 0, F.col("user_id").cast("string")).otherwise("").alias("userId"),
-    ).write.partitionBy("level").json(path)
+    ).write.json(path)
 
 
 @query(
     "json_log_scan",
-    f"""WITH {frames.LOG_SQL} SELECT artist, first_name, gender, item_in_session, last_name,
-      CAST(length AS DOUBLE) AS length, location, page, registration, session_id, song, status,
+    f"""WITH {frames.LOG_SQL} SELECT artist, auth, first_name, gender, item_in_session, last_name,
+      CAST(length AS DOUBLE) AS length, level, location, method, page, registration, session_id, song, status,
       ts, user_agent, nullif(user_id, 0) AS user_id FROM log""",
 )
 def json_log_scan(spark, sf):
     path = scratch_path(spark, "log-json")
-    _write_log(spark, sf, path)
-    log = read_log_events(spark, path).drop("auth", "method", "level")
+    write_log(spark, sf, path)
+    log = read_log_events(spark, path)
     return log.withColumn("length", F.col("length").cast("double"))
 
 

@@ -15,9 +15,12 @@ def oracle():
 
 @pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
 def test_query_matches_sql(spark, oracle, name):
-    result = driver.queries()[name](spark, SF_DIR).toArrow()
+    df = driver.queries()[name](spark, SF_DIR)
     expected = oracle.sql(driver.oracle_sql()[name]).to_arrow_table()
-    assert compare(result, expected) is None
+    assert compare(df.toArrow(), expected) is None
+    plan = df._jdf.queryExecution().toString()
+    for unwanted in ("EvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert unwanted not in plan
 
 
 def test_every_query_but_preview_has_sql():

@@ -390,3 +390,61 @@ def test_music_job(spark, path, database, rows):
         assert rows(spark.table("job.users").select("user_id", "level")) == [(26, "paid"), (27, "free")]
         assert spark.table("job.time").count() == 2
         assert spark.table("job.staging_events").select("staging_event_id").distinct().count() == 4
+
+
+# --- one-call functions and command line ------------------------------------------------------
+
+
+def test_etl_functions_write_only_where_told(spark, path, rows):
+    from starloom.plans.etl import etl_countries, etl_immigration, etl_states
+
+    inputs = arrivals_input(path, [record(1, 20545, 4, depdate="20550.0"), record(2, 20580, 5)])
+    fact = etl_immigration(spark, inputs["arrivals"])
+    assert fact.count() == 2 and not Path(path, "out").exists()
+    etl_immigration(spark, inputs["arrivals"], f"{path}/out/fact", f"{path}/out/date", load_size=1)
+    assert rows(spark.read.parquet(f"{path}/out/fact").select("cicid", "i94yr", "i94mon")) == [(1, 2016, 4)]
+    assert spark.read.parquet(f"{path}/out/date").count() == 2
+
+    country = etl_countries(spark, inputs["temperature"], inputs["country_codes"], f"{path}/out/country")
+    assert rows(spark.read.parquet(f"{path}/out/country")) == rows(country)
+    state = etl_states(
+        spark, inputs["demographics"], f"{path}/out/state", columns=["State", "StateCode", "MedianAge"],
+        partition_by=["StateCode"],
+    )
+    assert state.count() == 2
+    stored = spark.read.parquet(f"{path}/out/state")
+    assert rows(stored.select("StateCode", "MedianAge")) == [("OH", 33.5), ("UT", 0.0)]
+
+
+def test_create_and_drop_all(spark, database):
+    from starloom.sinks.tables import create_tables, drop_tables
+
+    for _ in range(2):
+        create_tables(spark, list(CONTRACTS), database)
+    assert {t.name for t in spark.catalog.listTables(database)} == set(CONTRACTS)
+    for _ in range(2):
+        drop_tables(spark, list(CONTRACTS), database)
+    assert spark.catalog.listTables(database) == []
+
+
+def test_command_line_arguments():
+    from starloom.__main__ import parser
+
+    given = parser().parse_args(
+        "arrivals --arrivals a --temperature t --country-codes c --demographics d --output o "
+        "--reload partitions --database db".split()
+    )
+    assert (given.country_codes, given.reload, given.load_size, given.database) == ("c", "partitions", None, "db")
+    assert parser().parse_args(["create", "users", "songs"]).tables == ["users", "songs"]
+    assert parser().parse_args(["drop"]).tables == []
+
+
+def test_sized_conf():
+    from starloom.session import sized_conf
+
+    small = sized_conf(10**9, 10**8, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert small["spark.sql.files.maxPartitionBytes"] == str(128 * 1024 * 1024)
+    large = sized_conf(10**14, 2 * 10**13, 4000)
+    assert large["spark.sql.shuffle.partitions"] == "50000"
+    assert int(large["spark.sql.files.maxPartitionBytes"]) == 500_000_000
