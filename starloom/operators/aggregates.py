@@ -24,7 +24,7 @@ def sum_where(value: str | Column, by: str | Column, values: Mapping[str, str])
     """Pivot as aggregate columns: ``{value of by: output column}``, null where there is no row.
 
     Lets a pivot share one grouping with other aggregates. The values are given, so no job is
-    needed to find them.
+    needed to find them, and every column is there even if no row has its value.
     """
     by = F.col(by) if isinstance(by, str) else by
     value = F.col(value) if isinstance(value, str) else value
@@ -34,6 +34,8 @@ def sum_where(value: str | Column, by: str | Column, values: Mapping[str, str])
 def pivot_sum(
     df: DataFrame, key: Sequence[str], by: str, values: Mapping[str, str], value: str
 ) -> DataFrame:
-    """One column per listed value of ``by``, holding the sum of ``value``."""
-    pivoted = df.groupBy(*key).pivot(by, list(values)).sum(value)
-    return pivoted.withColumnsRenamed(dict(values))
+    """One column per listed value of ``by``, holding the sum of ``value``.
+
+    One shuffle; the built-in pivot groups by key and value first and then by key again.
+    """
+    return df.groupBy(*key).agg(*sum_where(value, by, values))

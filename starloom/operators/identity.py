@@ -6,35 +6,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from starloom.session import shared_folder
+from starloom.session import scratch_path
 
-# monotonically_increasing_id puts the partition number above the row number in the partition.
-_ROW_BITS = 33
+# About 250 bytes per file: the offsets of this many files fit every executor.
+BROADCAST_FILES = 250_000
 
-# A job with more tasks than this gets its offsets by a shuffled join.
-_BROADCAST_PARTITIONS = 1_000_000
 
+def number_stored_rows(stored: DataFrame, name: str, start: int = 0) -> DataFrame:
+    """Number the rows of a frame that is read straight from Parquet files: start, start + 1, ...
 
-def with_dense_id(df: DataFrame, name: str, start: int = 0) -> DataFrame:
-    """Number the rows start, start + 1, ... without a gap and without sorting or shuffling them.
-
-    The frame is first written once by a reliable checkpoint, which fixes the position of every
-    row even if an executor is lost later. A second, small table holds one row per partition with
-    the number of rows before it; it is as long as the job had tasks, not as the table has rows.
+    A row's number is its position in its file plus the rows of the files before. Nothing is sorted
+    or shuffled, and a task that is run again finds the same numbers. The rows per file come from
+    the file footers; that table has one row per file, so putting it in order takes one small task.
     """
-    shared_folder(df.sparkSession)
-    placed = df.withColumn("_position", F.monotonically_increasing_id()).checkpoint()
-    part = F.shiftright("_position", _ROW_BITS)
-    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        F.col("_part").alias("_offset_part"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-    ).checkpoint()
-    row = F.col("_position").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    if offsets.count() <= _BROADCAST_PARTITIONS:
+    placed = stored.select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
+    )
+    sizes = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    if len(stored.inputFiles()) <= BROADCAST_FILES:
         offsets = F.broadcast(offsets)
-    numbered = placed.join(offsets, part == F.col("_offset_part"))
-    return numbered.select(
-        (F.col("_offset") + row + F.lit(start)).alias(name), *[f"`{c}`" for c in df.columns]
+    return placed.join(offsets, "_file").select(
+        (F.col("_offset") + F.col("_row") + F.lit(start)).alias(name),
+        *[f"`{c}`" for c in stored.columns],
     )
+
+
+def with_dense_id(df: DataFrame, name: str, start: int = 0) -> DataFrame:
+    """Number the rows of any frame start, start + 1, ... without a gap.
+
+    The frame is written once to the shared folder, which fixes the order of its rows.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "numbered")
+    df.write.parquet(path)
+    return number_stored_rows(spark.read.schema(df.schema).parquet(path), name, start)

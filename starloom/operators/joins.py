@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Spark refuses to broadcast above 8 GB; a dimension far below that fits every executor.
@@ -83,12 +83,17 @@ def left_join(
 
 
 def star_join(
-    fact: DataFrame, *dimensions: tuple[DataFrame, str, str], how: str = "left"
+    fact: DataFrame, *dimensions: tuple[DataFrame, str, str], spread_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Join a fact to dimensions given as ``(dimension, fact column, dimension key)``."""
+    """Left-join a fact to dimensions given as ``(dimension, fact column, dimension key)``.
+
+    Small dimensions are broadcast. For the others the fact is shuffled, and ``spread_by`` scatters
+    its rows without a code as in :func:`left_join`.
+    """
     for dimension, foreign_key, key in dimensions:
-        condition: Column = fact[foreign_key] == dimension[key]
-        fact = fact.join(broadcast_if_small(dimension), condition, how)
+        side = broadcast_if_small(dimension)
+        spread = spread_by if side is dimension else ()
+        fact = left_join(fact, side, {foreign_key: key}, spread_by=spread)
     return fact
 
 

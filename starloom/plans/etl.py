@@ -11,7 +11,7 @@ from starloom.plans.immigration import SOURCE_COLUMNS, build_dates, build_immigr
 from starloom.plans.state import build_state
 from starloom.schemas import TEMPERATURE
 from starloom.sinks.parquet import write_parquet
-from starloom.sources.files import read_demographics, read_lookup, read_table
+from starloom.sources.files import read_delimited, read_demographics, read_lookup, read_table
 
 
 def etl_immigration(
@@ -72,8 +72,6 @@ def etl_countries(
     **options,
 ) -> DataFrame:
     """Country dimension from temperature readings and the country code list."""
-    readings = read_table(
-        spark, input_path, "csv", schema=TEMPERATURE, load_size=load_size, **options
-    )
+    readings = read_delimited(spark, input_path, TEMPERATURE, load_size=load_size, **options)
     country = build_country(readings, read_lookup(spark, codes_path), recode_first=recode_first)
     return write_parquet(country, output_path, partition_by, columns=columns)

@@ -51,11 +51,13 @@ def read_delimited(
     **options,
 ) -> DataFrame:
     """Delimited text with a header line. Without a schema the types are inferred, which costs an
-    extra pass over the files. ``corrupt_column`` collects the lines that do not fit the schema.
+    extra pass over the files; with one, the header must name its columns in the same order.
+    ``corrupt_column`` collects the lines that do not fit the schema.
     """
     if schema is None:
-        options = {"inferSchema": True, **options}
-    elif corrupt_column is not None:
+        return read_table(spark, path, "csv", sep=sep, **{"inferSchema": True, **options})
+    options = {"enforceSchema": False, **options}
+    if corrupt_column is not None:
         declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         schema = T.StructType([*declared.fields, T.StructField(corrupt_column, T.StringType())])
         options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_column, **options}

@@ -49,6 +49,7 @@ def fact_filter_left_join(spark, sf):
             orders.select("o_custkey", "o_orderdate"),
             (customer, "o_custkey", "c_custkey"),
             (nation, "c_nationkey", "n_nationkey"),
+            spread_by=["o_orderdate"],
         )
         .groupBy("n_name", F.year("o_orderdate").alias("order_year"))
         .agg(F.count(F.lit(1)).alias("n_orders"))

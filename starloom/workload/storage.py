@@ -50,7 +50,7 @@ def csv_roundtrip(spark, sf):
     orders = table(spark, sf, "orders")
     path = scratch_path(spark, "orders-csv")
     orders.write.csv(path, sep=";", header=True)
-    return read_delimited(spark, path, orders.schema, sep=";", enforceSchema=False)
+    return read_delimited(spark, path, orders.schema, sep=";")
 
 
 @query(

@@ -3,8 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.operators import aggregates, clean, joins, profile, quality
-from starloom.operators.identity import with_dense_id
+from starloom.operators import aggregates, clean, identity, joins, profile, quality
+from starloom.operators.identity import number_stored_rows, with_dense_id
 from starloom.schemas import CONTRACTS
 
 NAN = float("nan")
@@ -115,6 +115,15 @@ def test_broadcast_only_within_limit(spark):
     assert joins.broadcast_if_small(small, 79) is small
 
 
+def test_star_join_with_and_without_broadcast(spark, rows, monkeypatch):
+    fact = spark.createDataFrame([(1, 5), (2, None), (3, 9)], "id int, fk int")
+    dim = spark.createDataFrame([(5, "five"), (6, "six")], "k int, name string")
+    expected = [(1, "five"), (2, None), (3, None)]
+    assert rows(joins.star_join(fact, (dim, "fk", "k"), spread_by=["id"]).select("id", "name")) == expected
+    monkeypatch.setattr(joins, "broadcast_if_small", lambda df: df)
+    assert rows(joins.star_join(fact, (dim, "fk", "k"), spread_by=["id"]).select("id", "name")) == expected
+
+
 def test_orphans_ignore_null_codes(spark, rows):
     fact = spark.createDataFrame([("ZZ",), ("ZZ",), ("CA",), (None,), ("99",)], "s string")
     states = spark.createDataFrame([("CA",), ("99",)], "Code string")
@@ -190,6 +199,20 @@ def test_dense_ids(spark, n, parts, start):
     assert out.select("id").distinct().count() == n
 
 
+def test_stored_rows_are_numbered_where_they_lie(spark, path):
+    spark.range(100, numPartitions=3).write.parquet(f"{path}/stored")
+    stored = spark.read.parquet(f"{path}/stored")
+    out = number_stored_rows(stored, "key")
+    assert sorted(r.key for r in out.collect()) == list(range(100))
+    assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_numbers_beyond_the_broadcast_limit(spark, monkeypatch):
+    monkeypatch.setattr(identity, "BROADCAST_FILES", 0)
+    out = with_dense_id(spark.range(100, numPartitions=3), "key")
+    assert sorted(r.key for r in out.collect()) == list(range(100))
+
+
 def test_dense_ids_stay_the_same_when_read_twice(spark):
     shuffled_rows = spark.range(500).repartition(5)
     out = with_dense_id(shuffled_rows, "key")

@@ -51,6 +51,13 @@ def test_delimited_with_bad_lines(spark, path, rows):
     assert rows(df) == [(1, 2.5, None), (4, None, "4"), (None, 3.0, "bad,3")]
 
 
+def test_delimited_refuses_another_column_order(spark, path, rows):
+    put(path, "a.csv", "dt,y\n1743-11-01,6.1\n")
+    assert rows(files.read_delimited(spark, path, "dt timestamp_ntz, y double")) == [(dt.datetime(1743, 11, 1), 6.1)]
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_delimited(spark, path, "y double, dt timestamp_ntz").collect()
+
+
 def test_lookup_keeps_two_text_columns(spark, path, rows):
     put(path, "a.csv", "Code;Note;Country\n101;n;ALBANIA\n 5;;X, Y\n")
     assert rows(files.read_lookup(spark, path)) == [(" 5", "X, Y"), ("101", "ALBANIA")]
