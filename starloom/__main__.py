@@ -26,6 +26,7 @@ def parser() -> argparse.ArgumentParser:
         music.add_argument(f"--{name}", required=True)
     music.add_argument("--rebuild", action="store_true")
     music.add_argument("--salts", type=int, default=1)
+    music.add_argument("--hot-rows", type=int)
 
     for name in ("create", "drop"):
         command = commands.add_parser(name, help=f"{name} the declared tables")

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.session import scratch_path
+
 # Spark refuses to broadcast above 8 GB; a dimension far below that fits every executor.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
@@ -32,6 +34,30 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> Dat
     return F.broadcast(df) if size is not None and size <= limit else df
 
 
+def find_hot_keys(df: DataFrame, key: Sequence[str], min_rows: int) -> DataFrame:
+    """Keys that occur in at least ``min_rows`` rows, stored in the shared folder. Runs a job.
+
+    At most (rows / min_rows) keys can qualify. They are stored so that a join knows their true size
+    and broadcasts them only if it is small.
+    """
+    known = df.where(reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNotNull() for c in key]))
+    counts = known.groupBy(*[f"`{c}`" for c in key]).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") >= min_rows).drop("_n")
+    path = scratch_path(df.sparkSession, "hot-keys")
+    hot.write.parquet(path)
+    return df.sparkSession.read.schema(hot.schema).parquet(path)
+
+
+def _flag_hot(df: DataFrame, key: Sequence[str], hot: DataFrame) -> DataFrame:
+    """Adds _hot: true where the key stands in ``hot``, whose columns are in the order of ``key``."""
+    names = [f"_hot_{i}" for i in range(len(key))]
+    marked = hot.toDF(*names).withColumn("_hot", F.lit(True))
+    matches = reduce(
+        lambda a, b: a & b, [df[f"`{c}`"] == marked[n] for c, n in zip(key, names, strict=True)]
+    )
+    return df.join(marked, matches, "left").drop(*names)
+
+
 def left_join(
     left: DataFrame,
     right: DataFrame,
@@ -39,6 +65,7 @@ def left_join(
     *,
     spread_by: Sequence[str] = (),
     salts: int = 1,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Left outer equi-join on ``{left column: right column}``; every match and every left row is kept.
 
@@ -46,7 +73,8 @@ def left_join(
       ``spread_by``, columns that tell rows apart, a number hashed from them joins the key and
       scatters these rows.
     * A hot key is split by adaptive execution at run time. Where that is off or too late,
-      ``salts`` > 1 splits every left key over that many tasks and repeats the right side as often.
+      ``salts`` > 1 splits left keys over that many tasks and repeats their right rows as often:
+      only the keys in ``hot`` (see :func:`find_hot_keys`), or all of them without it.
 
     The numbers depend on the row alone, so a recomputed task sends each row to the same place as
     before. Name only ``spread_by`` columns that the result needs anyway: they are read.
@@ -61,21 +89,22 @@ def left_join(
 
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in spread_by])
     null_key = reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in on])
-    left_side = left.withColumn(
-        "_part",
-        F.when(null_key, F.pmod(row_hash, F.lit(NULL_KEY_SPREAD))).otherwise(
-            F.pmod(row_hash, F.lit(salts))
-        ),
-    )
-    # With one salt the number is 0 on both sides. It is still computed from the key: a constant
+    # With one salt the number is 0 on both sides. It is still computed from the row: a constant
     # would be folded out of the join key and the null rows would meet again in one task.
+    left_number = F.pmod(row_hash, F.lit(salts))
     key_hash = F.xxhash64(*[F.col(f"`{c}`") for c in on.values()])
-    parts = (
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
-        if salts > 1
-        else F.pmod(key_hash, F.lit(1))
-    )
-    right_side = right.withColumn("_right_part", parts)
+    zero = F.pmod(key_hash, F.lit(1))
+    every_salt = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+    right_number = F.explode(every_salt) if salts > 1 else zero
+    if hot is not None and salts > 1:
+        left = _flag_hot(left, list(on), hot)
+        right = _flag_hot(right, list(on.values()), hot)
+        left_number = F.when(F.col("_hot"), left_number).otherwise(F.pmod(row_hash, F.lit(1)))
+        right_number = F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(zero)))
+
+    spread = F.pmod(row_hash, F.lit(NULL_KEY_SPREAD))
+    left_side = left.withColumn("_part", F.when(null_key, spread).otherwise(left_number)).drop("_hot")
+    right_side = right.withColumn("_right_part", right_number).drop("_hot")
     condition = left_side["_part"] == right_side["_right_part"]
     for left_key, right_key in on.items():
         condition = condition & (left_side[f"`{left_key}`"] == right_side[f"`{right_key}`"])

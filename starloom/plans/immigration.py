@@ -11,6 +11,7 @@ from starloom.functions.calendar import date_parts, sas_date, stay_days
 from starloom.functions.values import to_int
 from starloom.operators.clean import distinct_values
 
+# The columns kept, in the order of the fact.
 SOURCE_COLUMNS = (
     "cicid", "i94res", "i94cit", "arrdate", "i94addr", "i94yr", "i94mon", "i94port", "i94mode",
     "i94visa", "visatype", "depdate", "dtaddto", "entdepa", "entdepd", "i94bir", "biryear",

@@ -113,6 +113,7 @@ def music_job(
     rebuild: bool = False,
     enforce: bool = True,
     salts: int = 1,
+    hot_rows: int | None = None,
 ) -> JobResult:
     """Stage logs and song metadata, then load the song play fact and its four dimensions.
 
@@ -135,7 +136,7 @@ def music_job(
 
     def load_songplays() -> int:
         fact = music.build_songplays(
-            table("staging_events"), table("staging_songs"), key="identity", salts=salts
+            table("staging_events"), table("staging_songs"), salts=salts, hot_rows=hot_rows
         )
         return load(fact.withColumn("songplay_id", F.col("songplay_id").cast("string")), "songplays")
 

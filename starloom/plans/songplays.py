@@ -10,7 +10,7 @@ from starloom.functions.calendar import epoch_seconds_ts, time_parts, truncate_t
 from starloom.functions.keys import identity_key, md5_key
 from starloom.operators.clean import latest_per_key, one_per_key
 from starloom.operators.identity import with_dense_id
-from starloom.operators.joins import left_join
+from starloom.operators.joins import find_hot_keys, left_join
 
 PLAY_PAGE = "NextSong"
 SONG_MATCH = {"song": "title", "length": "duration", "artist": "artist_name"}
@@ -25,23 +25,37 @@ def plays(events: DataFrame) -> DataFrame:
     return events.where(F.col("page") == PLAY_PAGE)
 
 
-def _match_songs(events: DataFrame, songs: DataFrame, salts: int) -> DataFrame:
+def _match_songs(
+    events: DataFrame, songs: DataFrame, salts: int, hot_rows: int | None
+) -> DataFrame:
     wanted = songs.select(*SONG_MATCH.values(), "song_id", "artist_id")
+    hot = find_hot_keys(events, list(SONG_MATCH), hot_rows) if salts > 1 and hot_rows else None
     return left_join(
-        events, wanted, SONG_MATCH, spread_by=("session_id", "user_id", "start_time"), salts=salts
+        events,
+        wanted,
+        SONG_MATCH,
+        spread_by=("session_id", "user_id", "start_time"),
+        salts=salts,
+        hot=hot,
     )
 
 
 def build_songplays(
-    events: DataFrame, songs: DataFrame, *, key: str | None = "identity", salts: int = 1
+    events: DataFrame,
+    songs: DataFrame,
+    *,
+    key: str | None = "identity",
+    salts: int = 1,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """One row per play and matching song, exact event time; plays without a match are kept.
 
-    ``key`` is ``"identity"`` (unique, with gaps), ``"dense"`` (0, 1, 2, ...; writes a checkpoint)
-    or None.
+    ``key`` is ``"identity"`` (unique, with gaps), ``"dense"`` (0, 1, 2, ...; writes the rows once)
+    or None. ``salts`` splits the plays of a song over several tasks; with ``hot_rows`` only of the
+    songs played at least that often, which are counted first.
     """
     timed = plays(events).withColumn("start_time", F.col("ts"))
-    fact = _match_songs(timed, songs, salts).select(*_PLAY_COLUMNS)
+    fact = _match_songs(timed, songs, salts, hot_rows).select(*_PLAY_COLUMNS)
     if key is None:
         return fact
     if key == "identity":
@@ -56,12 +70,14 @@ def _seconds(events: DataFrame, ts: str) -> Column:
     return epoch_seconds_ts(ts) if millis else truncate_to_second(ts)
 
 
-def build_songplays_hashed(events: DataFrame, songs: DataFrame, *, salts: int = 1) -> DataFrame:
+def build_songplays_hashed(
+    events: DataFrame, songs: DataFrame, *, salts: int = 1, hot_rows: int | None = None
+) -> DataFrame:
     """As :func:`build_songplays`, with whole-second times and a repeatable key: the MD5 of session
     and time. Two plays of one session within a second share it. ``ts`` may be epoch milliseconds.
     """
     timed = plays(events).withColumn("start_time", _seconds(events, "ts"))
-    return _match_songs(timed, songs, salts).select(
+    return _match_songs(timed, songs, salts, hot_rows).select(
         md5_key("session_id", "start_time").alias("songplay_id"), *_PLAY_COLUMNS
     )
 

@@ -24,6 +24,9 @@ def struct(columns: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
+# Column names, order and types of the files that are read and of the tables that
+# are written.
+
 # --- inputs -----------------------------------------------------------------------------------
 
 IMMIGRATION_SOURCE = struct(

@@ -15,7 +15,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.ui.enabled": "false",
 }
 
 
@@ -46,6 +45,8 @@ def build_session(app: str = "starloom", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master is not None:
         builder = builder.master(master)
+        if master.startswith("local"):
+            conf = {"spark.ui.enabled": "false", **conf}
     for key, value in {**DEFAULT_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

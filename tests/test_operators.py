@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -41,8 +42,13 @@ def test_left_join_random_against_brute_force(spark):
     right = [(rng.choice(keys), rng.choice([1, 2, None]), f"v{i}") for i in range(40)]
     a = spark.createDataFrame(left, "id int, k1 string, k2 int")
     b = spark.createDataFrame(right, "r1 string, r2 int, v string")
-    for salts in (1, 4):
-        out = joins.left_join(a, b, {"k1": "r1", "k2": "r2"}, spread_by=["id"], salts=salts)
+    counts = Counter(row[1:] for row in left if None not in row)
+    hot = joins.find_hot_keys(a, ["k1", "k2"], 25)
+    assert {tuple(r) for r in hot.collect()} == {k for k, n in counts.items() if n >= 25} != set()
+    none = joins.find_hot_keys(a, ["k1", "k2"], 1000)
+    for salts, keys in ((1, None), (4, None), (4, hot), (1, hot), (4, none)):
+        out = joins.left_join(a, b, {"k1": "r1", "k2": "r2"}, spread_by=["id"], salts=salts, hot=keys)
+        assert out.columns == ["id", "k1", "k2", "r1", "r2", "v"]
         found = sorted(((r.id, r.v) for r in out.select("id", "v").collect()), key=str)
         assert found == brute_left_join(left, right)
 
@@ -89,6 +95,19 @@ def test_hot_key_is_salted_over_tasks(spark):
     assert len(sizes) > 1 and max(r["count"] for r in sizes) < 3500
 
 
+def test_only_hot_keys_are_split(spark):
+    """One key holds a third of the rows: its rows spread, the right side hardly grows."""
+    left = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
+    right = spark.range(3000).select(F.col("id").alias("r"), F.lit("v").alias("v"))
+    with shuffled(spark, **{"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        hot = joins.find_hot_keys(left, ["k"], 500)
+        out = joins.left_join(left, right, {"k": "r"}, spread_by=["id"], salts=16, hot=hot)
+        sizes = out.where("k = 0").groupBy(F.spark_partition_id()).count().collect()
+        assert hot.count() == 1 and out.where("v = 'v'").count() == 3000
+    assert sum(r["count"] for r in sizes) == 1000
+    assert max(r["count"] for r in sizes) < 700
+
+
 def test_hot_key_is_split_by_adaptive_execution(spark):
     """A key with a third of all rows: the join of that partition runs as several tasks."""
     big = spark.range(300_000, numPartitions=16)
