@@ -27,6 +27,7 @@ def parser() -> argparse.ArgumentParser:
     music.add_argument("--rebuild", action="store_true")
     music.add_argument("--salts", type=int, default=1)
     music.add_argument("--hot-rows", type=int)
+    music.add_argument("--progress", help="folder kept between runs: read only new log files")
 
     for name in ("create", "drop"):
         command = commands.add_parser(name, help=f"{name} the declared tables")

@@ -51,7 +51,7 @@ def find_hot_keys(df: DataFrame, key: Sequence[str], min_rows: int) -> DataFrame
 def _flag_hot(df: DataFrame, key: Sequence[str], hot: DataFrame) -> DataFrame:
     """Adds _hot: true where the key stands in ``hot``, whose columns are in the order of ``key``."""
     names = [f"_hot_{i}" for i in range(len(key))]
-    marked = hot.toDF(*names).withColumn("_hot", F.lit(True))
+    marked = broadcast_if_small(hot.toDF(*names).withColumn("_hot", F.lit(True)))
     matches = reduce(
         lambda a, b: a & b, [df[f"`{c}`"] == marked[n] for c, n in zip(key, names, strict=True)]
     )

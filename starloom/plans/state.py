@@ -44,7 +44,7 @@ def build_state(
     """
     counts = [*_COUNTS.values(), *races.values()]
     cities = city_measures(demographics, races).withColumns(
-        {c: F.coalesce(F.col(c), F.lit(0)).cast("int") for c in counts}
+        {c: F.coalesce(F.col(c), F.lit(0)).cast("bigint") for c in counts}
     )
     return cities.groupBy("State", "StateCode").agg(
         *[F.sum(c).alias(c) for c in counts],

@@ -51,7 +51,8 @@ def conform(df: DataFrame, contract: TableContract) -> DataFrame:
 
 def _location(spark: SparkSession, table: str) -> str:
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
-    return described.where("col_name = 'Location'").first()["data_type"]
+    # The table's details follow its columns, one of which may have the same name.
+    return described.where("col_name = 'Location'").collect()[-1]["data_type"]
 
 
 def load_table(

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.schemas import LOG_JSON
+from starloom.sources.logs import log_columns
+
 BATCH_COLUMN = "batch_id"
 
 
@@ -56,6 +59,19 @@ def stage_new_files(
     return added
 
 
+def stage_new_logs(spark: SparkSession, source: str, target: str, progress: str, **options) -> int:
+    """:func:`stage_new_files` for the activity log, in any depth of folders."""
+    return stage_new_files(
+        spark,
+        source,
+        target,
+        progress,
+        LOG_JSON,
+        transform=lambda raw: raw.select(*log_columns()),
+        **{"recursiveFileLookup": True, **options},
+    )
+
+
 def read_staged(spark: SparkSession, target: str) -> DataFrame:
     """Everything staged so far, without the batch number."""
     return spark.read.parquet(target).drop(BATCH_COLUMN)

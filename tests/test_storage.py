@@ -399,6 +399,17 @@ def test_music_job(spark, path, database, rows):
         assert spark.table("job.staging_events").select("staging_event_id").distinct().count() == 4
 
 
+def test_music_job_reads_only_new_logs(spark, path, database):
+    put(f"{path}/songs", "one.json", json.dumps(SONG))
+    inputs = {"logs": f"{path}/logs", "songs": f"{path}/songs", "output": f"{path}/out", "database": database,
+              "progress": f"{path}/progress"}
+    for n, staged in ((1, 1), (2, 1), (2, 0)):
+        put(f"{path}/logs", f"2018/{n:02d}/log.json", json.dumps({**LOG_LINE, "ts": n * 1000}) + "\n")
+        report = music_job(spark, **inputs).load_report
+        assert report.where("step = 'staging_events'").first().n_rows == staged
+        assert spark.table("job.songplays").count() == n
+
+
 # --- one-call functions and command line ------------------------------------------------------
 
 
