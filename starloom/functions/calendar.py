@@ -48,8 +48,20 @@ def epoch_seconds_ts(millis: Column | str) -> Column:
     return F.timestamp_add("SECOND", seconds, _epoch())
 
 
+def epoch_millis(ts: Column | str) -> Column:
+    """Inverse of :func:`epoch_millis_ts`; finer digits are cut."""
+    t = _col(ts)
+    days = F.datediff(t, F.lit("1970-01-01").cast("date")).cast("bigint")
+    seconds = days * 86400 + F.hour(t) * 3600 + F.minute(t) * 60
+    return seconds * 1000 + (F.date_part(F.lit("SECOND"), t) * 1000).cast("bigint")
+
+
 def truncate_to_second(ts: Column | str) -> Column:
-    return F.date_trunc("second", _col(ts)).cast("timestamp_ntz")
+    """Cut a timestamp without zone to whole seconds, independent of the session zone."""
+    t = _col(ts)
+    return F.make_timestamp_ntz(
+        F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t), F.second(t)
+    )
 
 
 def date_parts(date: Column | str) -> dict[str, Column]:

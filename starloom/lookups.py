@@ -88,6 +88,3 @@ RACES = {
 # Labels of the coded fact columns.
 MODE_LABELS = {1: "air", 2: "sea", 3: "land", 9: "not reported"}
 VISA_LABELS = {1: "business", 2: "pleasure", 3: "student"}
-
-# Columns with more than 85 % missing in the arrival records.
-SPARSE_ARRIVAL_COLUMNS = ("occup", "entdepu", "insnum")

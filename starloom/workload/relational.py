@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions import calendar, values
 from starloom.functions.keys import md5_key
+from starloom.lookups import MODE_LABELS, VISA_LABELS
 from starloom.operators import aggregates, clean
 from starloom.operators.joins import broadcast_if_small, left_join, star_join
 from starloom.workload.registry import query, table
@@ -410,17 +411,13 @@ def date_text(spark, sf):
     )
 
 
-def _millis(ts):
-    return F.unix_millis(F.col(ts).cast("timestamp"))
-
-
 @query(
     "epoch_millis_ts",
     "SELECT event_id, date_trunc('millisecond', ts) AS start_time FROM events",
 )
 def epoch_millis_ts(spark, sf):
     return table(spark, sf, "events").select(
-        "event_id", calendar.epoch_millis_ts(_millis("ts")).alias("start_time")
+        "event_id", calendar.epoch_millis_ts(calendar.epoch_millis("ts")).alias("start_time")
     )
 
 
@@ -430,7 +427,7 @@ def epoch_millis_ts(spark, sf):
 )
 def epoch_seconds_ts(spark, sf):
     return table(spark, sf, "events").select(
-        "event_id", calendar.epoch_seconds_ts(_millis("ts")).alias("start_time")
+        "event_id", calendar.epoch_seconds_ts(calendar.epoch_millis("ts")).alias("start_time")
     )
 
 
@@ -442,8 +439,6 @@ def epoch_seconds_ts(spark, sf):
     FROM lineitem GROUP BY l_linenumber""",
 )
 def code_labels(spark, sf):
-    from starloom.lookups import MODE_LABELS, VISA_LABELS
-
     counts = table(spark, sf, "lineitem").groupBy("l_linenumber").agg(F.count(F.lit(1)).alias("n_lines"))
     return counts.select(
         "l_linenumber",

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from starloom.functions.calendar import epoch_millis_ts
+from starloom.functions.calendar import epoch_millis, epoch_millis_ts
 from starloom.operators.profile import missing_profile
 from starloom.plans import songplays as music
 from starloom.plans.immigration import build_dates, build_immigration
@@ -104,7 +104,6 @@ def lookup_scan(spark, sf):
 def write_log(spark, sf, path):
     """Staged log rows back to the service's JSON keys; user 0 becomes a blank user."""
     log = frames.log_events(spark, sf)
-    millis = F.unix_millis(F.col("ts").cast("timestamp"))
     log.select(
         "artist",
         "auth",
@@ -121,7 +120,7 @@ def write_log(spark, sf, path):
         F.col("session_id").alias("sessionId"),
         "song",
         "status",
-        millis.alias("ts"),
+        epoch_millis("ts").alias("ts"),
         F.col("user_agent").alias("userAgent"),
         F.when(F.col("user_id") > 0, F.col("user_id").cast("string")).otherwise("").alias("userId"),
     ).write.json(path)
@@ -366,9 +365,7 @@ def incremental_stage(spark, sf):
     """Events arrive in three deliveries; a run after each, and one more that finds nothing new."""
     root = scratch_path(spark, "incoming")
     source, target, progress = f"{root}/in", f"{root}/out", f"{root}/progress"
-    events = table(spark, sf, "events").withColumn(
-        "ts", F.unix_millis(F.col("ts").cast("timestamp"))
-    )
+    events = table(spark, sf, "events").withColumn("ts", epoch_millis("ts"))
     schema = "event_id bigint, ts bigint, user_id bigint, event_type string, value double, props string"
 
     def stage():

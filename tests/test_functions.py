@@ -66,6 +66,25 @@ def test_epochs_do_not_depend_on_the_session_zone(spark):
     assert cut == dt.datetime(2018, 11, 21, 21, 56, 47)
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_times_in_a_gap_of_the_session_zone(spark, zone):
+    times = [dt.datetime(2018, 3, 11, 2, 30, 1, 999999), dt.datetime(1969, 12, 31, 23, 59, 59, 1500), None]
+    df = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        found = df.select(
+            calendar.truncate_to_second("t"), calendar.epoch_millis("t"),
+            calendar.epoch_millis_ts(calendar.epoch_millis("t")),
+        ).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [r[0] for r in found] == [times[0].replace(microsecond=0), times[1].replace(microsecond=0), None]
+    assert [r[1] for r in found] == [1520735401999, -999, None]
+    assert [r[2] for r in found] == [
+        times[0].replace(microsecond=999000), times[1].replace(microsecond=1000), None
+    ]
+
+
 def test_weekday_conventions(spark):
     days = spark.createDataFrame([(D(2016, 1, 1) + dt.timedelta(days=i),) for i in range(10)], "d date")
     found = days.select(
