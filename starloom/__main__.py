@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit starloom arrivals|music|create|drop ...``."""
+"""Command line: ``python -m starloom arrivals|music|create|drop ...``."""
 
 from __future__ import annotations
 
@@ -20,6 +20,7 @@ def parser() -> argparse.ArgumentParser:
     arrivals.add_argument("--arrivals-format", default="csv")
     arrivals.add_argument("--reload", choices=("all", "partitions"), default="all")
     arrivals.add_argument("--load-size", type=int)
+    arrivals.add_argument("--strict-codes", action="store_true")
 
     music = commands.add_parser("music", help="load the song play star")
     for name in ("logs", "songs", "output"):

@@ -74,6 +74,17 @@ def _table_items(name: str, relation: str, key: str, *not_null: str) -> list[tup
             (f"immigration referential({c})", f"SELECT count(*) FROM fact WHERE {c} NOT IN (FROM day)")
             for c in ("arrdate", "depdate")
         ],
+        *[
+            (
+                f"immigration referential({c})",
+                f"SELECT count(*) FROM fact WHERE {c} NOT IN (SELECT {key} FROM {dimension})",
+            )
+            for c, key, dimension in (
+                ("i94res", "n_nationkey", "nation"),
+                ("i94cit", "n_nationkey", "nation"),
+                ("i94addr", "StateCode", "state"),
+            )
+        ],
     ),
 )
 def arrivals_job_query(spark, sf):

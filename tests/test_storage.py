@@ -370,6 +370,14 @@ def test_arrivals_job_fails_on_repeated_key(spark, path, database):
     assert lenient.quality_report.where("NOT passed").count() == 1
 
 
+def test_unknown_codes_are_reported_and_fail_only_if_strict(spark, path, database, rows):
+    inputs = arrivals_input(path, [record(1, 20545, 4, i94addr="ZZ"), record(2, 20545, 4)])
+    report = arrivals_job(spark, database=database, **inputs).quality_report
+    assert rows(report.where("NOT passed").select("check_name", "value")) == [("referential(i94addr)", 1)]
+    with pytest.raises(QualityError, match="i94addr"):
+        arrivals_job(spark, database=database, strict_codes=True, **inputs)
+
+
 def test_arrivals_job_reports_a_missing_input(spark, path, database, rows):
     inputs = arrivals_input(path, [record(1, 20545, 4)]) | {"temperature": f"{path}/absent.csv"}
     with pytest.raises(LoadError, match="country") as failure:
