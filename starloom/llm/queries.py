@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import language, quality, repeats, toxicity
+from starloom.llm import hmm, language, quality, repeats, toxicity
 from starloom.llm.learn import remainder
 
 QUERIES: dict = {}
@@ -57,3 +57,10 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.fit(docs.where(remainder("doc_id", 4) != HELD_OUT))
     found = language.identify(docs, model)
     return found.select("doc_id", (remainder("doc_id", 4) == HELD_OUT).alias("held_out"), "lang_pred", "score")
+
+
+@query("op5_lm_scoring")
+def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = hmm.score(documents(spark, sf_dir), remainder("doc_id", 7) != HELD_OUT)
+    held_out = (remainder("doc_id", 7) == HELD_OUT).alias("held_out")
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
