@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import hmm, language, quality, repeats, toxicity
+from starloom.llm import hmm, language, mixture, quality, repeats, toxicity
 from starloom.llm.learn import remainder
 
 QUERIES: dict = {}
@@ -64,3 +64,40 @@ def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = hmm.score(documents(spark, sf_dir), remainder("doc_id", 7) != HELD_OUT)
     held_out = (remainder("doc_id", 7) == HELD_OUT).alias("held_out")
     return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+MIX_SQL = """
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM documents
+), sums AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1]::DOUBLE AS weight,
+         source_size * 2.0::DOUBLE AS most, sum(source_size) OVER () * 1.5::DOUBLE AS everything
+  FROM sums
+), rated AS (
+  SELECT *, (everything - coalesce(sum(most) OVER (ORDER BY most / weight, source IS NULL, source
+                                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (ORDER BY most / weight, source IS NULL, source
+                                ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rate
+  FROM weighed
+), targets AS (
+  SELECT source, source_size,
+         CASE WHEN most <= rate * weight THEN most
+              ELSE max(CASE WHEN most > rate * weight THEN rate END) OVER () * weight END AS target
+  FROM rated
+), placed AS (
+  SELECT s.doc_id, s.size, t.source_size, t.target, round(t.target)::BIGINT AS take,
+         (sum(s.size) OVER (PARTITION BY s.source ORDER BY md5('mix-' || s.doc_id), s.doc_id ROWS UNBOUNDED PRECEDING)
+          - s.size)::BIGINT AS place
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target::DOUBLE AS target,
+       (greatest(least(take - place, size), 0) + greatest(least(take - source_size - place, size), 0))::BIGINT AS taken
+FROM placed
+"""
+
+
+@query("op6_source_mixture", MIX_SQL)
+def source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
