@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import hmm, language, mixture, quality, repeats, toxicity
+from starloom.llm import hmm, language, mixture, quality, repeats, setsketch, toxicity
 from starloom.llm.learn import remainder
 
 QUERIES: dict = {}
@@ -101,3 +101,8 @@ FROM placed
 @query("op6_source_mixture", MIX_SQL)
 def source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op9_near_dedup")
+def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(documents(spark, sf_dir), width=3, percent=85)
