@@ -40,3 +40,11 @@ def components(edges: DataFrame) -> DataFrame:
         if now == before:
             return graph.select(F.col("u").alias("id"), F.col("v").alias("component"))
         before = now
+
+
+MAX_BROADCAST_IDS = 2_000_000  # a list of ids is broadcast up to this counted length, about 32 MB
+
+
+def broadcast_if_few(ids: DataFrame, limit: int = MAX_BROADCAST_IDS) -> DataFrame:
+    """The stored list of ids, marked for a broadcast if its rows, which are counted, are few."""
+    return F.broadcast(ids) if ids.count() <= limit else ids

@@ -136,8 +136,8 @@ def identify(docs: DataFrame, model: LanguageModel, *, id_col="doc_id", text_col
     return docs.select(id_col, text_col).mapInArrow(predictor(docs, model, text_col, [id_col]), schema)
 
 
-def predictor(docs: DataFrame, model: LanguageModel, text_col: str, carried: list[str]):
-    """For ``mapInArrow``: the carried columns of each row, its predicted language and score."""
+def predictor(docs: DataFrame, model: LanguageModel, text_col: str, carried: list[str], found=("lang_pred", "score")):
+    """For ``mapInArrow``: the carried columns of each row, its predicted language and score, under the ``found`` names."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def each(batches):
@@ -158,6 +158,16 @@ def predictor(docs: DataFrame, model: LanguageModel, text_col: str, carried: lis
                 else:
                     best, share = np.zeros(n, np.int64), np.zeros(n)
                 parts = [c.slice(row, n) for c in columns]
-                yield pa.RecordBatch.from_arrays([*parts, names.take(pa.array(best)), pa.array(share)], [*carried, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*parts, names.take(pa.array(best)), pa.array(share)], [*carried, *found])
 
     return each
+
+
+def determined(docs: DataFrame, model: LanguageModel, *, text_col="text", least=0.0) -> DataFrame:
+    """The documents, with all their columns, whose language is one of the model's with at least this score."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    names = ("_lang_pred", "_lang_score")
+    found = docs.mapInArrow(
+        predictor(docs, model, text_col, docs.columns, names), f"{fields}, {names[0]} string, {names[1]} double"
+    )
+    return found.where((F.col(names[0]) != UNDETERMINED) & (F.col(names[1]) >= least)).drop(*names)

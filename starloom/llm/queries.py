@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import hmm, language, mixture, quality, repeats, setsketch, toxicity
+from starloom.llm import embedding, hmm, language, licenses, mixture, pieces, quality, repeats, setsketch, toxicity
 from starloom.llm.learn import remainder
 
 QUERIES: dict = {}
@@ -106,3 +106,18 @@ def source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_near_dedup")
 def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(documents(spark, sf_dir), width=3, percent=85)
+
+
+@query("op7_fingerprints")
+def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding.with_next(documents(spark, sf_dir))
+
+
+@query("op8_sentencepiece")
+def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(documents(spark, sf_dir))
+
+
+@query("op10_license_scan")
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir)).drop("spans")

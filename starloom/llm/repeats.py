@@ -12,7 +12,8 @@ starts in a document with a smaller id. The work is done in shards of documents:
    streams all its documents through it, which finds every occurrence word for word.
 
 Defined results: null and empty texts have no word and lose none. A text shorter than a window loses
-nothing. Rows that repeat an id are one document: they do not take words from each other. Ids are integers.
+nothing. Rows that repeat an id are one document: they do not take words from each other. Ids are integers; a
+null id comes after all others.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ class _Shard:
 
     def __init__(self, table: pa.Table, id_col: str, text_col: str, width: int):
         self.table = table.sort_by(id_col)
-        self.ids = self.table[id_col].to_numpy()
+        self.ids = pc.fill_null(self.table[id_col].cast(pa.int64()), np.iinfo(np.int64).max).to_numpy()
         hashes, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for _, part in slices(self.table[text_col]):
             w = words(part)
@@ -141,11 +142,11 @@ def _covered(shard: _Shard, starts: np.ndarray, low: np.ndarray) -> np.ndarray:
     return covered
 
 
-def _cut(id_col, text_col, width, columns, size_col, normal):
+def _cut(id_col, text_col, width, columns, size_col, normal, counts):
     def work(table, answers):
         if not table.num_rows:
-            return table.select(columns).append_column("n_words", pa.array([], pa.int64())).append_column(
-                "n_removed", pa.array([], pa.int64())
+            return table.select(columns).append_column(counts[0], pa.array([], pa.int64())).append_column(
+                counts[1], pa.array([], pa.int64())
             )
         shard = _Shard(table, id_col, text_col, width)
         covered = _covered(shard, *_confirmed(shard, answers))
@@ -165,19 +166,19 @@ def _cut(id_col, text_col, width, columns, size_col, normal):
         if size_col in columns:
             length = pc.utf8_length(kept).cast(out.schema.field(size_col).type)
             out = out.set_column(columns.index(size_col), size_col, length)
-        return out.append_column("n_words", pa.array(np.diff(shard.first))).append_column("n_removed", pa.array(removed))
+        return out.append_column(counts[0], pa.array(np.diff(shard.first))).append_column(counts[1], pa.array(removed))
 
     return work
 
 
 def remove_repeats(
     docs: DataFrame, *, id_col="doc_id", text_col="text", size_col=None, columns=None, width=WIDTH, normal=True,
-    shard_bytes=SHARD_BYTES,
+    counts=("n_words", "n_removed"), shard_bytes=SHARD_BYTES,
 ) -> DataFrame:
     """The documents without the words of passages that a document with a smaller id holds.
 
     Returns ``columns`` (the id and the text if not given) with the text that is left, then
-    ``n_words`` and ``n_removed``. With ``normal`` the words left are joined by one space in every text, else
+    the ``counts`` of words and of words removed. With ``normal`` the words left are joined by one space in every text, else
     only in those that lose any. ``size_col`` names a column to fill with the new length.
     """
     columns = columns or [id_col, text_col]
@@ -192,5 +193,5 @@ def remove_repeats(
         found.withColumn("least", F.min("low").over(same)).where("least < low").select(SHARD, "key", "check", F.col("least").alias("low"))
     )
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema]
-    cut = _cut(id_col, text_col, width, columns, size_col, normal)
-    return answer(shards, confirmed, cut, ", ".join([*fields, "n_words long", "n_removed long"]))
+    cut = _cut(id_col, text_col, width, columns, size_col, normal, counts)
+    return answer(shards, confirmed, cut, ", ".join([*fields, *(f"`{c}` long" for c in counts)]))

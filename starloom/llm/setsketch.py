@@ -16,7 +16,7 @@ With 30 bands of 4 registers a pair of similarity 0.85 shares no bucket once in
 
 Defined results: null and empty texts, and texts without words, have an empty set and are linked with
 nothing. Texts of fewer words than a shingle have one shingle, all their words. Rows that repeat an id
-count as one document if their texts are alike, else each is tried under the same id.
+count as one document if their texts are alike, else each is tried under the same id. Rows without an id are kept.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.components import components, stored
+from starloom.llm.components import broadcast_if_few, components, stored
 from starloom.llm.text import mix, slices, strings, windows, words
 
 BANDS = 30
@@ -229,7 +229,7 @@ def near_duplicates(docs: DataFrame, *, id_col="doc_id", text_col="text", width=
     ).where("members > 1")
     lead = F.when(F.col("third") == 0, F.col("first")).when(F.col("third") == 1, F.col("last")).otherwise(F.col("some"))
     shared = stored(bands.join(leaders, "key").select("key", "id", "members", lead.alias("lead")), "buckets")
-    members = shared.select("id").distinct()
+    members = broadcast_if_few(stored(shared.select("id").distinct(), "members"))
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     chosen = texts.join(members, texts["_id"] == members["id"], "left_semi")
     sets = chosen.mapInArrow(_sets_of("_id", "_text", width), "id long, shingles binary").dropDuplicates(["id"])
@@ -265,5 +265,5 @@ def near_duplicates(docs: DataFrame, *, id_col="doc_id", text_col="text", width=
     result = sketched.select("id", *name).join(grouped, name, "left")
     component = F.coalesce("component", "id")
     return result.select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), (component == F.col("id")).alias("kept")
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept")
     )
