@@ -81,33 +81,54 @@ class LanguageModel:
         return running[w.first[1:]] - running[w.first[:-1]]
 
 
-def _counter(languages: list[str], n: int):
-    """Counts by language of words (``n`` = 0) or of runs of ``n`` bytes in the batch's different words."""
+def _salted(keys: np.ndarray, n: int) -> np.ndarray:
+    """Keys of words (``n`` = 0) and of runs of ``n`` bytes do not meet."""
+    return keys ^ np.uint64(n * 0x9E3779B97F4A7C15 % (1 << 64))
+
+
+def _counter(languages: list[str]):
+    """Counts by language of words, and of runs of bytes in the different words; the last column tells the length of run."""
     width = len(languages)
 
     def count(batch):
         number = pc.index_in(batch["label"], pa.array(languages)).to_numpy(zero_copy_only=False)
-        keys, counts = [np.zeros(0, np.uint64)], [np.zeros((0, width), np.int64)]
+        keys, counts = [np.zeros(0, np.uint64)], [np.zeros((0, width + 1), np.int64)]
+
+        def add(key, language, weight, n):
+            matrix = np.zeros((len(key), width + 1), np.int64)
+            matrix[np.arange(len(key)), language] = weight
+            distinct, sums = add_up(key, matrix)
+            sums[:, width] = n
+            keys.append(distinct)
+            counts.append(sums)
+
         for row, part in slices(batch["text"]):
             w = tokens(part)
             language = number[row : row + len(part)][w.text_of]
-            key = w.hashes()
-            if n:
-                word, _, key = _runs(w, w.start, w.end, n)
-                language = language[word]
-            order = np.lexsort([language, key])
-            key, language = key[order], language[order]
-            first = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (language[1:] != language[:-1])][: len(key)])
-            matrix = np.zeros((len(first), width), np.int64)
-            matrix[np.arange(len(first)), language[first]] = np.diff(np.r_[first, len(key)])
-            distinct, sums = add_up(key[first], matrix)
-            keys.append(distinct)
-            counts.append(sums)
-        return add_up(np.concatenate(keys), np.concatenate(counts))
+            hashes = w.hashes()
+            salted = hashes + language.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+            _, first, weight = np.unique(salted, return_index=True, return_counts=True)
+            add(hashes[first], language[first], weight, 0)
+            for n in range(1, LONGEST + 1):
+                word, _, key = _runs(w, w.start[first], w.end[first], n)
+                of = language[first][word]
+                together = key + of.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+                _, one, times = np.unique(together, return_index=True, return_counts=True)
+                add(_salted(key[one], n), of[one], times, n)
+        return add_up_lengths(np.concatenate(keys), np.concatenate(counts))
 
     return count
 
 
+def add_up_lengths(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Like :func:`add_up`; the last column is the same in all rows of a key and stays."""
+    _, first = np.unique(keys, return_index=True)
+    distinct, sums = add_up(keys, counts)
+    if len(sums):
+        sums[:, -1] = counts[first, -1]
+    return distinct, sums
+
+
 def fit(labelled: DataFrame, *, id_col="doc_id", text_col="text", label_col="lang", max_rows=MAX_TRAIN_ROWS):
     """A :class:`LanguageModel` from rows with a language, at most about ``max_rows`` of them."""
     rows = labelled.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
@@ -119,7 +140,14 @@ def fit(labelled: DataFrame, *, id_col="doc_id", text_col="text", label_col="lan
     if not width:
         return LanguageModel([], np.zeros(0, np.uint64), np.zeros((0, 0)), [], np.zeros(0))
     common = " + ".join(f"n{i}" for i in range(width)) + f" >= {MIN_COUNT}"
-    tables = [table_of(keyed_sums(rows, _counter(languages, n), width).where(common), width) for n in range(LONGEST + 1)]
+    keys, counts = table_of(keyed_sums(rows, _counter(languages), width + 1, {width: F.max}).where(common), width + 1)
+    tables = []
+    for n in range(LONGEST + 1):
+        own = counts[:, width] == n
+        found = _salted(keys[own], n)
+        order = np.argsort(found)
+        tables.append((found[order], counts[own][order, :width]))
+
     # one scale for all tables: what a word or run adds is its share within its language, smoothed alike
     def logs(counts):
         return np.log((counts + SMOOTHING) / (counts.sum(axis=0) + SMOOTHING * (len(counts) + 1)))
