@@ -8,8 +8,8 @@ starts in a document with a smaller id. The work is done in shards of documents:
 2. Shards announce their windows over candidate groups by a hash of all their words and a second,
    independent check, with the smallest id; a shard is told about those windows that stand in a
    document before all of its own. That confirms the recurring passages.
-3. Every shard compiles its confirmed windows into an Aho-Corasick automaton over word numbers and
-   streams all its documents through it, which finds every occurrence word for word.
+3. Every shard compiles its confirmed passages, longest runs of such windows, into an Aho-Corasick automaton over
+   word numbers and streams all its documents through it, which finds every occurrence word for word.
 
 Defined results: null and empty texts have no word and lose none. A text shorter than a window loses
 nothing. Rows that repeat an id are one document: they do not take words from each other. Ids are integers; a
@@ -97,47 +97,63 @@ def _windows_of(id_col, text_col, width):
     return work
 
 
-def _confirmed(shard: _Shard, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """One place of every window that some document of this shard must give up, and the first id that has it."""
+def _confirmed(shard: _Shard, answers: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Passages that documents of this shard must give up: first and last word, and an id before which they do not count.
+
+    A passage is a longest run of windows of one document that an earlier document holds too.
+    """
     key, check = shard.windows()
     order = np.argsort(key, kind="stable")
     ordered = key[order]
     begin = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]][: len(ordered)])
-    last = np.r_[begin[1:], len(ordered)] - 1
     place = order[begin]
-    low, high = shard.window_ids[place], shard.window_ids[order[last]]
+    low = shard.window_ids[place]
     asked = np.argsort(answers["key"].to_numpy().view(np.uint64))
     known = answers["key"].to_numpy().view(np.uint64)[asked]
     at, there = lookup(known, ordered[begin])
     if len(known):
         there &= answers["check"].to_numpy()[asked][at] == check[place]
         low = np.where(there, np.minimum(low, answers["low"].to_numpy()[asked][at]), low)
-    chosen = low < high
-    return shard.at[place[chosen]], low[chosen]
-
-
-def _covered(shard: _Shard, starts: np.ndarray, low: np.ndarray) -> np.ndarray:
-    """Which words of the shard the automaton finds in a confirmed window of an earlier document."""
+    least = np.empty(len(key), np.int64)
+    least[order] = np.repeat(low, np.diff(np.r_[begin, len(ordered)]))
+    given = np.flatnonzero(least < shard.window_ids)
+    if not len(given):
+        return given, given, given
+    start = shard.at[given]
+    text = np.searchsorted(shard.first, start, "right")
+    new = np.flatnonzero(np.r_[True, (np.diff(start) != 1) | (np.diff(text) != 0)])
+    last = start[np.r_[new[1:], len(start)] - 1] + shard.width - 1
+    return start[new], last, np.maximum.reduceat(least[given], new)
+
+
+def _covered(shard: _Shard, start: np.ndarray, last: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Which words of the shard the automaton finds in a confirmed passage of earlier documents."""
     covered = np.zeros(len(shard.hashes), bool)
-    if not len(starts):
+    if not len(start):
         return covered
-    _, numbers = np.unique(shard.hashes, return_inverse=True)
+    numbers = np.unique(shard.hashes, return_inverse=True)[1].tolist()
+    passages: dict[tuple[int, ...], int] = {}
+    for a, b, least in zip(start.tolist(), last.tolist(), low.tolist(), strict=True):
+        passage = tuple(numbers[a : b + 1])
+        passages[passage] = min(least, passages.get(passage, least))
     automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-    sequences = numbers[starts[:, None] + np.arange(shard.width)].tolist()
-    for sequence, number in zip(sequences, range(len(low)), strict=True):
-        automaton.add_word(tuple(sequence), number)
+    for i, passage in enumerate(passages):
+        automaton.add_word(passage, i)
     automaton.make_automaton()
+    sizes = np.array([len(p) for p in passages])
+    lows = np.array(list(passages.values()))
     for i, document in enumerate(shard.ids):
         begin, end = shard.first[i], shard.first[i + 1]
         if end - begin < shard.width:
             continue
-        found = list(automaton.iter(tuple(numbers[begin:end].tolist())))
+        found = list(automaton.iter(tuple(numbers[begin:end])))
         if found:
-            place, number = np.array(found).T
-            place = place[low[number] < document] + begin
-            steps = np.zeros(len(covered[begin:end]) + 1, np.int64)
-            np.add.at(steps, place - shard.width + 1 - begin, 1)
-            np.add.at(steps, place + 1 - begin, -1)
+            place, which = np.array(found).T
+            counts = lows[which] < document
+            place, size = place[counts] + 1, sizes[which[counts]]
+            steps = np.zeros(end - begin + 1, np.int64)
+            np.add.at(steps, place - size, 1)
+            np.add.at(steps, place, -1)
             covered[begin:end] = np.cumsum(steps[:-1]) > 0
     return covered
 
