@@ -41,8 +41,8 @@ def to_int(value: Column | str) -> Column:
 
 
 def to_bigint(value: Column | str) -> Column:
-    """As :func:`to_int`, for whole numbers up to 2^53."""
-    return _col(value).try_cast("double").try_cast("bigint")
+    """As :func:`to_int`; whole numbers are exact, those written with a fraction up to 2^53."""
+    return F.coalesce(_col(value).try_cast("bigint"), _col(value).try_cast("double").try_cast("bigint"))
 
 
 def is_missing(name: str, data_type: T.DataType) -> Column:

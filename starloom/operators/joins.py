@@ -13,8 +13,6 @@ from starloom.session import scratch_path
 # Spark refuses to broadcast above 8 GB; a dimension far below that fits every executor.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
-NULL_KEY_SPREAD = 1024
-
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's upper estimate of the frame's size; None where the session does not tell."""
@@ -70,8 +68,8 @@ def left_join(
     """Left outer equi-join on ``{left column: right column}``; every match and every left row is kept.
 
     * Left rows with a null key match nothing, but would all be shuffled to one task. Given
-      ``spread_by``, columns that tell rows apart, a number hashed from them joins the key and
-      scatters these rows.
+      ``spread_by``, columns that tell rows apart, their hash joins the key and scatters these rows over all
+      tasks.
     * A hot key is split by adaptive execution at run time. Where that is off or too late,
       ``salts`` > 1 splits left keys over that many tasks and repeats their right rows as often:
       only the keys in ``hot`` (see :func:`find_hot_keys`), or all of them without it.
@@ -102,8 +100,7 @@ def left_join(
         left_number = F.when(F.col("_hot"), left_number).otherwise(F.pmod(row_hash, F.lit(1)))
         right_number = F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(zero)))
 
-    spread = F.pmod(row_hash, F.lit(NULL_KEY_SPREAD))
-    left_side = left.withColumn("_part", F.when(null_key, spread).otherwise(left_number)).drop("_hot")
+    left_side = left.withColumn("_part", F.when(null_key, row_hash).otherwise(left_number)).drop("_hot")
     right_side = right.withColumn("_right_part", right_number).drop("_hot")
     condition = left_side["_part"] == right_side["_right_part"]
     for left_key, right_key in on.items():

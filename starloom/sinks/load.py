@@ -24,7 +24,7 @@ def _attempt(phase: int, name: str, step: Step) -> tuple:
     try:
         return (phase, name, "ok", step(), None)
     except Exception as error:  # any failure belongs in the report
-        return (phase, name, "failed", None, str(error)[:2000])
+        return (phase, name, "failed", None, str(error))
 
 
 def run_load(spark: SparkSession, phases: Sequence[Mapping[str, Step]]) -> DataFrame:

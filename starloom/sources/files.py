@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from starloom.functions.values import to_int
 
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
-MONTH_PATTERN = r"_(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)(\d{2})"
+# the last one in a path: of the file name, else of the nearest folder
+MONTH_PATTERN = r"(?i)^.*_(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)(\d{2})"
 
 
 def read_table(
@@ -118,12 +119,13 @@ def read_monthly(
 ) -> DataFrame:
     """A set of files (or folders) named ``..._apr16...``, one per month, read as one table.
 
+    The month is read from the file name, else from the nearest folder, in upper or lower case.
     Adds source_file, source_month (1-12) and source_year (two digits, as named).
     """
     df = read_table(spark, path, fmt, schema=schema, **options)
     chosen = list(columns) if columns is not None else df.columns
     where = F.col("_metadata.file_path")
-    month = F.regexp_extract(where, MONTH_PATTERN, 1)
+    month = F.lower(F.regexp_extract(where, MONTH_PATTERN, 1))
     numbers = F.array(*[F.lit(m) for m in MONTHS])
     return df.select(
         *chosen,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.functions.calendar import epoch_millis_ts
 from starloom.functions.values import to_bigint, to_int
@@ -34,13 +35,29 @@ def log_columns() -> list[Column]:
     ]
 
 
-def read_log_events(spark: SparkSession, path: str, **options) -> DataFrame:
-    """Activity log, one JSON object per line, in any depth of folders."""
+def _read_json(
+    spark: SparkSession, path: str, schema: T.StructType, corrupt_column: str | None, options: dict
+) -> DataFrame:
     options = {"recursiveFileLookup": True, **options}
-    return spark.read.schema(LOG_JSON).options(**options).json(path).select(*log_columns())
+    if corrupt_column is not None:
+        schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
+        options["columnNameOfCorruptRecord"] = corrupt_column
+    return spark.read.schema(schema).options(**options).json(path)
 
 
-def read_songs(spark: SparkSession, path: str, **options) -> DataFrame:
-    """Song metadata, matched by key name, in any depth of folders."""
-    options = {"recursiveFileLookup": True, **options}
-    return spark.read.schema(SONG_JSON).options(**options).json(path)
+def read_log_events(
+    spark: SparkSession, path: str, *, corrupt_column: str | None = None, **options
+) -> DataFrame:
+    """Activity log, one JSON object per line, in any depth of folders.
+
+    ``corrupt_column`` collects the lines that are no JSON or hold a value of another type.
+    """
+    kept = [] if corrupt_column is None else [F.col(corrupt_column)]
+    return _read_json(spark, path, LOG_JSON, corrupt_column, options).select(*log_columns(), *kept)
+
+
+def read_songs(
+    spark: SparkSession, path: str, *, corrupt_column: str | None = None, **options
+) -> DataFrame:
+    """Song metadata, matched by key name, in any depth of folders; ``corrupt_column`` as for the log."""
+    return _read_json(spark, path, SONG_JSON, corrupt_column, options)

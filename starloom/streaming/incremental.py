@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -12,6 +13,15 @@ from starloom.schemas import LOG_JSON
 from starloom.sources.logs import log_columns
 
 BATCH_COLUMN = "batch_id"
+STREAM_COLUMN = "stream_id"
+ANY_AGE = "36500d"
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what stands in a folder; none if there is no such folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in files.listStatus(folder)] if files.exists(folder) else []
 
 
 def stage_new_files(
@@ -24,28 +34,41 @@ def stage_new_files(
     fmt: str = "json",
     transform: Callable[[DataFrame], DataFrame] | None = None,
     max_files_per_batch: int | None = None,
+    max_file_age: str = ANY_AGE,
     **options,
 ) -> int:
     """Load the files that are new in ``source`` since the last run, then stop; returns the rows added.
 
-    ``progress`` is the stream's checkpoint folder. Each batch overwrites its own folder
-    ``target/batch_id=N``: a batch that is repeated after a failure replaces what it wrote before,
-    so no row is staged twice. ``max_files_per_batch`` cuts a large backlog into several batches.
+    ``progress`` is the stream's checkpoint folder; its id is part of the names below ``target``. Each
+    batch overwrites its own folder ``target/stream_id=.../batch_id=N``: a batch that is repeated after a
+    failure replaces what it wrote before, so no row is staged twice. A target that holds batches
+    of another stream is refused: with a new ``progress`` folder all files would be staged once more.
+
+    ``max_files_per_batch`` cuts a large backlog into several batches. A file counts as new however old
+    it is, unless ``max_file_age`` says otherwise. The list of files seen grows with the source;
+    ``cleanSource="archive"`` with ``sourceArchiveDir`` keeps it short.
     """
-    reader = spark.readStream.format(fmt).schema(schema).options(**options)
+    reader = spark.readStream.format(fmt).schema(schema)
+    reader = reader.options(**{"maxFileAge": max_file_age, **options})
     if max_files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     rows = reader.load(source)
     if transform is not None:
         rows = transform(rows)
 
+    base = target.rstrip("/")
     added = 0
+    known = threading.Event()
+    stream = ""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         nonlocal added
+        known.wait()
+        if not stream:
+            return
         counted = Observation()
         batch.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
-            f"{target.rstrip('/')}/{BATCH_COLUMN}={batch_id}"
+            f"{base}/{STREAM_COLUMN}={stream}/{BATCH_COLUMN}={batch_id}"
         )
         added += int(counted.get["n"])
 
@@ -55,6 +78,18 @@ def stage_new_files(
         .trigger(availableNow=True)
         .start()
     )
+    try:
+        others = [
+            n
+            for n in _names(spark, base)
+            if n.startswith((f"{STREAM_COLUMN}=", f"{BATCH_COLUMN}=")) and n != f"{STREAM_COLUMN}={query.id}"
+        ]
+        if others:
+            query.stop()
+            raise ValueError(f"{target} holds batches of another stream: {others}")
+        stream = str(query.id)
+    finally:
+        known.set()
     query.awaitTermination()
     return added
 
@@ -72,6 +107,13 @@ def stage_new_logs(spark: SparkSession, source: str, target: str, progress: str,
     )
 
 
-def read_staged(spark: SparkSession, target: str) -> DataFrame:
-    """Everything staged so far, without the batch number."""
-    return spark.read.parquet(target).drop(BATCH_COLUMN)
+def read_staged(
+    spark: SparkSession, target: str, schema: T.StructType | str | None = None
+) -> DataFrame:
+    """Everything staged so far, without the numbers of stream and batch.
+
+    With ``schema``, that of the staged rows, a target that no run has filled yet has no rows.
+    """
+    if schema is not None and not _names(spark, target):
+        return spark.createDataFrame([], schema)
+    return spark.read.parquet(target).drop(BATCH_COLUMN, STREAM_COLUMN)

@@ -15,7 +15,8 @@ from starloom.workload.registry import table
 
 
 def log_events(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items as staged log rows; returnflag N plays a song, line number 7 carries no song."""
+    """Line items as staged log rows; returnflag N plays a song, line number 7 carries no song.
+    A song of a PROMO part is played under another title, so that some plays match nothing."""
     sold = (
         table(spark, sf, "lineitem")
         .join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -23,6 +24,7 @@ def log_events(spark: SparkSession, sf: str) -> DataFrame:
         .join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
     )
     has_song = F.col("l_linenumber") < 7
+    live = F.when(F.col("p_type") == "PROMO", " (live)").otherwise("")
     millis = (F.col("l_partkey") % 2000) * 43000 + F.col("l_linenumber") * 137
     return sold.select(
         F.when(has_song, F.col("p_brand")).alias("artist"),
@@ -43,7 +45,7 @@ def log_events(spark: SparkSession, sf: str) -> DataFrame:
             "registration"
         ),
         F.col("l_orderkey").cast("int").alias("session_id"),
-        F.when(has_song, F.col("p_name")).alias("song"),
+        F.when(has_song, F.concat("p_name", live)).alias("song"),
         F.lit(200).alias("status"),
         F.timestamp_add("MILLISECOND", millis, F.col("l_shipdate")).alias("ts"),
         F.concat("l_returnflag", "l_linestatus").alias("user_agent"),
@@ -63,7 +65,7 @@ LOG_SQL = """log AS (
     CAST(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) * 86400000 AS BIGINT)
       AS registration,
     CAST(l_orderkey AS INTEGER) AS session_id,
-    CASE WHEN l_linenumber < 7 THEN p_name END AS song, 200 AS status,
+    CASE WHEN l_linenumber < 7 THEN p_name || CASE WHEN p_type = 'PROMO' THEN ' (live)' ELSE '' END END AS song, 200 AS status,
     CAST(l_shipdate + to_milliseconds((l_partkey % 2000) * 43000 + l_linenumber * 137)
       AS TIMESTAMP) AS ts,
     l_returnflag || l_linestatus AS user_agent, CAST(o_custkey AS INTEGER) AS user_id
@@ -72,11 +74,10 @@ LOG_SQL = """log AS (
 
 
 def song_metadata(spark: SparkSession, sf: str) -> DataFrame:
-    """Parts as song metadata. PROMO parts are missing, so some plays match nothing."""
+    """All parts as song metadata."""
     half = (F.col("p_size") / 2).cast("decimal(18,5)")
     return (
         table(spark, sf, "part")
-        .where(F.col("p_type") != "PROMO")
         .select(
             F.lit(1).alias("num_songs"),
             F.concat(F.lit("A"), "p_brand").alias("artist_id"),
@@ -98,7 +99,7 @@ SONG_SQL = """song AS (
     CASE WHEN p_size % 5 > 0 THEN CAST(-p_size / 2.0 AS DECIMAL(18,5)) END AS artist_longitude,
     p_type AS artist_location, p_brand AS artist_name, 'S' || p_partkey AS song_id,
     p_name AS title, CAST(p_retailprice AS DECIMAL(18,5)) AS duration, p_size + 1960 AS year
-  FROM part WHERE p_type <> 'PROMO')"""
+  FROM part)"""
 
 PLAYS_SQL = f"""WITH {LOG_SQL}, {SONG_SQL}, play AS (
   SELECT l.ts, l.user_id, l.level, s.song_id, s.artist_id, l.session_id, l.location, l.user_agent

@@ -163,22 +163,15 @@ def left_join_unmatched(spark, sf):
 
 @query(
     "inner_join_using",
-    f"""SELECT l_orderkey, l_partkey, l_suppkey, least_line, CAST(quantity AS DOUBLE) AS quantity
-    FROM (SELECT l_orderkey, l_partkey, l_suppkey, min(l_linenumber) AS least_line
-        FROM lineitem GROUP BY ALL)
-      JOIN (SELECT l_orderkey, l_partkey, l_suppkey, sum(CAST(l_quantity AS {_MONEY})) AS quantity
-        FROM lineitem GROUP BY ALL) USING (l_orderkey, l_partkey, l_suppkey)""",
+    f"""SELECT l_orderkey, o_custkey, o_totalprice, CAST(quantity AS DOUBLE) AS quantity
+    FROM (SELECT l_orderkey, sum(CAST(l_quantity AS {_MONEY})) AS quantity FROM lineitem GROUP BY ALL)
+      JOIN (SELECT o_orderkey AS l_orderkey, o_custkey, o_totalprice FROM orders) USING (l_orderkey)""",
 )
 def inner_join_using(spark, sf):
-    key = ["l_orderkey", "l_partkey", "l_suppkey"]
-    lines = table(spark, sf, "lineitem")
-    least = aggregates.min_per_key(
-        lines.withColumn("least_line", F.col("l_linenumber")), key, ["least_line"]
-    )
-    total = aggregates.sum_per_key(
-        lines.withColumn("quantity", F.col("l_quantity").cast(_MONEY)), key, ["quantity"]
-    )
-    return least.join(total, key, "inner").withColumn("quantity", F.col("quantity").cast("double"))
+    lines = table(spark, sf, "lineitem").withColumn("quantity", F.col("l_quantity").cast(_MONEY))
+    total = aggregates.sum_per_key(lines, ["l_orderkey"], ["quantity"])
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_totalprice")
+    return total.join(orders, "l_orderkey", "inner").withColumn("quantity", F.col("quantity").cast("double"))
 
 
 @query(

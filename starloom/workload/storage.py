@@ -12,7 +12,7 @@ from starloom.plans import songplays as music
 from starloom.plans.immigration import build_dates, build_immigration
 from starloom.schemas import CONTRACTS, TableContract, struct
 from starloom.session import scratch_path
-from starloom.sinks.load import run_load
+from starloom.sinks.load import LoadError, run_load
 from starloom.sinks.parquet import write_parquet
 from starloom.sinks.tables import create_table, drop_table, load_table
 from starloom.sources.files import (
@@ -162,10 +162,11 @@ def json_song_scan(spark, sf):
       min(o_orderdate) AS first_day, max(o_orderdate) AS last_day FROM orders GROUP BY ALL""",
 )
 def monthly_files(spark, sf):
-    """Orders kept as one folder per month named like i94_apr96_sub, read back by a glob."""
-    root = scratch_path(spark, "monthly")
+    """Orders kept as one folder per month named like i94_apr96_sub, below one that names a month too."""
+    root = scratch_path(spark, "monthly_mar20")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    name = F.lower(F.date_format("o_orderdate", "MMMyy"))
+    name = F.date_format("o_orderdate", "MMMyy")
+    name = F.when(F.month("o_orderdate") == 4, F.upper(name)).otherwise(F.lower(name))
     folder = F.concat(F.lit("i94_"), name, F.lit("_sub"))
     write_parquet(orders.withColumn("set", folder), root, ["set"])
     months = read_monthly(spark, f"{root}/set=i94_*_sub")
@@ -176,10 +177,37 @@ def monthly_files(spark, sf):
     )
 
 
-@query("preview")
+def _row_check(spark, sf, some):
+    """How many rows there are, and how many of them stand in the table; which come is not defined."""
+    lines = table(spark, sf, "lineitem").select(F.xxhash64("*").alias("row")).distinct()
+    found = some.select(F.xxhash64("*").alias("row")).join(lines, "row", "left")
+    return found.agg(F.count(F.lit(1)).alias("n_rows"), F.count("row").alias("n_known"))
+
+
+@query("preview", "SELECT count(*) AS n_rows, count(*) AS n_known FROM (SELECT * FROM lineitem LIMIT 5)")
 def preview_query(spark, sf):
-    """The limit is the operator here; which rows come is not defined, hence no SQL twin."""
-    return preview(table(spark, sf, "lineitem"), 5)
+    """The limit is the operator here."""
+    return _row_check(spark, sf, preview(table(spark, sf, "lineitem"), 5))
+
+
+@query("load_size", "SELECT count(*) AS n_rows, count(*) AS n_known FROM (SELECT * FROM lineitem LIMIT 1000)")
+def load_size_query(spark, sf):
+    """The limit is the operator here."""
+    return _row_check(spark, sf, read_table(spark, f"{sf}/lineitem.parquet", load_size=1000))
+
+
+@query(
+    "json_corrupt_rows",
+    """SELECT CASE WHEN l_linenumber <> 4 THEN CAST(l_orderkey AS INTEGER) END AS session_id,
+      CASE WHEN l_linenumber = 4 THEN '{"sessionId":' || l_orderkey || ',"ts":' END AS bad_line FROM lineitem""",
+)
+def json_corrupt_rows(spark, sf):
+    """Line items as log lines that break off where the line number is 4."""
+    head = F.concat(F.lit('{"sessionId":'), F.col("l_orderkey").cast("string"), F.lit(',"ts":'))
+    line = F.when(F.col("l_linenumber") == 4, head).otherwise(F.concat(head, F.lit("0}")))
+    path = scratch_path(spark, "log-text")
+    table(spark, sf, "lineitem").select(line.alias("value")).write.text(path)
+    return read_log_events(spark, path, corrupt_column="bad_line").select("session_id", "bad_line")
 
 
 @query(
@@ -356,6 +384,28 @@ def load_report(spark, sf):
     )
 
 
+@query(
+    "load_failure_report",
+    """SELECT 1 AS phase, 'lines' AS step, 'ok' AS status, count(*) AS n_rows, CAST(0 AS INTEGER) AS n_chars FROM lineitem
+    UNION ALL SELECT 1, 'broken', 'failed', NULL, 3000 UNION ALL SELECT 2, 'later', 'skipped', NULL, 0""",
+)
+def load_failure_report(spark, sf):
+    """A step that fails keeps its whole error text, its phase goes on, and the next phase is skipped."""
+
+    def broken():
+        raise ValueError("x" * 3000)
+
+    def lines():
+        return table(spark, sf, "lineitem").count()
+
+    try:
+        run_load(spark, [{"lines": lines, "broken": broken}, {"later": lines}])
+    except LoadError as error:
+        n_chars = F.coalesce(F.char_length("error"), F.lit(0)).alias("n_chars")
+        return error.report.select("phase", "step", "status", "n_rows", n_chars)
+    raise AssertionError("a failed step went unnoticed")
+
+
 @query(
     "incremental_stage",
     """SELECT event_id, date_trunc('millisecond', ts) AS ts, user_id, event_type, value, props

@@ -156,3 +156,10 @@ def test_weighted_mean_refuses_unknown_rule():
 def test_identity_key_is_unique(spark):
     ids = spark.range(1000, numPartitions=7).select(keys.identity_key(5).alias("i"))
     assert ids.agg(F.count_distinct("i"), F.min("i")).first()[:] == (1000, 5)
+
+
+def test_whole_numbers_stay_exact(spark):
+    row = spark.sql("SELECT '9007199254740993' AS a, '12.0' AS b, 'x' AS c").select(
+        *[values.to_bigint(c).alias(c) for c in "abc"]
+    )
+    assert tuple(row.first()) == (9007199254740993, 12, None)

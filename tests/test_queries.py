@@ -4,6 +4,7 @@ import pytest
 from check_oracle import compare, connect
 
 import __spark_entry__ as driver
+from starloom.workload.registry import ORACLE_SQL, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -13,22 +14,18 @@ def oracle():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_sql(spark, oracle, name):
     df = driver.queries()[name](spark, SF_DIR)
-    expected = oracle.sql(driver.oracle_sql()[name]).to_arrow_table()
+    expected = oracle.sql(ORACLE_SQL[name]).to_arrow_table()
     assert compare(df.toArrow(), expected) is None
     plan = df._jdf.queryExecution().toString()
     for unwanted in ("EvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert unwanted not in plan
 
 
-def test_every_query_but_preview_has_sql():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == {"preview"}
-
-
-def test_preview_gives_rows(spark):
-    assert driver.queries()["preview"](spark, SF_DIR).count() == 5
+def test_every_query_of_the_library_has_sql():
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
 def test_entry(spark):

@@ -299,7 +299,30 @@ def test_incremental_staging(spark, path):
     staged = read_staged(spark, target)
     assert staged.count() == 9
     assert "batch_id" not in staged.columns and "first_name" in staged.columns
-    assert len(list(Path(target).glob("batch_id=*"))) == 3
+    assert len(list(Path(target).glob("stream_id=*/batch_id=*"))) == 3
+
+
+def test_staging_takes_late_files_and_refuses_a_foreign_target(spark, path):
+    import os
+
+    source, target = f"{path}/in", f"{path}/out"
+    schema = "a int"
+
+    def stage(progress):
+        return stage_new_files(spark, source, target, f"{path}/{progress}", schema)
+
+    Path(source).mkdir()
+    assert stage("p") == 0
+    assert read_staged(spark, target, schema).count() == 0
+    put(source, "new.json", '{"a": 1}\n')
+    assert stage("p") == 1
+    late = put(source, "late.json", '{"a": 2}\n')
+    month_ago = Path(late).stat().st_mtime - 30 * 86400
+    os.utime(late, (month_ago, month_ago))
+    assert stage("p") == 1
+    with pytest.raises(ValueError, match="another stream"):
+        stage("lost")
+    assert sorted(r.a for r in read_staged(spark, target, schema).collect()) == [1, 2]
 
 
 # --- jobs -------------------------------------------------------------------------------------
