@@ -28,6 +28,7 @@ KINDS = 3
 CHARACTERS = 4
 PASSES = 4
 TASKS = 6
+SUMS = 4
 STEP_BYTES = 256 << 10  # text of one gradient step
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
@@ -140,6 +141,19 @@ def _learn(batches: Iterator[pa.RecordBatch], weights: np.ndarray, bias: float)
     return weights, bias
 
 
+def _weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the weights and intercepts of some training tasks, times the rows of each."""
+    weights, bias, rows = None, 0.0, 0
+    for batch in batches:
+        for i in range(batch.num_rows):
+            n = batch["n"][i].as_py()
+            own = np.frombuffer(batch["weights"][i].as_buffer(), np.float32) * np.float32(n)
+            weights = own if weights is None else weights + own
+            bias, rows = bias + batch["bias"][i].as_py() * n, rows + n
+    if weights is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()]), pa.array([bias]), pa.array([rows])], ["weights", "bias", "n"])
+
+
 def fit(labelled: DataFrame, *, id_col="doc_id", text_col="text", label_col="quality", max_rows=MAX_TRAIN_ROWS):
     """A :class:`QualityModel` from rows with a 0/1 label, at most about ``max_rows`` of them."""
     rows = labelled.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
@@ -165,13 +179,14 @@ def fit(labelled: DataFrame, *, id_col="doc_id", text_col="text", label_col="qua
                     ["weights", "bias", "n"],
                 )
 
-        parts = training.mapInArrow(one_pass, "weights binary, bias double, n long").collect()
+        schema = "weights binary, bias double, n long"
+        # a few tasks add up what each training task has learned, so that the driver gets a few rows
+        parts = training.mapInArrow(one_pass, schema).repartition(SUMS).mapInArrow(_weighed, schema).collect()
         if not parts:
             return QualityModel(weights.astype(np.float32), 0.0, np.zeros(2))
         total = sum(p.n for p in parts)
-        weights = sum(np.frombuffer(p.weights, np.float32).astype(float) * p.n for p in parts) / total
-        weights = weights.reshape(KINDS, -1)
-        bias = sum(p.bias * p.n for p in parts) / total
+        weights = (sum(np.frombuffer(p.weights, np.float32).astype(float) for p in parts) / total).reshape(KINDS, -1)
+        bias = sum(p.bias for p in parts) / total
     plain = QualityModel(weights.astype(np.float32), bias, np.array([1.0, 0.0]))
 
     def fold_scores(batches):
