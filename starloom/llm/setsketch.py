@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.components import broadcast_if_few, components, stored
+from starloom.llm.components import broadcast_if_few, components, joined_components, stored
 from starloom.llm.text import mix, slices, strings, windows, words
 
 BANDS = 30
@@ -113,6 +113,20 @@ def floor_for(percent: int) -> float:
     return s - MARGIN * (s * (1 - s) / REGISTERS) ** 0.5
 
 
+def likely(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that may be linked, and their estimates.
+
+    The sizes alone rule many out. An estimate is at most the share of equal registers times the ratio of the larger to the
+    smaller set, so that where this falls short by more than the grid's step the likelihood need not be worked out.
+    """
+    low = floor_for(percent)
+    small, large = np.minimum(size_a, size_b), np.maximum(size_a, size_b)
+    equal = (a == b).sum(axis=1)
+    at = np.flatnonzero((100 * small >= percent * large) & (equal * large >= (low - 0.02) * REGISTERS * small))
+    j = estimate(np.broadcast_to(a, b.shape)[at], b[at], size_a[at], size_b[at]) if len(at) else np.zeros(0)
+    return at[j >= low], j[j >= low]
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * both >= percent * (len(a) + len(b) - both)
@@ -166,15 +180,14 @@ def _sets_of(id_col: str, text_col: str, width: int):
 
 
 def _confirm(percent: int):
-    low = floor_for(percent)
-
     def each(batches):
         for batch in batches:
             a, b = _unpack(batch["registers_a"]), _unpack(batch["registers_b"])
             sets = [[np.frombuffer(x, np.uint64) for x in batch[c].to_pylist()] for c in ("shingles_a", "shingles_b")]
             sizes = [np.array([len(x) for x in s], float) for s in sets]
-            likely = estimate(a, b, *sizes) >= low if len(a) else np.zeros(0, bool)
-            keep = np.array([ok and linked(x, y, percent) for ok, x, y in zip(likely, *sets, strict=True)], bool)
+            keep = np.zeros(len(a), bool)
+            for i in likely(a, b, *sizes, percent)[0]:
+                keep[i] = linked(sets[0][i], sets[1][i], percent)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return each
@@ -182,8 +195,6 @@ def _confirm(percent: int):
 
 def _block(percent: int):
     """Links that join different components of one block of a bucket, likeliest pairs first."""
-    low = floor_for(percent)
-
     def work(table):
         table = table.sort_by("id")
         ids = table["id"].to_numpy()
@@ -199,9 +210,8 @@ def _block(percent: int):
             rest = rest[(component[rest] != component[i]) & ((side[rest] == 2) | (side[rest] != side[i])) & (ids[rest] != ids[i])]
             if not len(rest):
                 continue
-            j = estimate(np.broadcast_to(level[i], (len(rest), REGISTERS)), level[rest], np.full(len(rest), sizes[i]), sizes[rest])
-            likely = j >= low
-            tried.append(np.column_stack([j[likely], np.full(likely.sum(), i), rest[likely]]))
+            at, j = likely(level[i], level[rest], np.full(len(rest), sizes[i]), sizes[rest], percent)
+            tried.append(np.column_stack([j, np.full(len(at), i), rest[at]]))
         if tried:
             tried = np.concatenate(tried)
             for _, i, k in tried[np.argsort(-tried[:, 0], kind="stable")]:
@@ -245,7 +255,6 @@ def near_duplicates(docs: DataFrame, *, id_col="doc_id", text_col="text", width=
     placed = shared.select("key", "id", "members").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     placed = stored(placed, "placed")
     split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    # a pair of members stands in many buckets: only the smallest key of a set of components is gone through where these agree
     open_members = placed.join(split, "key")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     open_members = open_members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64(F.lit("block"), "id"), F.col("blocks")).cast("int"))
@@ -258,7 +267,7 @@ def near_duplicates(docs: DataFrame, *, id_col="doc_id", text_col="text", width=
     more = open_members.groupBy("key", "i", "j").applyInArrow(_block(percent), "a long, b long")
     more = stored(more.distinct(), "links")
     if not more.isEmpty():
-        found = components(links.union(more))
+        found = joined_components(found, more)
 
     grouped = classes.select(*name, F.col("id").alias("rep")).join(found.withColumnRenamed("id", "rep"), "rep", "left")
     grouped = grouped.select(*name, F.coalesce("component", "rep").alias("component"))
