@@ -358,6 +358,28 @@ def test_components_of_a_path(spark):
     assert found == {**{i: 0 for i in range(1, 31)}, 101: 100}
 
 
+def test_components_after_more_edges(spark):
+    def edges(*pairs):
+        return spark.createDataFrame(pairs, "a long, b long")
+
+    found = components.components(edges((1, 2), (2, 3), (5, 6), (8, 9)))
+    joined = components.joined_components(found, edges((3, 6), (6, 20), (30, 31), (2, 3)))
+    assert {r.id: r.component for r in joined.collect()} == {2: 1, 3: 1, 5: 1, 6: 1, 20: 1, 9: 8, 31: 30}
+
+
+def test_pairs_are_ruled_out_only_where_the_estimate_is_low():
+    draw = np.random.default_rng(5)
+    for _ in range(200):
+        n, m = draw.integers(50, 300, 2)
+        both = draw.integers(0, 1 << 63, int(min(n, m) * draw.uniform(0.5, 1)), np.uint64)
+        sets = [np.r_[both, draw.integers(0, 1 << 63, k - len(both), np.uint64)] for k in (n, m)]
+        level = setsketch.registers(np.concatenate(sets), np.array([0, n, n + m]))
+        sizes = np.array([float(n)]), np.array([float(m)])
+        full = setsketch.estimate(level[:1], level[1:], *sizes)[0] >= setsketch.floor_for(80)
+        fits = 100 * min(n, m) >= 80 * max(n, m)
+        assert len(setsketch.likely(level[:1], level[1:], *sizes, 80)[0]) == (full and fits)
+
+
 # --- licenses ---------------------------------------------------------------------------------
 
 
