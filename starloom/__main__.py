@@ -6,7 +6,7 @@ import argparse
 
 from starloom.plans.jobs import arrivals_job, music_job
 from starloom.schemas import CONTRACTS
-from starloom.session import build_session
+from starloom.session import build_session, sized_conf
 from starloom.sinks.tables import create_tables, drop_tables
 
 
@@ -33,15 +33,27 @@ def parser() -> argparse.ArgumentParser:
     for name in ("create", "drop"):
         command = commands.add_parser(name, help=f"{name} the declared tables")
         command.add_argument("tables", nargs="*", choices=[[], *CONTRACTS], metavar="table")
+    arrivals.add_argument("--state-codes", help="state code list to check the arrivals against")
+    for command in (arrivals, music):
+        command.add_argument("--input-bytes", type=int, help="size of the input: sets the partitions")
+        command.add_argument("--cores", type=int, help="cores of the cluster, with --input-bytes")
     for command in commands.choices.values():
         command.add_argument("--database")
     return top
 
 
+def partition_conf(input_bytes: int | None, cores: int | None) -> dict[str, str]:
+    """Settings for an input of known size; all of it may have to be shuffled."""
+    if input_bytes is None:
+        return {}
+    return sized_conf(input_bytes, input_bytes, cores or 1)
+
+
 def main(arguments: list[str] | None = None) -> None:
     given = vars(parser().parse_args(arguments))
     command = given.pop("command")
-    spark = build_session(f"starloom {command}")
+    conf = partition_conf(given.pop("input_bytes", None), given.pop("cores", None))
+    spark = build_session(f"starloom {command}", **conf)
     if command in ("create", "drop"):
         run = create_tables if command == "create" else drop_tables
         run(spark, given["tables"] or list(CONTRACTS), given["database"])

@@ -16,6 +16,16 @@ def md5_key(*parts: Column | str) -> Column:
     return F.md5(F.concat(*texts))
 
 
+def separated_md5_key(*parts: Column | str) -> Column:
+    """MD5 of the parts with a separator between them, so that ("1", "23") and ("12", "3") differ.
+
+    Never null: a null part is another value than any text.
+    """
+    texts = [(F.col(p) if isinstance(p, str) else p).cast("string") for p in parts]
+    marked = [F.coalesce(F.concat(F.lit("="), t), F.lit("")) for t in texts]
+    return F.md5(F.concat_ws("\x1f", *marked))
+
+
 def identity_key(start: int = 0) -> Column:
     """Unique increasing bigint for rows that are written once; gaps occur, as with identity columns.
 

@@ -17,7 +17,13 @@ from starloom.plans.state import build_state
 from starloom.schemas import CONTRACTS, TEMPERATURE
 from starloom.sinks.load import run_load
 from starloom.sinks.tables import drop_table, load_table, qualified
-from starloom.sources.files import read_delimited, read_demographics, read_lookup, read_table
+from starloom.sources.files import (
+    read_delimited,
+    read_demographics,
+    read_lookup,
+    read_state_lookup,
+    read_table,
+)
 from starloom.sources.logs import read_log_events, read_songs
 from starloom.streaming.incremental import read_staged, stage_new_logs
 
@@ -47,6 +53,7 @@ def arrivals_job(
     reload: str = "all",
     enforce: bool = True,
     strict_codes: bool = False,
+    state_codes: str | None = None,
     **options,
 ) -> JobResult:
     """Build the arrivals star as Parquet tables below ``output`` and check them.
@@ -56,7 +63,8 @@ def arrivals_job(
     ``reload="partitions"`` replaces only the months that occur in the input.
 
     Arrival records name countries and states that no list knows. The report counts them, but only
-    with ``strict_codes`` does that fail the job.
+    with ``strict_codes`` does that fail the job. ``state_codes`` names a state code list, which may
+    hold states without demographics; the arrivals' states are then checked against it as well.
     """
     if reload not in ("all", "partitions"):
         raise ValueError(f"reload must be all or partitions, not {reload!r}")
@@ -108,6 +116,10 @@ def arrivals_job(
     codes = references(
         ("i94res", "country", "Code"), ("i94cit", "country", "Code"), ("i94addr", "state", "StateCode")
     )
+    if state_codes is not None:
+        listed = read_state_lookup(spark, state_codes)
+        found = quality.referential(tables["immigration"], "immigration", "i94addr", listed, "Code")
+        codes.append(found.withColumn("check_name", F.lit("listed(i94addr)")))
     checks = _check_all(
         tables,
         [quality.completeness(written[name], tables[name], name) for name in whole]
@@ -135,7 +147,9 @@ def music_job(
 ) -> JobResult:
     """Stage logs and song metadata, then load the song play fact and its four dimensions.
 
-    Every load overwrites, so running the job again does not repeat rows. ``rebuild`` drops the
+    Every load overwrites, so running the job again does not repeat rows, and a play has the same
+    id in every run. A log line that was delivered twice gives the same id twice, which the check
+    of the key reports. ``rebuild`` drops the
     tables first. With ``progress``, a folder that is kept between runs, only log files that are
     new since the last run are read and added to what is staged.
     """
@@ -165,9 +179,9 @@ def music_job(
 
     def load_songplays() -> int:
         fact = music.build_songplays(
-            events(), table("staging_songs"), salts=salts, hot_rows=hot_rows
+            events(), table("staging_songs"), key="hash", salts=salts, hot_rows=hot_rows
         )
-        return load(fact.withColumn("songplay_id", F.col("songplay_id").cast("string")), "songplays")
+        return load(fact, "songplays")
 
     report = run_load(
         spark,

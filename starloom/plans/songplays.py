@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.functions.calendar import epoch_seconds_ts, time_parts, truncate_to_second
-from starloom.functions.keys import identity_key, md5_key
+from starloom.functions.keys import identity_key, md5_key, separated_md5_key
 from starloom.operators.clean import latest_per_key, one_per_key
 from starloom.operators.identity import with_dense_id
 from starloom.operators.joins import find_hot_keys, left_join
@@ -19,6 +19,7 @@ _PLAY_COLUMNS = (
     "start_time", "user_id", "level", "song_id", "artist_id", "session_id", "location",
     "user_agent",
 )
+_NATURAL_KEY = ("session_id", "item_in_session", "start_time", "song_id")
 
 
 def plays(events: DataFrame) -> DataFrame:
@@ -50,12 +51,16 @@ def build_songplays(
 ) -> DataFrame:
     """One row per play and matching song, exact event time; plays without a match are kept.
 
-    ``key`` is ``"identity"`` (unique, with gaps), ``"dense"`` (0, 1, 2, ...; writes the rows once)
-    or None. ``salts`` splits the plays of a song over several tasks; with ``hot_rows`` only of the
-    songs played at least that often, which are counted first.
+    ``key`` is ``"identity"`` (unique, with gaps), ``"dense"`` (0, 1, 2, ...; writes the rows once),
+    ``"hash"`` (the same in every run: session, item in session, time and song) or None. ``salts``
+    splits the plays of a song over several tasks; with ``hot_rows`` only of the songs played at
+    least that often, which are counted first.
     """
     timed = plays(events).withColumn("start_time", F.col("ts"))
-    fact = _match_songs(timed, songs, salts, hot_rows).select(*_PLAY_COLUMNS)
+    matched = _match_songs(timed, songs, salts, hot_rows)
+    if key == "hash":
+        return matched.select(separated_md5_key(*_NATURAL_KEY).alias("songplay_id"), *_PLAY_COLUMNS)
+    fact = matched.select(*_PLAY_COLUMNS)
     if key is None:
         return fact
     if key == "identity":

@@ -6,12 +6,15 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from starloom.functions.values import recode
+from starloom.lookups import RACES
+from starloom.plans.etl import etl_countries, etl_immigration, etl_states
 from starloom.plans.immigration import SOURCE_COLUMNS
 from starloom.plans.jobs import JobResult, arrivals_job, music_job
 from starloom.schemas import TEMPERATURE
 from starloom.session import scratch_path
-from starloom.workload import frames
-from starloom.workload.registry import query
+from starloom.workload import facts_dims, frames  # noqa: F401  (registers the SQL used again below)
+from starloom.workload.registry import ORACLE_SQL, query, table
 from starloom.workload.storage import write_log
 
 
@@ -85,20 +88,23 @@ def _table_items(name: str, relation: str, key: str, *not_null: str) -> list[tup
                 ("i94addr", "StateCode", "state"),
             )
         ],
+        (
+            "immigration listed(i94addr)",
+            "SELECT count(*) FROM fact WHERE i94addr NOT IN (SELECT 'R' || r_regionkey FROM region)",
+        ),
     ),
 )
 def arrivals_job_query(spark, sf):
+    """The state code list holds the codes R0 to R4 of the six that the arrivals name."""
     root = scratch_path(spark, "arrivals-job")
     frames.arrivals_raw(spark, sf).select(*SOURCE_COLUMNS).write.csv(f"{root}/arrivals", header=True)
-    readings = frames.temperature_readings(spark, sf)
-    readings.select(
-        *[
-            F.col(f.name) if f.name in readings.columns else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in TEMPERATURE
-        ]
-    ).write.csv(f"{root}/temperature", header=True)
+    _write_readings(frames.temperature_readings(spark, sf), f"{root}/temperature")
     frames.country_codes(spark, sf).write.csv(f"{root}/codes", header=True, sep=";")
     frames.demographics(spark, sf).write.csv(f"{root}/demographics", header=True, sep=";")
+    region = table(spark, sf, "region")
+    region.select(F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("Code"), F.col("r_name").alias("State")).write.csv(
+        f"{root}/states", header=True, sep=";"
+    )
     return _report(
         arrivals_job(
             spark,
@@ -108,14 +114,71 @@ def arrivals_job_query(spark, sf):
             demographics=f"{root}/demographics",
             output=f"{root}/out",
             database=_database(spark, root),
+            state_codes=f"{root}/states",
         )
     )
 
 
+def _write_readings(readings, path: str) -> None:
+    """Readings as a temperature file with all its columns."""
+    readings.select(
+        *[
+            F.col(f.name) if f.name in readings.columns else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in TEMPERATURE
+        ]
+    ).write.csv(path, header=True)
+
+
+# --- one call per source, on files -------------------------------------------------------------
+
+
+def _etl_immigration(spark, sf):
+    root = scratch_path(spark, "etl-immigration")
+    frames.arrivals_raw(spark, sf).select(*SOURCE_COLUMNS).write.csv(f"{root}/arrivals", header=True)
+    return etl_immigration(spark, f"{root}/arrivals", f"{root}/fact", f"{root}/date"), root
+
+
+@query("etl_immigration", ORACLE_SQL["immigration_fact"])
+def etl_immigration_query(spark, sf):
+    """The fact as it was written, from records as text."""
+    fact, root = _etl_immigration(spark, sf)
+    return spark.read.schema(fact.schema).parquet(f"{root}/fact")
+
+
+@query("etl_immigration_dates", ORACLE_SQL["date_dim_from_fact"])
+def etl_immigration_dates(spark, sf):
+    _, root = _etl_immigration(spark, sf)
+    return spark.read.parquet(f"{root}/date")
+
+
+@query("etl_states", ORACLE_SQL["city_state_rollup"])
+def etl_states_query(spark, sf):
+    """Demographics under the group names of the census; nothing is written without a path."""
+    root = scratch_path(spark, "etl-states")
+    groups = dict(zip(frames.PRIORITIES, RACES, strict=True))
+    cities = frames.demographics(spark, sf).withColumn("Race", recode("Race", groups))
+    cities.write.csv(f"{root}/demographics", header=True, sep=";")
+    return etl_states(spark, f"{root}/demographics")
+
+
+@query("etl_countries", ORACLE_SQL["country_dim"])
+def etl_countries_query(spark, sf):
+    """Names as both lists have them after their corrections."""
+    root = scratch_path(spark, "etl-countries")
+    readings = frames.temperature_readings(spark, sf)
+    _write_readings(readings.withColumn("Country", recode("Country", frames.READING_NAMES)), f"{root}/temperature")
+    codes = frames.country_codes(spark, sf).withColumn("Country", recode("Country", frames.CODE_NAMES))
+    codes.write.csv(f"{root}/codes", header=True, sep=";")
+    etl_countries(spark, f"{root}/temperature", f"{root}/codes", f"{root}/country")
+    return spark.read.parquet(f"{root}/country")
+
+
 _STAGED_SQL = """, staged AS (SELECT * REPLACE (nullif(user_id, 0) AS user_id) FROM play),
     seen AS (SELECT DISTINCT user_id FROM staged WHERE user_id IS NOT NULL),
     artist AS (SELECT DISTINCT artist_id FROM song),
-    moment AS (SELECT DISTINCT ts AS start_time FROM staged)
+    moment AS (SELECT DISTINCT ts AS start_time FROM staged),
+    keyed AS (SELECT DISTINCT l.session_id, l.item_in_session, l.ts, s.song_id FROM log l LEFT JOIN song s
+      ON l.song = s.title AND l.length = s.duration AND l.artist = s.artist_name WHERE l.page = 'NextSong')
     """
 
 
@@ -132,7 +195,7 @@ _STAGED_SQL = """, staged AS (SELECT * REPLACE (nullif(user_id, 0) AS user_id) F
         ("load artists", "SELECT count(*) FROM artist"),
         ("load time", "SELECT count(*) FROM moment"),
         ("songplays row_count", "SELECT count(*) FROM staged"),
-        ("songplays unique(songplay_id)", "SELECT 0"),
+        ("songplays unique(songplay_id)", "SELECT (SELECT count(*) FROM staged) - (SELECT count(*) FROM keyed)"),
         ("songplays not_null(songplay_id)", "SELECT 0"),
         ("songplays not_null(start_time)", "SELECT count(*) - count(ts) FROM staged"),
         ("songplays not_null(user_id)", "SELECT count(*) - count(user_id) FROM staged"),

@@ -335,6 +335,36 @@ def table_partition_reload(spark, sf):
     return spark.table(name)
 
 
+@query("table_drop_and_load", _ORDER_SQL)
+def table_drop_and_load(spark, sf):
+    """A filled table is dropped; the next load shows its own rows only."""
+    name, path = _table("dropped"), scratch_path(spark, "dropped")
+    parts = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("order_id"),
+        F.lit(None).cast("date").alias("placed"),
+        F.col("p_retailprice").alias("price"),
+        F.col("p_brand").alias("status"),
+    )
+    load_table(parts, _ORDER_TABLE, name, location=path)
+    drop_table(spark, name)
+    load_table(_order_rows(spark, sf), _ORDER_TABLE, name, location=path)
+    return spark.table(name)
+
+
+def _uri(spark, path: str) -> str:
+    """The path with the scheme of its store."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toString()
+
+
+@query("uri_roundtrip", "SELECT * FROM customer")
+def uri_roundtrip(spark, sf):
+    """Scan and sink by URI instead of by path."""
+    source, target = _uri(spark, f"{sf}/customer.parquet"), _uri(spark, scratch_path(spark, "customer-uri"))
+    write_parquet(read_table(spark, source), target)
+    return read_table(spark, target)
+
+
 @query(
     "append_load",
     """SELECT CAST(p_partkey AS INTEGER) AS order_id, CAST(NULL AS DATE) AS placed,

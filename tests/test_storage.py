@@ -418,8 +418,11 @@ def test_music_job(spark, path, database, rows):
     write_logs(f"{path}/logs", lines)
     put(f"{path}/songs", "A/one.json", json.dumps(song))
     inputs = {"logs": f"{path}/logs", "songs": f"{path}/songs", "output": f"{path}/out", "database": database}
+    ids = set()
     for rebuild in (False, False, True):
         result = music_job(spark, rebuild=rebuild, **inputs)
+        ids |= {r.songplay_id for r in spark.table("job.songplays").collect()}
+        assert len(ids) == 3  # the same in every run
         assert result.load_report.where("status = 'ok'").count() == 7
         assert result.quality_report.where("NOT passed").count() == 0
         assert rows(spark.table("job.songplays").select("user_id", "level", "song_id")) == [
