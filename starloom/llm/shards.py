@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.text import release
+
 SHARD = "_shard"
 SHARD_BYTES = 4 << 20
 
@@ -30,12 +32,24 @@ def sharded(docs: DataFrame, id_col: str, text_col: str, shard_bytes: int = SHAR
 
 def announce(shards: DataFrame, work: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
     """What ``work`` makes of the documents of one shard at a time."""
-    return shards.groupBy(SHARD).applyInArrow(work, schema)
+
+    def each(table):
+        found = work(table)
+        release()
+        return found
+
+    return shards.groupBy(SHARD).applyInArrow(each, schema)
 
 
 def answer(shards: DataFrame, answers: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], schema: str):
     """What ``work`` makes of the documents of one shard and the answers to it."""
-    return shards.groupBy(SHARD).cogroup(answers.groupBy(SHARD)).applyInArrow(work, schema)
+
+    def each(table, answered):
+        found = work(table, answered)
+        release()
+        return found
+
+    return shards.groupBy(SHARD).cogroup(answers.groupBy(SHARD)).applyInArrow(each, schema)
 
 
 def empty(schema: str) -> pa.Table:

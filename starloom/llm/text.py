@@ -6,6 +6,7 @@ text can be found in its bytes. Hashes depend on the bytes alone and are alike i
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -85,6 +86,16 @@ class Words:
         return self.data[self.start[i] : self.end[i]].tobytes()
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+
+
+def release() -> None:
+    """Gives memory that is free back to the system: Python workers outlive the task, and the next one may need other memory."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def slices(texts: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, pa.Array]]:
     """Runs of consecutive texts of at most ``limit`` bytes (or one longer text), with their first row; null: empty."""
     if isinstance(texts, pa.ChunkedArray):
@@ -96,6 +107,8 @@ def slices(texts: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) -> Itera
         stop = max(row + 1, int(np.searchsorted(ends, (ends[row - 1] if row else 0) + limit, "right")))
         yield row, texts.slice(row, stop - row)
         row = stop
+    del texts
+    release()
 
 
 def words(texts: pa.Array, *, fold: bool = False, in_word: np.ndarray = IN_WORD) -> Words:
