@@ -6,9 +6,9 @@ word to word; a state emits a class of words, and the class emits the word by it
 * each of the ``TOP`` most frequent words, and the end of a text, is a class of its own;
 * any other word belongs to the class of its last two bytes, its first byte's kind and its length.
 
-Baum-Welch: each pass runs forward and backward over its part of the training documents, in
+Baum-Welch: each pass runs forward and backward over all training documents, in
 pieces of ``PIECE`` tokens, in the tasks that hold them, and adds up expected counts
-over partitions; the parts together are all training documents. A first, bounded sample only sets the
+over partitions. A first, bounded sample only sets the
 starting point. Scores come from the scaled forward recursion over the whole text, so they are the exact
 logarithm of the model's probability. A class keeps the mass of one more word for those never seen.
 
@@ -298,8 +298,8 @@ def score(docs: DataFrame, train, *, id_col="doc_id", text_col="text", passes=PA
     n_train = held.where("_train").count()
     sample = training.where(F.col("part") < int(1_000_000 * min(1.0, START_ROWS / max(n_train, 1)))).select("text")
     model = starting_point(sample, model)
-    for i in range(passes):
-        model = baum_welch_pass(training.where(F.col("part") % passes == i).select("text"), model)
+    for _ in range(passes):
+        model = baum_welch_pass(training.select("text"), model)
     shared = spark.sparkContext.broadcast((model, form_logs))
     base_log = np.log10(train_tokens + train_types + 1)
 

@@ -380,6 +380,18 @@ def test_pairs_are_ruled_out_only_where_the_estimate_is_low():
         assert len(setsketch.likely(level[:1], level[1:], *sizes, 80)[0]) == (full and fits)
 
 
+def test_every_baum_welch_pass_sees_all_training_documents(docs, monkeypatch):
+    train, one_pass, seen = remainder("doc_id", 7) != 2, hmm.baum_welch_pass, []
+
+    def counted(texts, model):
+        seen.append(texts.count())
+        return one_pass(texts, model)
+
+    monkeypatch.setattr(hmm, "baum_welch_pass", counted)
+    hmm.score(docs, train)
+    assert seen == [docs.where(train).count()] * hmm.PASSES
+
+
 # --- licenses ---------------------------------------------------------------------------------
 
 
