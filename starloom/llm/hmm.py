@@ -8,8 +8,7 @@ word to word; a state emits a class of words, and the class emits the word by it
 
 Baum-Welch: each pass runs forward and backward over all training documents, in
 pieces of ``PIECE`` tokens, in the tasks that hold them, and adds up expected counts
-over partitions. A first, bounded sample only sets the
-starting point. Scores come from the scaled forward recursion over the whole text, so they are the exact
+over partitions. The first pass starts from ``new_model``; no sample is used. Scores come from the scaled forward recursion over the whole text, so they are the exact
 logarithm of the model's probability. A class keeps the mass of one more word for those never seen.
 
 Defined results: a null or empty text has one token, the end. Rows that repeat an id count as often
@@ -33,9 +32,7 @@ STATES = 8
 TOP = 2000
 SUFFIXES = 1024
 PIECE = 256
-PASSES = 2
-START_ROWS = 1500  # documents that set the starting point
-START_STEPS = 12
+PASSES = 14
 SHARD_BYTES = 8 << 20
 END = np.uint64(0x2545F4914F6CDD1D)  # stands for the end of a text among the words' hashes
 
@@ -212,27 +209,6 @@ def baum_welch_pass(texts: DataFrame, model: Model) -> Model:
     return improved(model, tuple(sum(c) for c in zip(*[_unpack(p, n) for p in packed], strict=True)))
 
 
-def starting_point(texts: DataFrame, model: Model) -> Model:
-    """Baum-Welch on a bounded sample, in one task."""
-
-    def each(batches):
-        here, parts = model, []
-        for batch in batches:
-            for _, part in slices(batch[0]):
-                w = words(part, fold=True)
-                parts.append((with_ends(here.classes(w, w.hashes()), w.first, here.end), w.first + np.arange(len(w.first))))
-        total = None
-        for _ in range(START_STEPS if parts else 0):
-            found = [expected_counts(here, *p) for p in parts]
-            total = tuple(sum(c) for c in zip(*found, strict=True))
-            here = improved(here, total)
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([_pack(total)])], ["counts"])
-
-    found = texts.repartition(1).sortWithinPartitions(texts.columns[0]).mapInArrow(each, "counts binary").collect()
-    return improved(model, _unpack(found[0].counts, model.n_classes)) if found else model
-
-
 COUNTED = f"{SHARD} long, key long, form int, n long"
 SCORED = "n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
@@ -294,12 +270,9 @@ def score(docs: DataFrame, train, *, id_col="doc_id", text_col="text", passes=PA
         form_types[r.form] -= 1
     form_logs = np.log(form_tokens + form_types + 1)
 
-    training = held.where("_train").select(F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.lit("part"), id_col), F.lit(1_000_000)).alias("part"))
-    n_train = held.where("_train").count()
-    sample = training.where(F.col("part") < int(1_000_000 * min(1.0, START_ROWS / max(n_train, 1)))).select("text")
-    model = starting_point(sample, model)
+    training = held.where("_train").select(F.col(text_col).alias("text"))
     for _ in range(passes):
-        model = baum_welch_pass(training.select("text"), model)
+        model = baum_welch_pass(training, model)
     shared = spark.sparkContext.broadcast((model, form_logs))
     base_log = np.log10(train_tokens + train_types + 1)
 

@@ -392,6 +392,19 @@ def test_every_baum_welch_pass_sees_all_training_documents(docs, monkeypatch):
     assert seen == [docs.where(train).count()] * hmm.PASSES
 
 
+def test_the_first_baum_welch_pass_starts_from_a_model_without_a_sample(docs, monkeypatch):
+    one_pass, starts = hmm.baum_welch_pass, []
+
+    def noted(texts, model):
+        starts.append(model)
+        return one_pass(texts, model)
+
+    monkeypatch.setattr(hmm, "baum_welch_pass", noted)
+    hmm.score(docs, F.lit(True), passes=1)
+    new = hmm.new_model(starts[0].top)
+    assert np.array_equal(starts[0].move, new.move) and np.array_equal(starts[0].emit, new.emit)
+
+
 # --- licenses ---------------------------------------------------------------------------------
 
 
