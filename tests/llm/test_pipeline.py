@@ -2,7 +2,7 @@
 
 import __spark_entry__ as driver
 import corpus_pipeline
-from test_operators import brute_components, kept_words, words
+from brute_force import brute_components, kept_words, words
 
 
 def test_stages_keep_what_brute_force_keeps(spark, docs, corpus, tmp_path):
@@ -46,4 +46,4 @@ def test_repeated_rows_leave_one(spark):
 def test_queries_are_registered():
     names = set(driver.queries())
     assert "pipeline" in names
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 14))
