@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import embedding, hmm, language, licenses, mixture, pieces, quality, repeats, setsketch, toxicity
+from starloom.llm import (
+    collocations,
+    divergence,
+    embedding,
+    hmm,
+    language,
+    licenses,
+    mixture,
+    neighbours,
+    pieces,
+    quality,
+    repeats,
+    setsketch,
+    toxicity,
+)
 from starloom.llm.learn import remainder
 
 QUERIES: dict = {}
@@ -121,3 +135,94 @@ def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_license_scan")
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir)).drop("spans")
+
+
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+COLLOCATION_SQL = f"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_FOLDED}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+), said AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM piece
+), place AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM said
+), total AS (
+  SELECT lang, count(*)::BIGINT AS n FROM place GROUP BY lang
+), gram AS (
+  SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, k AS size
+  FROM place, (VALUES (1), (2), (3), (4)) AS s(k) WHERE i + k - 1 <= len(w)
+), known AS (
+  SELECT lang, phrase, size, count(*)::BIGINT AS f FROM gram GROUP BY lang, phrase, size HAVING count(*) >= 30
+), cand AS (
+  SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS w FROM known WHERE size >= 2
+), cut AS (
+  SELECT c.lang, c.phrase, c.a, k, l.f AS l, r.f AS r, ((2000000::HUGEINT * c.a) // (l.f + r.f))::BIGINT AS score
+  FROM cand c, (VALUES (1), (2), (3)) AS s(k), known l, known r
+  WHERE k < c.size AND l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
+    AND r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:c.size], ' ')
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM cut
+), inside AS (
+  SELECT DISTINCT c.lang, array_to_string(c.w[i:i + m - 1], ' ') AS phrase, c.a AS longer
+  FROM cand c, (VALUES (2), (3)) AS s(m), (VALUES (1), (2), (3)) AS t(i) WHERE m < c.size AND i + m - 1 <= c.size
+), kept AS (
+  SELECT b.* FROM best b WHERE b.place = 1 AND NOT EXISTS (
+    SELECT 1 FROM inside i WHERE i.lang = b.lang AND i.phrase = b.phrase AND 100::HUGEINT * i.longer >= 80::HUGEINT * b.a)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT r.lang, rank::BIGINT AS rank, phrase, a, l, r.r, n, score FROM ranked r JOIN total t ON r.lang = t.lang WHERE rank <= 2000
+"""
+
+
+@query("op11_collocations", COLLOCATION_SQL)
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+@query("op12_neighbours")
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return neighbours.nearest(vectors, F.col("vec_id") % 50 == 0)
+
+
+DIVERGENCE_SQL = f"""
+WITH doc AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS d, {_FOLDED} AS text FROM documents
+), term AS (
+  SELECT lang, source, d, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM doc
+), kept AS (
+  SELECT lang, term, count(*)::BIGINT AS n FROM term GROUP BY lang, term HAVING count(DISTINCT d) >= 10
+), counted AS (
+  SELECT t.lang, t.source, t.term, count(*)::BIGINT AS n FROM term t JOIN kept k ON t.lang = k.lang AND t.term = k.term GROUP BY ALL
+), grp AS (
+  SELECT g.lang, g.source, coalesce(sum(c.n), 0)::BIGINT AS total
+  FROM (SELECT DISTINCT lang, source FROM doc) g LEFT JOIN counted c ON g.lang = c.lang AND g.source = c.source GROUP BY ALL
+), whole AS (
+  SELECT lang, sum(n)::BIGINT AS total, count(*)::BIGINT AS v FROM kept GROUP BY lang
+), share AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    (1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (g.total + 2 * w.v))::BIGINT AS p,
+    (1 + (1000000000::HUGEINT * (k.n + 2)) // (w.total + 2 * w.v))::BIGINT AS q
+  FROM grp g JOIN whole w ON g.lang = w.lang JOIN kept k ON g.lang = k.lang
+    LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), pair AS (
+  SELECT a.lang, a.source, b.source AS item,
+    coalesce((SELECT sum(((x.p - y.p)::HUGEINT * (x.p - y.p)) // (x.p + y.p)) FROM share x JOIN share y
+              ON x.lang = y.lang AND x.term = y.term
+              WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0)::BIGINT AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+), own AS (
+  SELECT lang, source, term AS item, (((p - q)::HUGEINT * (p - q)) // (p + q))::BIGINT AS value FROM share WHERE n > 0 AND p > q
+), both_parts AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pair UNION ALL SELECT lang, source, 'term', item, value FROM own
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM both_parts
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@query("op13_divergence", DIVERGENCE_SQL)
+def source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
