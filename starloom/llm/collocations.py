@@ -4,10 +4,11 @@ Only the longest windows are counted: each place of a text gives the word there
 in its piece, padded to ``MAX_WORDS``. A ROLLUP over the window's columns adds these counts up over ever
 shorter prefixes, which gives the count of every shorter phrase, of every word, and all words of a language.
 
-A phrase that is wanted has ``min_count`` places, so any two neighbouring words in it do. A first
-pass counts such pairs by a hash; the frequent ones set bits in a bitmap of fixed size. A window ends before a pair
-whose bit is not set: nothing wanted loses a place, as pairs that share a bit only let windows be longer than
-needed. The bitmap does not grow with the corpus. Windows are counted by the words themselves, not by hashes.
+A phrase that is wanted has ``min_count`` places, so any two neighbouring words in it do, and any three. Passes
+before count such runs by a hash, those of three words only where both pairs are frequent; the frequent ones set bits
+in a bitmap of fixed size. A window ends where a run's bit is not set: nothing wanted loses a place, as runs that share a
+bit only let windows be longer than needed. The bitmaps do not grow with the corpus. Windows are counted by the words
+themselves, not by hashes.
 
 Defined results: a null or empty text has no word; a null language is ``und``, together with rows that
 say ``und``. Repeated rows count as often as they stand there. Ties in rank go to the larger count, then to the
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.components import stored
 from starloom.llm.learn import add_up
-from starloom.llm.text import Words, mix, slices, words
+from starloom.llm.text import Words, mix, slices, windows, words
 
 MAX_WORDS = 4
 MIN_COUNT = 30
@@ -34,7 +35,7 @@ COVERED = 80  # per cent of its places that a phrase has inside a longer one
 TOP = 2000
 NO_LANGUAGE = "und"
 BITS = 27  # the bitmap has 2 ** BITS bits, 16 MB
-HELD_ROWS = 1 << 20  # a task hands on its counts when it holds so many
+HELD_ROWS = 1 << 18  # a task hands on its counts when it holds so many
 
 _ends_piece = np.zeros(256, bool)
 _ends_piece[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -54,10 +55,20 @@ def _label_hash(label: str) -> int:
     return int.from_bytes(hashlib.blake2b(label.encode(), digest_size=8).digest(), "big")
 
 
-def _pairs(w: Words, seeds: np.ndarray) -> np.ndarray:
-    """A hash of every word, the next one and the language."""
-    h = w.hashes()
-    return mix(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + mix(h[1:] + seeds[w.text_of][:-1]))
+def _runs(w: Words, seeds: np.ndarray, k: int) -> np.ndarray:
+    """A hash of each run of ``k`` words and its language, by the place where it begins."""
+    runs = windows(w.hashes(), k)
+    return mix(runs + seeds[w.text_of][: len(runs)])
+
+
+def _frequent(w: Words, seeds: np.ndarray, bitmaps: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """For runs of two words and on, by where they begin: whether their bit is set, and whether one word more may do."""
+    masks, may = [], _joined(w)
+    for k, bits in enumerate(bitmaps, start=2):
+        place = _runs(w, seeds, k) >> np.uint64(64 - BITS)
+        masks.append(may & ((bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1)).astype(bool))
+        may = masks[-1][:-1] & masks[-1][1:]
+    return masks, may
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[Words, list[str]]]:
@@ -70,16 +81,18 @@ def _seeds(labels: list[str]) -> np.ndarray:
     return np.array([known[label] for label in labels], np.uint64)
 
 
-def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count_runs(batches: Iterator[pa.RecordBatch], bitmaps: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Counts of the runs that are one word longer than those of the last bitmap."""
+
     def out(keys, n):
         return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["key", "n"])
 
     keys, n, rows = [], [], 0
     for batch in batches:
         for w, labels in _texts(batch):
-            if len(w.start) < 2:
-                continue
-            found, counts = np.unique(_pairs(w, _seeds(labels))[_joined(w)], return_counts=True)
+            seeds = _seeds(labels)
+            _, may = _frequent(w, seeds, bitmaps)
+            found, counts = np.unique(_runs(w, seeds, len(bitmaps) + 2)[may], return_counts=True)
             keys.append(found)
             n.append(counts.astype(np.int64))
             rows += len(found)
@@ -93,9 +106,9 @@ def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(*add_up(np.concatenate(keys), np.concatenate(n)))
 
 
-def _bitmap(pairs: DataFrame, min_count: int) -> np.ndarray:
-    """Bits of the frequent pairs, 64 in a number: at most ``2 ** (BITS - 6)`` rows reach the driver."""
-    frequent = pairs.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+def _bitmap(runs: DataFrame, min_count: int) -> np.ndarray:
+    """Bits of the frequent runs, 64 in a number: at most ``2 ** (BITS - 6)`` rows reach the driver."""
+    frequent = runs.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
     place = frequent.select(F.expr(f"shiftrightunsigned(key, {64 - BITS})").alias("at"))
     grouped = place.groupBy(F.expr("shiftrightunsigned(at, 6)").alias("at")).agg(
         F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("bits")
@@ -130,8 +143,8 @@ class _Windows:
         self.held: list[list] = [[] for _ in range(self.width)]
         self.rows = 0
 
-    def add(self, w: Words, labels: list[str], goes_on: np.ndarray) -> None:
-        """``goes_on`` tells for every word but the last whether a window may take the next one too."""
+    def add(self, w: Words, labels: list[str], reach: list[np.ndarray]) -> None:
+        """``reach`` tells by the place of its first word whether a window has a second one, a third one and so on."""
         if not len(w.start):
             return
         letters = w.data[_in_word[w.data]]
@@ -141,12 +154,9 @@ class _Windows:
         numbers = np.array([self.words.setdefault(x, len(self.words)) for x in found.dictionary.to_pylist()], np.int64)
         word = numbers[found.indices.to_numpy()]
         label = np.array([self.labels.setdefault(x, len(self.labels)) for x in labels], np.int64)[w.text_of]
-        long = np.r_[goes_on, False]
         length = np.ones(len(word), np.int64)
-        reach = np.ones(len(word), bool)
-        for k in range(self.width - 1):
-            reach &= np.r_[long[k:], np.zeros(k, bool)]
-            length += reach
+        for more in reach:
+            length[: len(more)] += more
         for k in range(1, self.width + 1):
             at = np.flatnonzero(length == k)
             if len(at):
@@ -178,20 +188,22 @@ class _Windows:
         self.clear()
 
 
-def windows(texts: DataFrame, min_count: int, width: int = MAX_WORDS) -> DataFrame:
-    """Partial counts of padded windows of (``lang``, ``text``) rows: ``lang``, ``w1`` and on (the empty text pads), ``n``."""
-    pairs = texts.mapInArrow(_count_pairs, "key long, n long")
-    bitmap = texts.sparkSession.sparkContext.broadcast(_bitmap(pairs, min_count))
+def padded_windows(texts: DataFrame, min_count: int, width: int = MAX_WORDS) -> DataFrame:
+    """Partial counts of the windows of (``lang``, ``text``) rows: ``lang``, ``w1`` and on (the empty text pads), ``n``."""
+    context = texts.sparkSession.sparkContext
+    bitmaps = []
+    for _ in range(2, width):
+        known = context.broadcast(list(bitmaps))
+        runs = texts.mapInArrow(lambda batches, known=known: _count_runs(batches, known.value), "key long, n long")
+        bitmaps.append(_bitmap(runs, min_count))
+    shared = context.broadcast(bitmaps)
 
     def each(batches):
-        held, bits = _Windows(width), bitmap.value
+        held = _Windows(width)
         for batch in batches:
             for w, labels in _texts(batch):
-                goes_on = np.zeros(max(len(w.start) - 1, 0), bool)
-                if len(goes_on):
-                    place = _pairs(w, _seeds(labels)) >> np.uint64(64 - BITS)
-                    goes_on = _joined(w) & ((bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1)).astype(bool)
-                held.add(w, labels, goes_on)
+                masks, may = _frequent(w, _seeds(labels), shared.value)
+                held.add(w, labels, [*masks, may])
                 if held.rows > 2 * HELD_ROWS:
                     held.merge()
                 if held.rows > HELD_ROWS or len(held.words) > HELD_ROWS:
@@ -211,10 +223,11 @@ def phrase_counts(docs: DataFrame, *, lang_col="lang", text_col="text", min_coun
     )
     columns = [f"w{k}" for k in range(1, width + 1)]
     size = F.lit(width) - F.bit_count(F.grouping_id())
-    summed = windows(texts, min_count, width).rollup("lang", *columns).agg(F.sum("n").alias("n"), size.alias("size"))
+    summed = padded_windows(texts, min_count, width).rollup("lang", *columns).agg(F.sum("n").alias("n"), size.alias("size"))
     last = F.get(F.array(F.lit("-"), *columns), F.col("size"))
-    whole = summed.where((F.col("size") == 0) | ((F.col("n") >= min_count) & (last != "")))
-    return whole.where("lang is not null").select("lang", F.concat_ws(" ", *columns).alias("phrase"), "size", "n")
+    # a condition on keys alone, which Catalyst applies before rows are added up: what ends in padding is no phrase
+    real = summed.where(F.col("lang").isNotNull() & ((F.col("size") == 0) | (last != "")))
+    return real.where((F.col("size") == 0) | (F.col("n") >= min_count)).select("lang", F.concat_ws(" ", *columns).alias("phrase"), "size", "n")
 
 
 def collocations(

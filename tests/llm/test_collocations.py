@@ -62,6 +62,8 @@ def test_pieces_case_ties_and_covered_phrases(spark):
     df = spark.createDataFrame(rows, "text string, lang string")
     for min_count in (1, 2, 3):
         assert ours(C.collocations(df, min_count=min_count)) == brute(rows, min_count)
+    short = C.collocations(df, min_count=2, width=2).select("lang", "phrase", "a")
+    assert sorted(map(tuple, short.collect())) == sorted((r[0], r[2], r[3]) for r in brute(rows, 2, covered=10**9) if len(r[2].split(" ")) == 2)
 
 
 def test_no_rows(spark, nothing):
@@ -74,11 +76,12 @@ def test_counts_stay_right_when_tasks_hand_on_early(spark, corpus, docs, monkeyp
     monkeypatch.setattr(C, "HELD_ROWS", 50)
     part = text.words(pa.array([fold(t) for _, t, _, _ in corpus], pa.large_string()), in_word=C._in_word)
     held, plain = C._Windows(4), C._Windows(4)
-    goes_on = C._joined(part)
-    plain.add(part, ["x"] * len(corpus), goes_on)
+    masks, may = C._frequent(part, C._seeds(["x"] * len(corpus)), [np.full(1 << (C.BITS - 6), ~np.uint64(0))] * 2)
+    reach = [*masks, may]
+    plain.add(part, ["x"] * len(corpus), reach)
     sums = collections.Counter()
     for _ in range(3):
-        held.add(part, ["x"] * len(corpus), goes_on)
+        held.add(part, ["x"] * len(corpus), reach)
     held.merge()
     for which, times in ((held, 1), (plain, -3)):
         for batch in which.batches():
@@ -88,15 +91,15 @@ def test_counts_stay_right_when_tasks_hand_on_early(spark, corpus, docs, monkeyp
     assert sums and not any(sums.values())
     batches = [pa.RecordBatch.from_pydict({"lang": ["x"], "text": [fold(t)]}) for _, t, _, _ in corpus]
     pairs = collections.Counter()
-    for out in C._count_pairs(iter(batches)):
+    for out in C._count_runs(iter(batches), []):
         for key, n in zip(out["key"].to_pylist(), out["n"].to_pylist(), strict=True):
             pairs[key] += n
-    assert sum(pairs.values()) == int(goes_on.sum())
+    assert sum(pairs.values()) == int(masks[0].sum())
 
 
-def test_pairs_of_two_languages_differ():
+def test_runs_of_two_languages_differ():
     w = text.words(pa.array(["a b", "a b"], pa.large_string()), in_word=C._in_word)
-    same, other = C._pairs(w, C._seeds(["x", "x"])), C._pairs(w, C._seeds(["x", "y"]))
+    same, other = C._runs(w, C._seeds(["x", "x"]), 2), C._runs(w, C._seeds(["x", "y"]), 2)
     assert same[0] == same[2] and other[0] != other[2]
     assert not np.array_equal(same, other)
 
