@@ -34,6 +34,7 @@ MIN_COUNT = 30
 COVERED = 80  # per cent of its places that a phrase has inside a longer one
 TOP = 2000
 NO_LANGUAGE = "und"
+KEY_BITS = 40  # of a run's hash: short keys make small shuffles
 BITS = 27  # the bitmap has 2 ** BITS bits, 16 MB
 HELD_ROWS = 1 << 18  # a task hands on its counts when it holds so many
 
@@ -58,14 +59,14 @@ def _label_hash(label: str) -> int:
 def _runs(w: Words, seeds: np.ndarray, k: int) -> np.ndarray:
     """A hash of each run of ``k`` words and its language, by the place where it begins."""
     runs = windows(w.hashes(), k)
-    return mix(runs + seeds[w.text_of][: len(runs)])
+    return mix(runs + seeds[w.text_of][: len(runs)]) >> np.uint64(64 - KEY_BITS)
 
 
 def _frequent(w: Words, seeds: np.ndarray, bitmaps: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     """For runs of two words and on, by where they begin: whether their bit is set, and whether one word more may do."""
     masks, may = [], _joined(w)
     for k, bits in enumerate(bitmaps, start=2):
-        place = _runs(w, seeds, k) >> np.uint64(64 - BITS)
+        place = _runs(w, seeds, k) >> np.uint64(KEY_BITS - BITS)
         masks.append(may & ((bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1)).astype(bool))
         may = masks[-1][:-1] & masks[-1][1:]
     return masks, may
@@ -109,7 +110,7 @@ def _count_runs(batches: Iterator[pa.RecordBatch], bitmaps: list[np.ndarray]) ->
 def _bitmap(runs: DataFrame, min_count: int) -> np.ndarray:
     """Bits of the frequent runs, 64 in a number: at most ``2 ** (BITS - 6)`` rows reach the driver."""
     frequent = runs.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
-    place = frequent.select(F.expr(f"shiftrightunsigned(key, {64 - BITS})").alias("at"))
+    place = frequent.select(F.expr(f"shiftrightunsigned(key, {KEY_BITS - BITS})").alias("at"))
     grouped = place.groupBy(F.expr("shiftrightunsigned(at, 6)").alias("at")).agg(
         F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("bits")
     )
