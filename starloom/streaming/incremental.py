@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import threading
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -24,6 +24,14 @@ def _names(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in files.listStatus(folder)] if files.exists(folder) else []
 
 
+def _stream_id(spark: SparkSession, progress: str) -> str | None:
+    """The id that a stream keeps in its checkpoint folder; None before its first run."""
+    if "metadata" not in _names(spark, progress):
+        return None
+    lines = spark.read.text(f"{progress.rstrip('/')}/metadata").collect()
+    return json.loads("".join(line.value for line in lines))["id"]
+
+
 def stage_new_files(
     spark: SparkSession,
     source: str,
@@ -57,18 +65,25 @@ def stage_new_files(
         rows = transform(rows)
 
     base = target.rstrip("/")
+    stream = _stream_id(spark, progress)
+    others = [
+        n
+        for n in _names(spark, base)
+        if n.startswith((f"{STREAM_COLUMN}=", f"{BATCH_COLUMN}=")) and n != f"{STREAM_COLUMN}={stream}"
+    ]
+    if others:
+        raise ValueError(f"{target} holds batches of another stream: {others}")
     added = 0
-    known = threading.Event()
-    stream = ""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         nonlocal added
-        known.wait()
-        if not stream:
-            return
+        # a batch that returns counts as done, so whatever goes wrong here has to raise
+        own = stream or _stream_id(spark, progress)
+        if own is None:
+            raise RuntimeError(f"{progress} does not name its stream")
         counted = Observation()
         batch.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
-            f"{base}/{STREAM_COLUMN}={stream}/{BATCH_COLUMN}={batch_id}"
+            f"{base}/{STREAM_COLUMN}={own}/{BATCH_COLUMN}={batch_id}"
         )
         added += int(counted.get["n"])
 
@@ -78,18 +93,6 @@ def stage_new_files(
         .trigger(availableNow=True)
         .start()
     )
-    try:
-        others = [
-            n
-            for n in _names(spark, base)
-            if n.startswith((f"{STREAM_COLUMN}=", f"{BATCH_COLUMN}=")) and n != f"{STREAM_COLUMN}={query.id}"
-        ]
-        if others:
-            query.stop()
-            raise ValueError(f"{target} holds batches of another stream: {others}")
-        stream = str(query.id)
-    finally:
-        known.set()
     query.awaitTermination()
     return added
 

@@ -325,6 +325,53 @@ def test_staging_takes_late_files_and_refuses_a_foreign_target(spark, path):
     assert sorted(r.a for r in read_staged(spark, target, schema).collect()) == [1, 2]
 
 
+def test_no_file_is_lost_when_the_target_cannot_be_listed(spark, path, monkeypatch):
+    from starloom.streaming import incremental
+
+    source, target, progress = f"{path}/in", f"{path}/out", f"{path}/progress"
+    put(source, "one.json", '{"a": 1}\n{"a": 2}\n')
+    names = incremental._names
+
+    def broken(session, folder):
+        if folder == target:
+            raise OSError("cannot list")
+        return names(session, folder)
+
+    monkeypatch.setattr(incremental, "_names", broken)
+    with pytest.raises(OSError):
+        stage_new_files(spark, source, target, progress, "a int")
+    monkeypatch.setattr(incremental, "_names", names)
+    assert stage_new_files(spark, source, target, progress, "a int") == 2
+    # a stream whose id cannot be read fails its batch and takes the files the next time
+    put(source, "two.json", '{"a": 3}\n')
+    monkeypatch.setattr(incremental, "_stream_id", lambda *_: None)
+    with pytest.raises(Exception, match="another stream|does not name its stream"):
+        stage_new_files(spark, source, target, progress, "a int")
+    monkeypatch.undo()
+    assert stage_new_files(spark, source, target, progress, "a int") == 1
+    assert sorted(r.a for r in read_staged(spark, target, "a int").collect()) == [1, 2, 3]
+
+
+def test_a_slow_listing_of_a_foreign_target_ends(spark, path, monkeypatch):
+    import time
+
+    from starloom.streaming import incremental
+
+    source, target = f"{path}/in", f"{path}/out"
+    put(source, "one.json", '{"a": 1}\n')
+    assert stage_new_files(spark, source, target, f"{path}/p", "a int") == 1
+    names = incremental._names
+
+    def slow(session, folder):
+        time.sleep(2)
+        return names(session, folder)
+
+    monkeypatch.setattr(incremental, "_names", slow)
+    with pytest.raises(ValueError, match="another stream"):
+        stage_new_files(spark, source, target, f"{path}/other", "a int")
+    assert not Path(f"{path}/other").exists()
+
+
 # --- jobs -------------------------------------------------------------------------------------
 
 
