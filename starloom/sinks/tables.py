@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starloom.schemas import CONTRACTS, TableContract
 from starloom.sinks.parquet import arrange
+from starloom.sinks.publish import drop_old_versions, new_version, switch_partitions, switch_table
 
 
 def create_table(
@@ -49,7 +50,7 @@ def conform(df: DataFrame, contract: TableContract) -> DataFrame:
     )
 
 
-def _location(spark: SparkSession, table: str) -> str:
+def table_location(spark: SparkSession, table: str) -> str:
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
     # The table's details follow its columns, one of which may have the same name.
     return described.where("col_name = 'Location'").collect()[-1]["data_type"]
@@ -68,6 +69,9 @@ def load_table(
     ``overwrite`` replaces the table, ``overwrite_partitions`` only the partitions present in
     ``df``, so that loading the same data twice leaves it once; ``append`` adds the rows.
     The rows are counted while they are written, not by a second scan.
+
+    Replaced rows are written to a new version folder beside the table's, which the table or its
+    partitions are pointed at when all is written: readers see the old rows or the new ones.
     """
     if mode not in ("overwrite", "overwrite_partitions", "append"):
         raise ValueError(f"unknown load mode {mode!r}")
@@ -80,16 +84,23 @@ def load_table(
     laid_out = arrange(conform(df, contract), contract.partition_by, contract.sort_by)
     # Counted after the last shuffle, where a task that is run again does not count twice.
     counted = laid_out.observe(written, F.count(F.lit(1)).alias("n"))
-    if contract.partition_by and mode != "append":
-        # insertInto takes the overwrite mode from the session only; writing to the table's folder
-        # names it for this write, whatever other loads of the session do.
-        replaced = "dynamic" if mode == "overwrite_partitions" else "static"
-        writer = counted.write.mode("overwrite").option("partitionOverwriteMode", replaced)
-        writer.partitionBy(*contract.partition_by).parquet(_location(spark, table))
-        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
-        spark.catalog.refreshTable(table)
-    else:
+    if mode == "append":
         # insertInto goes by position; the table holds its partition columns last.
         ordered = counted.select(*[f"`{c}`" for c in spark.table(table).columns])
-        ordered.write.insertInto(table, overwrite=mode == "overwrite")
+        ordered.write.insertInto(table)
+        return int(written.get["n"])
+    folder = new_version(table_location(spark, table))
+    if contract.partition_by:
+        counted.write.partitionBy(*contract.partition_by).parquet(folder)
+        switch_partitions(spark, table, contract.partition_by, folder, drop_others=mode == "overwrite")
+    else:
+        counted.write.parquet(folder)
+        switch_table(spark, table, folder)
     return int(written.get["n"])
+
+
+def clean_table(spark: SparkSession, contract: TableContract, table: str | None = None, older_than_hours: float = 24.0) -> list[str]:
+    """Delete replaced versions of a table that are old enough that nobody reads them any more."""
+    table = table or contract.name
+    location = table_location(spark, table)
+    return drop_old_versions(spark, table, location, partitioned=bool(contract.partition_by), older_than_hours=older_than_hours)

@@ -12,7 +12,8 @@ from starloom.schemas import CONTRACTS, LOG_JSON, TableContract, struct
 from starloom.session import scratch_path, shared_folder
 from starloom.sinks.load import LoadError, run_load
 from starloom.sinks.parquet import write_parquet
-from starloom.sinks.tables import conform, create_table, drop_table, load_table
+from starloom.sinks.manifest import ConflictError, Manifest, append_batch, read_batches
+from starloom.sinks.tables import clean_table, conform, create_table, drop_table, load_table
 from starloom.sources import files
 from starloom.sources.logs import log_columns, read_log_events, read_songs
 from starloom.streaming.incremental import read_staged, stage_new_files
@@ -237,6 +238,103 @@ def test_load_by_name_and_reload(spark, demo_rows, demo_table, rows, session_mod
     assert spark.table(table).count() == 1
 
 
+PLAIN = TableContract(name="plain", schema=struct("id int, price double"), key=("id",))
+
+
+def test_readers_see_the_old_rows_until_a_load_is_through(spark, demo_rows, demo_table, path, rows):
+    from pyspark.sql import functions as F
+
+    table, location = demo_table
+    load_table(demo_rows, CONTRACT, table, location=location)
+    load_table(demo_rows, PLAIN, "plain_table", location=f"{path}/plain")
+    before = [rows(spark.table(t)) for t in (table, "plain_table")]
+    broken = demo_rows.withColumn("price", F.when(F.col("part") == "a", 9.0).otherwise(F.raise_error(F.lit("no price")).cast("double")))
+    for mode in ("overwrite", "overwrite_partitions"):
+        with pytest.raises(Exception, match="no price"):
+            load_table(broken, CONTRACT, table, mode=mode, location=location)
+        assert rows(spark.table(table)) == before[0]
+    with pytest.raises(Exception, match="no price"):
+        load_table(broken, PLAIN, "plain_table", location=f"{path}/plain")
+    assert rows(spark.table("plain_table")) == before[1]
+    load_table(demo_rows.limit(1), PLAIN, "plain_table", location=f"{path}/plain")
+    assert spark.table("plain_table").count() == 1
+    drop_table(spark, "plain_table")
+
+
+def test_partitions_with_odd_and_missing_values(spark, path, rows):
+    from starloom.sinks.publish import partition_folders, table_partitions
+
+    odd = ["a b", "it's", "50%/x=y", "ü", "back\\slash", None]
+    df = spark.createDataFrame([(i, None, p, 1.0) for i, p in enumerate(odd)], "id int, day date, part string, price double")
+    for _ in range(2):
+        load_table(df, CONTRACT, "odd_table", location=f"{path}/odd")
+    assert rows(spark.table("odd_table").select("id", "part")) == [(i, p) for i, p in enumerate(odd)]
+    known = table_partitions(spark, "odd_table", ["part"])
+    assert known == {(p,) for p in odd}
+    newest = max(Path(f"{path}/odd.versions").iterdir())
+    assert set(partition_folders(spark, str(newest), ["part"])) == known
+    load_table(df.where("id = 1"), CONTRACT, "odd_table", mode="overwrite_partitions", location=f"{path}/odd")
+    assert spark.table("odd_table").count() == 6
+    load_table(df.where("id = 1"), CONTRACT, "odd_table", location=f"{path}/odd")
+    assert rows(spark.table("odd_table").select("part")) == [("it's",)]
+    drop_table(spark, "odd_table")
+
+
+def test_old_versions_are_deleted_only_when_nothing_shows_them(spark, demo_rows, demo_table, path, rows):
+    table, location = demo_table
+    for _ in range(2):
+        load_table(demo_rows, CONTRACT, table, location=location)
+    load_table(demo_rows.where("part = 'b'"), CONTRACT, table, mode="overwrite_partitions", location=location)
+    assert clean_table(spark, CONTRACT, table) == []
+    assert len(clean_table(spark, CONTRACT, table, older_than_hours=0)) == 1
+    assert len(list(Path(f"{location}.versions").iterdir())) == 2
+    assert spark.table(table).count() == 2
+    for _ in range(3):
+        load_table(demo_rows, PLAIN, "plain_table", location=f"{path}/plain")
+    assert len(clean_table(spark, PLAIN, "plain_table", older_than_hours=0)) == 2
+    assert spark.table("plain_table").count() == 2
+    drop_table(spark, "plain_table")
+
+
+# --- commits ----------------------------------------------------------------------------------
+
+
+def test_batches_are_appended_once_and_ids_go_on(spark, path, rows):
+    schema = "v string, id bigint"
+    batches = {f"b{i}": spark.range(i * 10, i * 10 + 3 + i).select(F.concat(F.lit(f"b{i}-"), "id").alias("v")) for i in range(3)}
+    folder = f"{path}/kept"
+    assert read_batches(spark, folder, schema).count() == 0
+    first = {}
+    for name in ("b0", "b1", "b1", "b2", "b0"):
+        done = append_batch(batches[name].repartition(2), folder, name, id_column="id")
+        assert first.setdefault(name, done) == done
+    stored = read_batches(spark, folder, schema)
+    assert sorted(r.id for r in stored.collect()) == list(range(3 + 4 + 5))
+    assert {r.v for r in stored.where("id < 3").collect()} == {r.v for r in batches["b0"].collect()}
+    assert [c.facts["first_id"] for c in Manifest(spark, f"{folder}/_commits").commits()] == [0, 3, 7]
+
+
+def test_a_batch_that_broke_off_is_seen_by_no_reader(spark, path):
+    folder = f"{path}/kept"
+    broken = spark.range(5).select(F.when(F.col("id") < 3, F.col("id")).otherwise(F.raise_error(F.lit("stop")).cast("long")).alias("v"))
+    with pytest.raises(Exception, match="stop"):
+        append_batch(broken, folder, "one")
+    assert read_batches(spark, folder, "v bigint").count() == 0
+    append_batch(spark.range(5).select(F.col("id").alias("v")), folder, "one")
+    assert read_batches(spark, folder, "v bigint").count() == 5
+
+
+def test_one_of_two_writers_commits(spark, path):
+    manifest = Manifest(spark, f"{path}/commits")
+    assert manifest.commits() == [] and manifest.next_id() == 0
+    manifest.commit("a", 0, rows=1, next_id=4)
+    with pytest.raises(ConflictError):
+        manifest.commit("b", 0, rows=2)
+    assert manifest.committed("b") is None and manifest.committed("a").facts["rows"] == 1
+    manifest.commit("b", 1, rows=2)
+    assert [c.batch for c in manifest.commits()] == ["a", "b"] and manifest.next_id() == 4
+
+
 def test_conform_names_missing_columns(spark, demo_rows):
     with pytest.raises(ValueError, match="price"):
         conform(demo_rows.drop("price"), CONTRACT)
@@ -421,7 +519,7 @@ def test_arrivals_job(spark, path, database, rows):
     assert result.quality_report.where("NOT passed").count() == 0
     assert rows(spark.table("job.country")) == [(101, "Albania", 12.0), (209, "Japan", None)]
     assert spark.table("job.immigration").where("cicid = 1").first().stay == 5
-    assert spark.read.parquet(f"{path}/out/immigration.parquet").count() == 2
+    assert spark.table("job.immigration").count() == 2
 
     arrivals_job(spark, database=database, **inputs)
     assert spark.table("job.immigration").count() == 2
