@@ -35,6 +35,7 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("tables", nargs="*", choices=[[], *CONTRACTS], metavar="table")
     arrivals.add_argument("--state-codes", help="state code list to check the arrivals against")
     for command in (arrivals, music):
+        command.add_argument("--allowed-rejects", type=int, default=0, help="bad records that do not fail the load")
         command.add_argument("--input-bytes", type=int, help="size of the input: sets the partitions")
         command.add_argument("--cores", type=int, help="cores of the cluster, with --input-bytes")
     for command in commands.choices.values():

@@ -29,6 +29,11 @@ def _row(table: str, check: str, value: Column, passed: Column) -> list[Column]:
     ]
 
 
+def reported(found: DataFrame, table: str, check: str) -> DataFrame:
+    """A frame of one number ``n`` as a report row; it must be 0."""
+    return found.select(*_row(table, check, F.col("n"), F.col("n") == 0))
+
+
 def union_reports(*reports: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
@@ -128,6 +133,43 @@ def contract_checks(df: DataFrame, contract: TableContract) -> DataFrame:
     )
 
 
+def value_counts(df: DataFrame, columns: Sequence[str], present: Sequence[str] = (), by: Sequence[str] = ()) -> DataFrame:
+    """Rows by column and value (as text) in one grouping, for each value of ``by``: ``column_name``, ``value``, ``n``.
+
+    Of the columns in ``present``, which may have many values, only null and not null are told apart. Counts of
+    different ``by`` can be added up, so those of a reloaded month replace that month's alone.
+    """
+    told = {c: F.col(f"`{c}`").cast("string") for c in columns}
+    told |= {c: F.when(F.col(f"`{c}`").isNotNull(), F.lit("")) for c in present}
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), v.alias("value")) for c, v in told.items()])
+    one = df.select(*by, F.explode(pairs).alias("p")).select(*by, "p.*")
+    return one.groupBy(*by, "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def counted_rows(counts: DataFrame, table: str, column: str, min_rows: int = 1) -> DataFrame:
+    """:func:`row_counts` from value counts, of any column that was counted."""
+    total = counts.where(F.col("column_name") == column).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    return total.select(*_row(table, "row_count", F.col("n"), F.col("n") >= min_rows))
+
+
+def counted_nulls(counts: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
+    """:func:`not_null` from value counts."""
+    nulls = [
+        F.coalesce(F.sum(F.when((F.col("column_name") == c) & F.col("value").isNull(), F.col("n"))), F.lit(0)).alias(f"not_null({c})")
+        for c in columns
+    ]
+    long = counts.agg(*nulls).unpivot([], [f"`not_null({c})`" for c in columns], "check_name", "value")
+    return long.select(F.lit(table).alias("table_name"), "check_name", "value", (F.col("value") == 0).alias("passed"))
+
+
+def counted_referential(counts: DataFrame, table: str, foreign_key: str, dimension: DataFrame, key: str) -> DataFrame:
+    """:func:`referential` from value counts: joins the codes, not the rows."""
+    codes = counts.where((F.col("column_name") == foreign_key) & F.col("value").isNotNull()).select(F.col("value").alias("_code"), "n")
+    known = dimension.select(F.col(f"`{key}`").cast("string").alias("_code")).where(F.col("_code").isNotNull()).distinct()
+    total = codes.join(known, "_code", "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    return total.select(*_row(table, f"referential({foreign_key})", F.col("n"), F.col("n") == 0))
+
+
 def enforce(report: DataFrame) -> DataFrame:
     """Run the checks; return the report if all passed, else raise with every failed one.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starloom.functions.calendar import date_parts, sas_date, stay_days
 from starloom.functions.values import to_int
 from starloom.operators.clean import distinct_values
+from starloom.operators.rejects import FILE, LINE, REASON, first_reason, lost_in_cast
 
 # The columns kept, in the order of the fact.
 SOURCE_COLUMNS = (
@@ -40,6 +41,16 @@ def build_immigration(raw: DataFrame, columns: Sequence[str] = SOURCE_COLUMNS) -
     return fact
 
 
+def checked_immigration(records: DataFrame) -> DataFrame:
+    """:func:`build_immigration` of records that name their file and text; one with a number or day that is none is rejected."""
+    lost = {c: lost_in_cast(c, to_int(c)) for c in SOURCE_COLUMNS if c in _INTEGER_COLUMNS}
+    lost |= {c: lost_in_cast(c, sas_date(c)) for c in SOURCE_COLUMNS if c in _DATE_COLUMNS}
+    reasoned = records.withColumn(REASON, F.coalesce(REASON, first_reason(lost)))
+    told = reasoned.select(*SOURCE_COLUMNS, F.struct(FILE, LINE, REASON).alias("_told"))
+    fact = build_immigration(told, [*SOURCE_COLUMNS, "_told"])
+    return fact.select(*[c for c in fact.columns if c != "_told"], "_told.*")
+
+
 def date_union_all(fact: DataFrame, first: str = "arrdate", second: str = "depdate") -> DataFrame:
     """Distinct values of each column, one after the other: a date in both comes twice, null stays."""
     return (
@@ -61,5 +72,15 @@ def build_dates(
         dates = date_union_all(fact, first, second)
     else:
         raise ValueError(f"unknown form {form!r}")
+    return _with_parts(dates)
+
+
+def dates_of(counts: DataFrame, columns: Sequence[str] = ("arrdate", "depdate")) -> DataFrame:
+    """The date dimension (one row per date) from counts of the fact's values by column."""
+    dates = counts.where(F.col("column_name").isin(*columns) & F.col("value").isNotNull())
+    return _with_parts(dates.select(F.col("value").alias("date")).distinct())
+
+
+def _with_parts(dates: DataFrame) -> DataFrame:
     dates = dates.select(F.to_date("date").alias("date"))
     return dates.select("date", *[e.alias(n) for n, e in date_parts("date").items()])

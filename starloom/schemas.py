@@ -47,7 +47,7 @@ TEMPERATURE = struct(
 LOG_JSON = struct(
     "artist string, auth string, firstName string, gender string, itemInSession int, "
     "lastName string, length decimal(18,5), level string, location string, method string, "
-    "page string, registration string, sessionId int, song string, status int, ts bigint, "
+    "page string, registration string, sessionId bigint, song string, status int, ts bigint, "
     "userAgent string, userId string"
 )
 
@@ -97,8 +97,8 @@ _CONTRACTS = [
         "staging_events",
         "staging_event_id bigint, artist string, auth string, first_name string, gender string, "
         "item_in_session int, last_name string, length decimal(18,5), level string, "
-        "location string, method string, page string, registration bigint, session_id int, "
-        "song string, status int, ts timestamp_ntz, user_agent string, user_id int",
+        "location string, method string, page string, registration bigint, session_id bigint, "
+        "song string, status int, ts timestamp_ntz, user_agent string, user_id bigint",
         "staging_event_id",
         max_length={"auth": 30, "gender": 8},
     ),
@@ -112,14 +112,16 @@ _CONTRACTS = [
     ),
     _contract(
         "songplays",
-        "songplay_id string, start_time timestamp_ntz, user_id int, level string, "
-        "song_id string, artist_id string, session_id int, location string, user_agent string",
+        "songplay_id string, start_time timestamp_ntz, user_id bigint, level string, "
+        "song_id string, artist_id string, session_id bigint, location string, user_agent string, "
+        "year int, month int",
         "songplay_id",
         not_null=("start_time", "user_id", "session_id"),
+        partition_by=("year", "month"),
     ),
     _contract(
         "users",
-        "user_id int, first_name string, last_name string, gender string, level string",
+        "user_id bigint, first_name string, last_name string, gender string, level string",
         "user_id",
         sort_by=("user_id",),
     ),
@@ -150,6 +152,12 @@ _CONTRACTS = [
         "cicid",
         partition_by=("i94yr", "i94mon"),
     ),
+    _contract(
+        "immigration_counts",
+        "column_name string, value string, n bigint, i94yr int, i94mon int",
+        "column_name value i94yr i94mon",
+        partition_by=("i94yr", "i94mon"),
+    ),
     _contract(
         "date",
         "date date, year int, month int, day int, weekofyear int, dayofweek int",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.functions.values import to_int
+from starloom.operators.rejects import FILE, LINE, REASON
 
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 # the last one in a path: of the file name, else of the nearest folder
@@ -65,6 +66,35 @@ def read_delimited(
     return read_table(spark, path, "csv", schema=schema, sep=sep, **options)
 
 
+def read_checked(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "csv",
+    *,
+    columns: Sequence[str],
+    load_size: int | None = None,
+    **options,
+) -> DataFrame:
+    """As :func:`read_table`, with the file and the text of every record, and a reason if it does not fit.
+
+    Delimited records are read as text under the names of the header; one with too few or too many values is
+    unreadable. Other formats hold only records that fit; their text is JSON.
+    """
+    if fmt != "csv":
+        df = read_table(spark, path, fmt, load_size=load_size, **options)
+        return df.select(*columns, F.col("_metadata.file_path").alias(FILE), F.to_json(F.struct("*")).alias(LINE), F.lit(None).cast("string").alias(REASON))
+    names = read_table(spark, path, fmt, **{**options, "inferSchema": False}).columns
+    bad = "_corrupt"
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, bad]])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad, **options}
+    df = read_table(spark, path, fmt, schema=schema, **options)
+    if load_size is not None:
+        df = df.limit(load_size)
+    line = F.coalesce(F.col(bad), F.to_csv(F.struct(*[F.col(f"`{n}`") for n in names])))
+    unreadable = F.when(F.col(bad).isNotNull(), "unreadable").alias(REASON)
+    return df.select(*columns, F.col("_metadata.file_path").alias(FILE), line.alias(LINE), unreadable)
+
+
 def read_lookup(
     spark: SparkSession, path: str, columns: Sequence[str] = ("Code", "Country"), sep: str = ";"
 ) -> DataFrame:

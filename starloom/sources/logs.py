@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.functions.calendar import epoch_millis_ts
-from starloom.functions.values import to_bigint, to_int
+from starloom.functions.values import to_bigint
+from starloom.operators.rejects import FILE, LINE, REASON, first_reason, lost_in_cast
 from starloom.schemas import LOG_JSON, SONG_JSON
 
+_CORRUPT = "_corrupt"
+
 
 def log_columns() -> list[Column]:
     """Staging columns from the log's JSON keys."""
@@ -31,7 +34,7 @@ def log_columns() -> list[Column]:
         F.col("status"),
         epoch_millis_ts("ts").alias("ts"),
         F.col("userAgent").alias("user_agent"),
-        to_int("userId").alias("user_id"),
+        to_bigint("userId").alias("user_id"),
     ]
 
 
@@ -61,3 +64,36 @@ def read_songs(
 ) -> DataFrame:
     """Song metadata, matched by key name, in any depth of folders; ``corrupt_column`` as for the log."""
     return _read_json(spark, path, SONG_JSON, corrupt_column, options)
+
+
+def parsed_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """JSON lines (``value``) as columns, with the line's text and, if it is no JSON or a value has another
+    type, the reason. Blank lines are none. Needs a frame read straight from text files.
+    """
+    whole = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    read = lines.where(F.trim("value") != "").select(
+        F.from_json("value", whole, options).alias("r"), F.col("value").alias(LINE), F.col("_metadata.file_path").alias(FILE)
+    )
+    unreadable = F.col("r").isNull() | F.col(f"r.{_CORRUPT}").isNotNull()
+    return read.select(*[F.col(f"r.`{f.name}`") for f in schema], LINE, FILE, F.when(unreadable, "unreadable").alias(REASON))
+
+
+def checked_log(lines: DataFrame) -> DataFrame:
+    """Staging columns of the log's lines; a line is rejected if it cannot be read or a number in it is none."""
+    raw = parsed_lines(lines, LOG_JSON)
+    lost = {c: lost_in_cast(c, to_bigint(c)) for c in ("userId", "registration")}
+    reason = F.coalesce(REASON, first_reason(lost)).alias(REASON)
+    return raw.select(*log_columns(), LINE, FILE, reason)
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("recursiveFileLookup", True).text(path)
+
+
+def read_checked_log(spark: SparkSession, path: str) -> DataFrame:
+    return checked_log(read_lines(spark, path))
+
+
+def read_checked_songs(spark: SparkSession, path: str) -> DataFrame:
+    return parsed_lines(read_lines(spark, path), SONG_JSON)

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.operators.rejects import FILE, LINE, REASON, Split
 from starloom.schemas import LOG_JSON
-from starloom.sources.logs import log_columns
+from starloom.sources.logs import checked_log, log_columns
 
 BATCH_COLUMN = "batch_id"
 STREAM_COLUMN = "stream_id"
@@ -98,18 +99,35 @@ def stage_new_files(
 
 
 def stage_new_logs(spark: SparkSession, source: str, target: str, progress: str, **options) -> int:
-    """:func:`stage_new_files` for the activity log, in any depth of folders."""
+    """:func:`stage_new_files` for the activity log, in any depth of folders. Lines that are rejected are
+    staged too, with their text and the reason.
+    """
     return stage_new_files(
         spark,
         source,
         target,
         progress,
-        LOG_JSON,
-        transform=lambda raw: raw.select(*log_columns()),
+        "value string",
+        fmt="text",
+        transform=checked_log,
         **{"recursiveFileLookup": True, **options},
     )
 
 
+def staged_log(spark: SparkSession, target: str) -> Split:
+    """The good and the bad lines of everything staged so far."""
+    good = spark.createDataFrame([], LOG_JSON).select(*log_columns()).schema
+    told = T.StructType.fromDDL(f"{FILE} string, {LINE} string, {REASON} string")
+    staged = read_staged(spark, target, T.StructType([*good, *told]))
+    n, bad = staged.agg(F.count(F.lit(1)), F.count(REASON)).first()
+    rejected = staged.where(F.col(REASON).isNotNull())
+    return Split(
+        staged.where(F.col(REASON).isNull()).select(*good.fieldNames()),
+        rejected.select(F.col(FILE).alias("file"), F.col(REASON).alias("reason"), F.col(LINE).alias("line")),
+        n, n - bad, bad,
+    )
+
+
 def read_staged(
     spark: SparkSession, target: str, schema: T.StructType | str | None = None
 ) -> DataFrame:
@@ -117,6 +135,10 @@ def read_staged(
 
     With ``schema``, that of the staged rows, a target that no run has filled yet has no rows.
     """
-    if schema is not None and not _names(spark, target):
-        return spark.createDataFrame([], schema)
-    return spark.read.parquet(target).drop(BATCH_COLUMN, STREAM_COLUMN)
+    reader = spark.read
+    if schema is not None:
+        if not _names(spark, target):
+            return spark.createDataFrame([], schema)
+        declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        reader = reader.schema(declared)
+    return reader.parquet(target).drop(BATCH_COLUMN, STREAM_COLUMN)

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.values import recode
 from starloom.lookups import RACES
+from starloom.plans.deliveries import load_delivery
 from starloom.plans.etl import etl_countries, etl_immigration, etl_states
 from starloom.plans.immigration import SOURCE_COLUMNS
 from starloom.plans.jobs import JobResult, arrivals_job, music_job
 from starloom.schemas import TEMPERATURE
 from starloom.session import scratch_path
+from starloom.sinks.manifest import append_batch, read_batches
 from starloom.workload import facts_dims, frames  # noqa: F401  (registers the SQL used again below)
 from starloom.workload.registry import ORACLE_SQL, query, table
 from starloom.workload.storage import write_log
@@ -73,6 +77,8 @@ def _table_items(name: str, relation: str, key: str, *not_null: str) -> list[tup
         *_table_items("country", "(SELECT n_nationkey AS Code FROM nation)", "Code"),
         *_table_items("state", "state", "StateCode"),
         *[(f"{t} completeness", "SELECT 0") for t in ("immigration", "date", "country", "state")],
+        ("immigration rejected", "SELECT count(*) FROM nation"),
+        ("immigration reconciled", "SELECT 0"),
         *[
             (f"immigration referential({c})", f"SELECT count(*) FROM fact WHERE {c} NOT IN (FROM day)")
             for c in ("arrdate", "depdate")
@@ -95,9 +101,15 @@ def _table_items(name: str, relation: str, key: str, *not_null: str) -> list[tup
     ),
 )
 def arrivals_job_query(spark, sf):
-    """The state code list holds the codes R0 to R4 of the six that the arrivals name."""
+    """The state code list holds the codes R0 to R4 of the six that the arrivals name. For each nation one
+    record has a text as its number."""
     root = scratch_path(spark, "arrivals-job")
-    frames.arrivals_raw(spark, sf).select(*SOURCE_COLUMNS).write.csv(f"{root}/arrivals", header=True)
+    records = frames.arrivals_raw(spark, sf).select(*SOURCE_COLUMNS)
+    records.write.csv(f"{root}/arrivals", header=True)
+    bad = table(spark, sf, "nation").select(F.concat(F.lit("no "), "n_name").alias("cicid"), F.col("n_nationkey").alias("i94res"))
+    bad.select(*[F.col(c) if c in bad.columns else F.lit(None).cast("string").alias(c) for c in SOURCE_COLUMNS]).write.mode("append").csv(
+        f"{root}/arrivals", header=True
+    )
     _write_readings(frames.temperature_readings(spark, sf), f"{root}/temperature")
     frames.country_codes(spark, sf).write.csv(f"{root}/codes", header=True, sep=";")
     frames.demographics(spark, sf).write.csv(f"{root}/demographics", header=True, sep=";")
@@ -115,6 +127,7 @@ def arrivals_job_query(spark, sf):
             output=f"{root}/out",
             database=_database(spark, root),
             state_codes=f"{root}/states",
+            allowed_rejects=1000,
         )
     )
 
@@ -205,23 +218,126 @@ _STAGED_SQL = """, staged AS (SELECT * REPLACE (nullif(user_id, 0) AS user_id) F
         *_table_items("artists", "artist", "artist_id"),
         *_table_items("time", "moment", "start_time"),
         *[
-            (f"songplays referential({c})", "SELECT 0")
-            for c in ("user_id", "song_id", "artist_id", "start_time")
+            (f"songplays referential({c})", f"SELECT count(*) FROM staged WHERE {fk} NOT IN (SELECT {key} FROM {dimension})")
+            for c, fk, dimension, key in (
+                ("user_id", "user_id", "seen", "user_id"), ("song_id", "song_id", "song", "song_id"),
+                ("artist_id", "artist_id", "artist", "artist_id"), ("start_time", "ts", "moment", "start_time"),
+            )
         ],
+        ("staging_events rejected", "SELECT (SELECT count(*) FROM nation) + (SELECT count(*) FROM region)"),
+        ("staging_events reconciled", "SELECT 0"),
+        ("staging_songs rejected", "SELECT 0"),
+        ("staging_songs reconciled", "SELECT 0"),
     ),
 )
 def music_job_query(spark, sf):
     """Some plays have a blank user, which the check reports; hence the job is told not to raise."""
     root = scratch_path(spark, "music-job")
+    return _report(_music_job(spark, sf, root))
+
+
+def _music_job(spark, sf, root) -> JobResult:
+    """The job over a log in which a line for each nation is cut off and one for each region has no number as user."""
     write_log(spark, sf, f"{root}/logs")
     frames.song_metadata(spark, sf).write.json(f"{root}/songs")
-    return _report(
-        music_job(
-            spark,
-            logs=f"{root}/logs",
-            songs=f"{root}/songs",
-            output=f"{root}/out",
-            database=_database(spark, root),
-            enforce=False,
-        )
+    cut = table(spark, sf, "nation").select(F.concat(F.lit('{"page": "NextSong", "song": "'), "n_name").alias("value"))
+    odd = table(spark, sf, "region").select(F.to_json(F.struct(F.lit("NextSong").alias("page"), F.col("r_name").alias("userId"))).alias("value"))
+    cut.union(odd).write.mode("append").text(f"{root}/logs/bad")
+    return music_job(
+        spark,
+        logs=f"{root}/logs",
+        songs=f"{root}/songs",
+        output=f"{root}/out",
+        database=_database(spark, root),
+        enforce=False,
+        allowed_rejects=1000,
     )
+
+
+@query(
+    "rejected_lines",
+    """SELECT 'unreadable' AS reason, '{"page": "NextSong", "song": "' || n_name AS line FROM nation
+    UNION ALL SELECT 'userId', '{"page":"NextSong","userId":"' || r_name || '"}' FROM region""",
+)
+def rejected_lines(spark, sf):
+    """What the music job has set aside: the text of every bad line, and why."""
+    result = _music_job(spark, sf, scratch_path(spark, "rejected-lines"))
+    return result.rejected["staging_events"].select("reason", "line")
+
+
+# --- delivery by delivery ------------------------------------------------------------------------
+
+_DELIVERED = (
+    f"""WITH {frames.LOG_SQL}, {frames.SONG_SQL}, played AS (SELECT DISTINCT * FROM log WHERE page = 'NextSong'),
+    known AS (SELECT DISTINCT * FROM song)"""
+)
+
+
+def _delivered(spark, sf, label: str) -> str:
+    """The log in three deliveries by place in the session, of which the second one comes twice; songs of odd size come
+    with the last one only. Returns the database."""
+    root = scratch_path(spark, label)
+    write_log(spark, sf, f"{root}/all")
+    database = _database(spark, root)
+    log = spark.read.text(f"{root}/all").withColumn("item", F.get_json_object("value", "$.itemInSession").cast("int"))
+    songs = frames.song_metadata(spark, sf)
+    parts = {0: F.col("item") <= 2, 1: F.col("item").isin(3, 4), 2: F.col("item") > 4}
+    for i, chosen in parts.items():
+        log.where(chosen).select("value").write.text(f"{root}/in/{i}/logs")
+        if i != 1:
+            songs.where(F.col("year") % 2 == (1 if i else 0)).write.json(f"{root}/in/{i}/songs")
+    for i in (0, 1, 1, 2):
+        given = {"logs": f"{root}/in/{i}/logs"} | ({"songs": f"{root}/in/{i}/songs"} if i != 1 else {})
+        load_delivery(spark, batch=f"delivery {i}", output=f"{root}/out", database=database, **given)
+    return database
+
+
+@query(
+    "star_by_deliveries",
+    _DELIVERED
+    + """ SELECT md5(concat_ws(chr(31), '=' || l.session_id, '=' || l.item_in_session, '=' || l.ts, coalesce('=' || s.song_id, ''))) AS songplay_id,
+      l.ts AS start_time, CAST(nullif(l.user_id, 0) AS BIGINT) AS user_id, l.level, s.song_id, s.artist_id,
+      CAST(l.session_id AS BIGINT) AS session_id, l.location, l.user_agent, CAST(year(l.ts) AS INTEGER) AS "year", CAST(month(l.ts) AS INTEGER) AS "month"
+    FROM played l LEFT JOIN known s ON l.song = s.title AND l.length = s.duration AND l.artist = s.artist_name""",
+)
+def star_by_deliveries(spark, sf):
+    """The fact after four deliveries, one of them repeated: that of one load, ids included."""
+    return spark.table(f"{_delivered(spark, sf, 'deliveries')}.songplays")
+
+
+@query(
+    "dimensions_by_deliveries",
+    _DELIVERED
+    + """ SELECT 'users' AS dimension, count(DISTINCT nullif(user_id, 0)) AS n_rows, CAST(sum(DISTINCT nullif(user_id, 0)) AS BIGINT) AS checked FROM played
+    UNION ALL SELECT 'songs', count(DISTINCT song_id), CAST(sum("year") AS BIGINT) FROM known
+    UNION ALL SELECT 'artists', count(DISTINCT artist_id), count(DISTINCT artist_name) FROM known
+    UNION ALL SELECT 'time', count(DISTINCT ts), count(DISTINCT ts) FROM played""",
+)
+def dimensions_by_deliveries(spark, sf):
+    database = _delivered(spark, sf, "delivered-dimensions")
+    checked = {"users": F.sum("user_id"), "songs": F.sum("year"), "artists": F.count_distinct("name"), "time": F.count_distinct("start_time")}
+    n = F.count(F.lit(1)).alias("n_rows")
+    return reduce(
+        DataFrame.union,
+        [spark.table(f"{database}.{d}").agg(n, c.cast("bigint").alias("checked")).select(F.lit(d).alias("dimension"), "*") for d, c in checked.items()],
+    )
+
+
+@query(
+    "ids_across_loads",
+    """SELECT l_linenumber % 3 AS batch, count(*) AS n_rows,
+      CAST(coalesce(sum(count(*)) OVER (ORDER BY l_linenumber % 3 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS first_id,
+      CAST(sum(count(*)) OVER (ORDER BY l_linenumber % 3) - 1 AS BIGINT) AS last_id, count(*) AS n_ids
+    FROM lineitem GROUP BY l_linenumber % 3""",
+)
+def ids_across_loads(spark, sf):
+    """Three appends, the second and the first one repeated: ids go on without gap, and repeated batches keep theirs."""
+    folder = scratch_path(spark, "numbered-batches")
+    lines = table(spark, sf, "lineitem").select((F.col("l_linenumber") % 3).cast("int").alias("batch"), "l_orderkey")
+    for i in (0, 1, 1, 2, 0):
+        append_batch(lines.where(F.col("batch") == i), folder, f"batch {i}", id_column="line_id")
+    stored = read_batches(spark, folder, "line_id bigint, batch int, l_orderkey bigint")
+    return stored.groupBy("batch").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("line_id").alias("first_id"), F.max("line_id").alias("last_id"),
+        F.count_distinct("line_id").alias("n_ids"),
+    )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from starloom.functions.calendar import epoch_millis, epoch_millis_ts
@@ -129,8 +130,8 @@ def write_log(spark, sf, path):
 @query(
     "json_log_scan",
     f"""WITH {frames.LOG_SQL} SELECT artist, auth, first_name, gender, item_in_session, last_name,
-      CAST(length AS DOUBLE) AS length, level, location, method, page, registration, session_id, song, status,
-      ts, user_agent, nullif(user_id, 0) AS user_id FROM log""",
+      CAST(length AS DOUBLE) AS length, level, location, method, page, registration,
+      CAST(session_id AS BIGINT) AS session_id, song, status, ts, user_agent, CAST(nullif(user_id, 0) AS BIGINT) AS user_id FROM log""",
 )
 def json_log_scan(spark, sf):
     path = scratch_path(spark, "log-json")
@@ -198,7 +199,7 @@ def load_size_query(spark, sf):
 
 @query(
     "json_corrupt_rows",
-    """SELECT CASE WHEN l_linenumber <> 4 THEN CAST(l_orderkey AS INTEGER) END AS session_id,
+    """SELECT CASE WHEN l_linenumber <> 4 THEN CAST(l_orderkey AS BIGINT) END AS session_id,
       CASE WHEN l_linenumber = 4 THEN '{"sessionId":' || l_orderkey || ',"ts":' END AS bad_line FROM lineitem""",
 )
 def json_corrupt_rows(spark, sf):
@@ -335,6 +336,27 @@ def table_partition_reload(spark, sf):
     return spark.table(name)
 
 
+@query(
+    "rows_during_a_load",
+    """SELECT status, count(*) AS n_rows, CAST(sum(CAST(round(price * 100) AS BIGINT)) AS BIGINT) AS cents
+    FROM (""" + _ORDER_SQL + """) GROUP BY status""",
+)
+def rows_during_a_load(spark, sf):
+    """A reload that breaks off half way, in whole and by partitions: readers see the rows of the load before."""
+    name, path = _table("orders"), scratch_path(spark, "orders-table")
+    rows = _order_rows(spark, sf)
+    load_table(rows, _ORDER_TABLE, name, location=path)
+    stops = F.when(F.col("status") == "F", F.raise_error(F.lit("stop"))).otherwise("0").cast("double")
+    for mode in ("overwrite", "overwrite_partitions"):
+        try:
+            load_table(rows.withColumn("price", stops), _ORDER_TABLE, name, mode=mode, location=path)
+        except PySparkException:
+            continue
+        raise AssertionError("the load went through")
+    cents = F.sum(F.round(F.col("price") * 100).cast("bigint")).alias("cents")
+    return spark.table(name).groupBy("status").agg(F.count(F.lit(1)).alias("n_rows"), cents)
+
+
 @query("table_drop_and_load", _ORDER_SQL)
 def table_drop_and_load(spark, sf):
     """A filled table is dropped; the next load shows its own rows only."""
