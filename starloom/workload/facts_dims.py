@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from starloom.operators.clean import latest_per_key
+from starloom.operators.history import validity_intervals, value_then
 from starloom.operators.identity import with_dense_id
 from starloom.plans import songplays as music
 from starloom.plans.country import build_country
@@ -248,6 +249,43 @@ def users_form_c(spark, sf):
     )
 
 
+_HISTORY = f"""WITH {frames.LOG_SQL}, level_at AS (
+      SELECT user_id, ts, max(level) AS level FROM log WHERE page = 'NextSong' GROUP BY user_id, ts
+    ), change AS (
+      SELECT *, lag(level) OVER (PARTITION BY user_id ORDER BY ts) AS was FROM level_at
+    ), history AS (
+      SELECT user_id, level, ts AS valid_from, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS valid_to
+      FROM change WHERE was IS NULL OR was <> level
+    )"""
+
+
+def _history(spark, sf):
+    plays = music.plays(frames.log_events(spark, sf))
+    return validity_intervals(plays, ["user_id"], ["level"], "ts")
+
+
+@query("users_history", f"{_HISTORY} SELECT * FROM history")
+def users_history(spark, sf):
+    """From when to when a user had a level, as their plays tell."""
+    return _history(spark, sf)
+
+
+@query(
+    "events_with_level_then",
+    f"""{_HISTORY}, side AS (
+      SELECT user_id, ts, 1 AS kind, NULL AS level, session_id, item_in_session, page FROM log
+      UNION ALL SELECT user_id, valid_from, 0, level, NULL, NULL, NULL FROM history
+    ), told AS (
+      SELECT *, last_value(level IGNORE NULLS) OVER (
+        PARTITION BY user_id ORDER BY ts, kind ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS level_then FROM side
+    ) SELECT user_id, ts, session_id, item_in_session, page, level_then FROM told WHERE kind = 1""",
+)
+def events_with_level_then(spark, sf):
+    """Every event with the level that the user's plays had set by then."""
+    events = frames.log_events(spark, sf).select("user_id", "ts", "session_id", "item_in_session", "page")
+    return value_then(events, _history(spark, sf), ["user_id"], "level", "ts", name="level_then")
+
+
 @query(
     "users_latest_event",
     """SELECT event_id, ts, user_id, event_type FROM events
