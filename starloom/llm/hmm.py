@@ -6,10 +6,13 @@ word to word; a state emits a class of words, and the class emits the word by it
 * each of the ``TOP`` most frequent words, and the end of a text, is a class of its own;
 * any other word belongs to the class of its last two bytes, its first byte's kind and its length.
 
-Baum-Welch: each pass runs forward and backward over all training documents, in
-pieces of ``PIECE`` tokens, in the tasks that hold them, and adds up expected counts
-over partitions. The first pass starts from ``new_model``; no sample is used. Scores come from the scaled forward recursion over the whole text, so they are the exact
-logarithm of the model's probability. A class keeps the mass of one more word for those never seen.
+Baum-Welch: the class numbers of all training documents are written once; each pass runs forward and
+backward over all of them in the tasks that read them, and adds up expected counts over partitions. The first pass starts
+from ``new_model``; no sample is used. Long texts are worked on in pieces of ``PIECE`` tokens side by side: the
+product of a piece's matrices carries the states over it, so that what each piece starts from and ends with
+is that of the recursion over the whole text, and no move is lost at a border. Scores come from the scaled forward
+recursion in the same way, so they are the exact logarithm of the model's probability. A class keeps the
+mass of one more word for those never seen.
 
 Defined results: a null or empty text has one token, the end. Rows that repeat an id count as often
 as they stand there. Without training documents all words are unseen and every score is finite.
@@ -24,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.llm.components import stored
 from starloom.llm.shards import SHARD, announce, answer, sharded
 from starloom.llm.text import Words, lookup, slices, words
 from starloom.session import scratch_path
@@ -31,7 +35,8 @@ from starloom.session import scratch_path
 STATES = 8
 TOP = 2000
 SUFFIXES = 1024
-PIECE = 256
+PIECE = 512
+BATCH_TOKENS = 1 << 20
 PASSES = 14
 SHARD_BYTES = 8 << 20
 END = np.uint64(0x2545F4914F6CDD1D)  # stands for the end of a text among the words' hashes
@@ -50,7 +55,6 @@ def suffix_classes(w: Words) -> np.ndarray:
 class Model:
     top: np.ndarray  # sorted hashes of the words with a class of their own
     start: np.ndarray
-    inner: np.ndarray  # states at the start of a piece inside a text
     move: np.ndarray
     emit: np.ndarray  # class by state
 
@@ -73,7 +77,7 @@ def new_model(top: np.ndarray) -> Model:
     emit = rng.gamma(2.0, size=(n, STATES))
     move = np.full((STATES, STATES), 0.3 / STATES) + 0.7 * np.eye(STATES)
     flat = np.full(STATES, 1 / STATES)
-    return Model(np.sort(top), flat, flat, move, emit / emit.sum(axis=0))
+    return Model(np.sort(top), flat, move, emit / emit.sum(axis=0))
 
 
 def with_ends(values: np.ndarray, first: np.ndarray, end) -> np.ndarray:
@@ -81,65 +85,160 @@ def with_ends(values: np.ndarray, first: np.ndarray, end) -> np.ndarray:
     return np.insert(values, first[1:], end)
 
 
-def expected_counts(model: Model, classes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Expected counts of starts, inner starts, moves and emissions over texts of tokens, each cut in pieces."""
-    sizes = np.diff(first)
-    pieces = -(-sizes // PIECE)
-    text = np.repeat(np.arange(len(sizes)), pieces)
-    number = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    begin = first[text] + number * PIECE
-    length = np.minimum(sizes[text] - number * PIECE, PIECE)
-    order = np.argsort(-length, kind="stable")
-    begin, length, inner = begin[order], length[order], (number > 0)[order]
-    starts, inners = np.zeros(STATES), np.zeros(STATES)
-    moves, emits = np.zeros((STATES, STATES)), np.zeros(model.emit.shape)
-    if not len(begin):
-        return starts, inners, moves, emits
-    longest = int(length[0])
-    active = np.searchsorted(-length, -np.arange(longest), "left")  # pieces longer than t
-    emit, move = model.emit.astype(np.float32), model.move.astype(np.float32)
-    forward, scales, seen = [], [], []
-    state = np.where(inner[:, None], model.inner, model.start).astype(np.float32)
-    for t in range(longest):
-        n = active[t]
-        symbol = classes[begin[:n] + t]
+class Pieces:
+    """Texts of tokens cut in pieces of at most ``PIECE``, which are gone through step by step, side by side.
+
+    Arrays over pieces and steps hold the states first, then all pieces' first steps, all second ones and so on;
+    longer pieces come first, so that those that have a step ``t`` are the first ``active[t]``.
+    """
+
+    def __init__(self, classes: np.ndarray, first: np.ndarray, size: int):
+        sizes = np.diff(first)
+        count = -(-sizes // size)
+        text = np.repeat(np.arange(len(sizes)), count)
+        number = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
+        length = np.minimum(sizes[text] - number * size, size)
+        order = np.argsort(-length, kind="stable")
+        self.text, self.number, self.length = text[order], number[order], length[order]
+        begin = first[text[order]] + self.number * size
+        self.last = self.number == count[self.text] - 1
+        longest = int(self.length[0]) if len(self.length) else 0
+        self.active = np.searchsorted(-self.length, -np.arange(longest), "left")
+        self.offset = np.r_[0, np.cumsum(self.active)]
+        self.symbols = np.concatenate([classes[begin[:n] + t] for t, n in enumerate(self.active)]) if longest else classes[:0]
+        # where a piece of a number stands, for the pieces of texts of several
+        many = np.flatnonzero(count[self.text] > 1)
+        many = many[np.lexsort([self.text[many], self.number[many]])]
+        self.rounds = np.split(many, np.flatnonzero(np.diff(self.number[many])) + 1) if len(many) else []
+        self.place = {}
+        for pieces in self.rounds:
+            self.place.update(zip(zip(self.text[pieces].tolist(), self.number[pieces].tolist(), strict=True), pieces.tolist(), strict=True))
+
+    def at(self, t: int) -> slice:
+        return slice(self.offset[t], self.offset[t + 1])
+
+    def following(self, pieces: np.ndarray, step: int) -> np.ndarray:
+        """The pieces of the same texts with the next (or, with ``step`` -1, the last) numbers."""
+        return np.array([self.place[t, n + step] for t, n in zip(self.text[pieces].tolist(), self.number[pieces].tolist(), strict=True)], np.int64)
+
+
+def _products(model: Model, cut: Pieces, emit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For pieces of texts of several: their places, the product of their matrices scaled to sum 1, and its log scale.
+
+    From the states before a piece to those at its end; a text's first piece begins with the model's start.
+    """
+    chosen = np.sort(np.concatenate(cut.rounds))
+    length = cut.length[chosen]
+    first = cut.number[chosen] == 0
+    move = model.move.astype(np.float32)
+    product = np.repeat(move.T[:, :, None], len(chosen), axis=2)  # state at the end, state before, piece
+    product[:, :, first] = model.start.astype(np.float32)[:, None, None]
+    logs = np.zeros(len(chosen))
+    for t in range(int(length[0])):
+        n = int(np.searchsorted(-length, -t, "left"))
         if t:
-            state = forward[-1][:n] @ move
-        state = state * emit[symbol]
-        scale = state.sum(axis=1)
-        state /= scale[:, None]
-        forward.append(state)
-        scales.append(scale)
-        seen.append(symbol)
-    after = None
-    gammas = []
-    for t in range(longest - 1, -1, -1):
-        n = active[t]
-        back = np.ones((n, STATES), np.float32)
-        if after is not None and len(after):
-            m = len(after)
-            ahead = emit[seen[t + 1]] * after / scales[t + 1][:, None]
-            back[:m] = ahead @ move.T
-            moves += (forward[t][:m].T @ ahead) * model.move
-        after = back
-        gammas.append(forward[t] * back)
-    gammas = gammas[::-1]
-    symbols, gamma = np.concatenate(seen), np.concatenate(gammas)
+            part = (move.T @ product[:, :, :n].reshape(STATES, -1)).reshape(STATES, STATES, n)
+        else:
+            part = product[:, :, :n]
+        part = part * emit[:, None, cut.offset[t] + chosen[:n]]
+        if t % 4 == 3 or t < 4:
+            scale = part.sum(axis=(0, 1))
+            part /= scale
+            logs[:n] += np.log(scale)
+        product[:, :, :n] = part
+    scale = product.sum(axis=(0, 1))
+    return chosen, product / scale, logs + np.log(scale)
+
+
+def _borders(model: Model, cut: Pieces, emit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each piece the states at the end of the piece before, those to go on from, what comes after it, and the log
+    probability up to its end (0 for a text of one piece)."""
+    n = len(cut.length)
+    ended = np.full((STATES, n), 1 / STATES, np.float32)
+    onward = np.repeat(model.start.astype(np.float32)[:, None], n, axis=1)
+    after = np.ones((STATES, n), np.float32)
+    logs = np.zeros(n)
+    if not cut.rounds:
+        return ended, onward, after, logs
+    chosen, product, scales = _products(model, cut, emit)
+    row = np.zeros(n, np.int64)
+    row[chosen] = np.arange(len(chosen))
+    end = np.zeros((STATES, n), np.float32)
+    for number, pieces in enumerate(cut.rounds):
+        part = product[:, :, row[pieces]]
+        if number == 0:
+            state = part[:, 0, :]  # the same whatever stood before
+            logs[pieces] = scales[row[pieces]] + np.log(STATES)
+        else:
+            before = cut.following(pieces, -1)
+            ended[:, pieces] = end[:, before]
+            onward[:, pieces] = model.move.astype(np.float32).T @ end[:, before]
+            state = np.einsum("jin,in->jn", part, end[:, before])
+            logs[pieces] = logs[before] + scales[row[pieces]]
+        total = state.sum(axis=0)
+        logs[pieces] += np.log(total)
+        end[:, pieces] = state / total
+    for pieces in reversed(cut.rounds):
+        going = pieces[~cut.last[pieces]]
+        if len(going):
+            beyond = cut.following(going, 1)
+            back = np.einsum("jin,jn->in", product[:, :, row[beyond]], after[:, beyond])
+            after[:, going] = back / back.sum(axis=0)
+    return ended, onward, after, logs
+
+
+def expected_counts(model: Model, classes: np.ndarray, first: np.ndarray, size: int = PIECE) -> tuple[np.ndarray, ...]:
+    """Expected counts of starts, moves and emissions over whole texts of tokens."""
+    starts, moves, emits = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros(model.emit.shape)
+    cut = Pieces(classes, first, size)
+    if not len(cut.length):
+        return starts, moves, emits
+    emit = np.take(np.ascontiguousarray(model.emit.T, np.float32), cut.symbols, axis=1)
+    ended, state, after, _ = _borders(model, cut, emit)
+    move = model.move.astype(np.float32)
+    forward = np.empty_like(emit)
+    scales = np.empty(emit.shape[1], np.float32)
+    for t, n in enumerate(cut.active):
+        at = cut.at(t)
+        state = (move.T @ state[:, :n] if t else state) * emit[:, at]
+        scales[at] = state.sum(axis=0)
+        state /= scales[at]
+        forward[:, at] = state
+    back = None
+    seen = np.zeros((STATES, STATES))
+    gamma = np.empty_like(emit)
+    for t in range(len(cut.active) - 1, -1, -1):
+        n, at = cut.active[t], cut.at(t)
+        # pieces that end here go on from what comes after them
+        m = 0 if back is None else back.shape[1]
+        now = after[:, :n].copy()
+        if m:
+            now[:, :m] = move @ back
+            now[:, :m] /= now[:, :m].sum(axis=0)
+        both = forward[:, at] * now
+        total = both.sum(axis=0)
+        gamma[:, at] = both / total
+        back = now * emit[:, at]
+        if t:
+            # the probability of the step into this token, over that of the state and what follows
+            before = forward[:, cut.offset[t - 1] : cut.offset[t - 1] + n]
+            seen += before @ (back / (scales[at] * total)).T
+        else:
+            inner = cut.number[:n] > 0
+            if inner.any():
+                seen += ended[:, inner] @ (back / (scales[at] * total))[:, inner].T
+    moves += seen * model.move
     for k in range(STATES):
-        emits[:, k] = np.bincount(symbols, gamma[:, k], minlength=len(emits))
-    starts += gammas[0][~inner[: len(gammas[0])]].sum(axis=0)
-    inners += gammas[0][inner[: len(gammas[0])]].sum(axis=0)
-    return starts, inners, moves, emits
+        emits[:, k] = np.bincount(cut.symbols, gamma[k], minlength=len(emits))
+    starts += gamma[:, : cut.active[0]][:, cut.number == 0].sum(axis=1)
+    return starts, moves, emits
 
 
 def improved(model: Model, counts: tuple[np.ndarray, ...]) -> Model:
     """The model that the expected counts make likeliest, with a little mass for what was not seen."""
-    starts, inners, moves, emits = counts
-    start, inner = starts + 0.1, inners + 0.1
-    move, emit = moves + 0.1, emits + 0.01
-    return Model(
-        model.top, start / start.sum(), inner / inner.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0)
-    )
+    starts, moves, emits = counts
+    start, move, emit = starts + 0.1, moves + 0.1, emits + 0.01
+    return Model(model.top, start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
 
 def log_forward(model: Model, classes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -170,22 +269,52 @@ def _pack(counts: tuple[np.ndarray, ...]) -> bytes:
 
 def _unpack(packed: bytes, n_classes: int) -> tuple[np.ndarray, ...]:
     flat = np.frombuffer(packed, np.float32).astype(float)
-    a, b, c, d = np.split(flat, np.cumsum([STATES, STATES, STATES * STATES]))
-    return a, b, c.reshape(STATES, STATES), d.reshape(n_classes, STATES)
+    starts, moves, emits = np.split(flat, np.cumsum([STATES, STATES * STATES]))
+    return starts, moves.reshape(STATES, STATES), emits.reshape(n_classes, STATES)
+
+
+def encoded(texts: DataFrame, model: Model) -> DataFrame:
+    """The class numbers of every text's tokens (``ids``, 16 bits each), as the model's passes read them."""
+    shared = texts.sparkSession.sparkContext.broadcast(Model(model.top, model.start, model.move, model.emit[:, :1]))
+
+    def each(batches):
+        for batch in batches:
+            for _, part in slices(batch[0]):
+                w = words(part, fold=True)
+                ids = with_ends(shared.value.classes(w, w.hashes()), w.first, shared.value.end).astype("<u2")
+                ends = (w.first + np.arange(len(w.first))) * 2
+                yield pa.RecordBatch.from_arrays(
+                    [pa.Array.from_buffers(pa.large_binary(), len(part), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(ids)]).cast(pa.binary())],
+                    ["ids"],
+                )
+
+    return texts.mapInArrow(each, "ids binary")
+
+
+def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of a batch of encoded texts in a row, and where each text begins."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    raw = np.frombuffer(data, "<u2", count=(bounds[-1] - bounds[0]) // 2, offset=bounds[0]) if data is not None else np.zeros(0, "<u2")
+    return raw.astype(np.int64), (bounds - bounds[0]) // 2
 
 
 def baum_welch_pass(texts: DataFrame, model: Model) -> Model:
-    """One pass over a column of texts: counts are added up in each task, then over tasks."""
+    """One pass over encoded texts: counts are added up in each task, then over tasks."""
     shared = texts.sparkSession.sparkContext.broadcast(model)
 
     def each(batches):
         model, total = shared.value, None
         for batch in batches:
-            for _, part in slices(batch[0]):
-                w = words(part, fold=True)
-                classes = with_ends(model.classes(w, w.hashes()), w.first, model.end)
-                counts = expected_counts(model, classes, w.first + np.arange(len(w.first)))
+            classes, first = _tokens(batch["ids"])
+            # whole texts of about so many tokens at a time
+            row = 0
+            while row < len(first) - 1:
+                stop = max(row + 1, int(np.searchsorted(first, first[row] + BATCH_TOKENS, "right")) - 1)
+                counts = expected_counts(model, classes[first[row] : first[stop]], first[row : stop + 1] - first[row])
                 total = counts if total is None else tuple(a + b for a, b in zip(total, counts, strict=True))
+                row = stop
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([_pack(total)])], ["one", "counts"])
 
@@ -270,7 +399,7 @@ def score(docs: DataFrame, train, *, id_col="doc_id", text_col="text", passes=PA
         form_types[r.form] -= 1
     form_logs = np.log(form_tokens + form_types + 1)
 
-    training = held.where("_train").select(F.col(text_col).alias("text"))
+    training = stored(encoded(held.where("_train").select(F.col(text_col).alias("text")), model), "encoded")
     for _ in range(passes):
         model = baum_welch_pass(training, model)
     shared = spark.sparkContext.broadcast((model, form_logs))

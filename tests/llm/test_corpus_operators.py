@@ -169,13 +169,49 @@ def test_forward_recursion_and_counts_are_exact():
 
     found = hmm.log_forward(model, classes, first)
     assert found[0] == pytest.approx(brute(classes[:4])) and found[2] == pytest.approx(brute(classes[4:])) and found[1] == 0
-    starts, inners, moves, emits = hmm.expected_counts(model, classes, first)
-    assert starts.sum() == pytest.approx(2, rel=1e-4) and inners.sum() == 0
+    starts, moves, emits = hmm.expected_counts(model, classes, first)
+    assert starts.sum() == pytest.approx(2, rel=1e-4)
     assert moves.sum() == pytest.approx(9, rel=1e-4) and emits.sum() == pytest.approx(11, rel=1e-4)
-    better = hmm.improved(model, (starts, inners, moves, emits))
+    better = hmm.improved(model, (starts, moves, emits))
     assert hmm.log_forward(better, classes, first).sum() > found.sum()
 
 
+def test_expected_counts_match_forward_backward_over_pieces():
+    rng = np.random.Generator(np.random.PCG64(4))
+    model = hmm.new_model(np.arange(3, dtype=np.uint64))
+    sizes = [11, 1, 4, 5, 9, 23, 3]
+    first = np.r_[0, np.cumsum(sizes)]
+    classes = rng.integers(0, 12, first[-1])
+    starts, moves, emits = np.zeros(hmm.STATES), np.zeros((hmm.STATES, hmm.STATES)), np.zeros(model.emit.shape)
+    for a, b in zip(first, first[1:], strict=False):
+        e = model.emit[classes[a:b]]
+        ahead, back = [model.start * e[0]], [np.ones(hmm.STATES)]
+        for x in e[1:]:
+            ahead.append((ahead[-1] @ model.move) * x)
+        for x in e[:0:-1]:
+            back.append(model.move @ (x * back[-1]))
+        ahead, back = np.array(ahead), np.array(back[::-1])
+        whole = ahead[-1].sum()
+        gamma = ahead * back / whole
+        starts += gamma[0]
+        np.add.at(emits, classes[a:b], gamma)
+        for t in range(1, b - a):
+            moves += ahead[t - 1][:, None] * model.move * (e[t] * back[t])[None, :] / whole
+    for size in (4, 8, 256):
+        found = hmm.expected_counts(model, classes, first, size)
+        for ours, true in zip(found, (starts, moves, emits), strict=True):
+            assert np.allclose(ours, true, rtol=1e-3, atol=1e-5), size
+
+
+def test_encoded_texts_are_the_classes(spark):
+    texts = ["b a b", None, "", "c " * 50, "A"]
+    model = hmm.new_model(np.sort(hmm.words(pa.array(["a b"], pa.large_string())).hashes()))
+    rows = [r.ids for r in hmm.encoded(spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1), model).collect()]
+    assert [len(r) // 2 for r in rows] == [4, 1, 1, 51, 2]
+    ids, first = hmm._tokens(pa.array(rows, pa.binary()))
+    assert ids[0] == ids[2] != ids[1] and ids[1] == ids[-2] and set(ids[first[1:] - 1]) == {model.end}
+
+
 # --- mixture ----------------------------------------------------------------------------------
 
 
