@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +38,8 @@ TOP = 2000
 SUFFIXES = 1024
 PIECE = 512
 BATCH_TOKENS = 1 << 20
+NEAR = 48  # tokens on either side of a border that mostly settle its states
+SETTLED = 1e-5
 PASSES = 14
 SHARD_BYTES = 8 << 20
 END = np.uint64(0x2545F4914F6CDD1D)  # stands for the end of a text among the words' hashes
@@ -122,63 +125,98 @@ class Pieces:
         return np.array([self.place[t, n + step] for t, n in zip(self.text[pieces].tolist(), self.number[pieces].tolist(), strict=True)], np.int64)
 
 
-def _products(model: Model, cut: Pieces, emit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For pieces of texts of several: their places, the product of their matrices scaled to sum 1, and its log scale.
+def emissions(model: Model, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """State by class, each class over its largest, and the logs of these: no expected count changes by it."""
+    largest = model.emit.max(axis=1)
+    return np.ascontiguousarray((model.emit / largest[:, None]).T, kind), np.log(largest)
 
-    From the states before a piece to those at its end; a text's first piece begins with the model's start.
+
+def _products(model: Model, cut: Pieces, emit: np.ndarray, chosen: np.ndarray, begin: int = 0, end: int | None = None):
+    """The products of the matrices of some pieces (in order) scaled to sum 1, and the logs of their scales.
+
+    From the states before a piece to those at its end; a text's first piece begins with the model's start. With ``begin`` and
+    ``end``, of these steps alone.
     """
-    chosen = np.sort(np.concatenate(cut.rounds))
-    length = cut.length[chosen]
-    first = cut.number[chosen] == 0
-    move = model.move.astype(np.float32)
+    length = cut.length[chosen] if end is None else np.minimum(cut.length[chosen], end)
+    first = (cut.number[chosen] == 0) & (begin == 0)
+    move = model.move.astype(emit.dtype)
     product = np.repeat(move.T[:, :, None], len(chosen), axis=2)  # state at the end, state before, piece
-    product[:, :, first] = model.start.astype(np.float32)[:, None, None]
+    product[:, :, first] = model.start.astype(emit.dtype)[:, None, None]
     logs = np.zeros(len(chosen))
-    for t in range(int(length[0])):
+    for t in range(begin, int(length[0])):
         n = int(np.searchsorted(-length, -t, "left"))
-        if t:
+        if t > begin:
             part = (move.T @ product[:, :, :n].reshape(STATES, -1)).reshape(STATES, STATES, n)
         else:
             part = product[:, :, :n]
         part = part * emit[:, None, cut.offset[t] + chosen[:n]]
-        if t % 4 == 3 or t < 4:
+        if t % 4 == 3:
             scale = part.sum(axis=(0, 1))
             part /= scale
             logs[:n] += np.log(scale)
         product[:, :, :n] = part
     scale = product.sum(axis=(0, 1))
-    return chosen, product / scale, logs + np.log(scale)
+    return product / scale, logs + np.log(scale)
 
 
-def _borders(model: Model, cut: Pieces, emit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _near_borders(model: Model, cut: Pieces, emit: np.ndarray, ended: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Fills in the states at borders that the ``NEAR`` tokens before and after them settle; the texts of the others.
+
+    A product that gives the same states from whatever state it starts is that of all tokens up to there.
+    """
+    size = int(cut.length[0])
+    many = np.sort(np.concatenate(cut.rounds))
+    ending, beginning = many[~cut.last[many]], many[cut.number[many] > 0]
+    product, _ = _products(model, cut, emit, ending, max(size - NEAR, 0), size)
+    states = product / product.sum(axis=0)
+    open_ends = np.abs(states - states[:, :1]).max(axis=(0, 1)) > SETTLED
+    ended[:, cut.following(ending, 1)] = states.mean(axis=1)
+    product, _ = _products(model, cut, emit, beginning, 0, NEAR)
+    back = product / product.sum(axis=1, keepdims=True)
+    open_starts = (np.abs(back - back[:1]).max(axis=(0, 1)) > SETTLED) & (cut.length[beginning] > NEAR)
+    after[:, cut.following(beginning, -1)] = np.where(cut.length[beginning] > NEAR, back.mean(axis=0), product.sum(axis=0) / product.sum(axis=(0, 1)))
+    # a product over all of a last piece, which nothing follows, needs no settling
+    return np.unique(np.r_[cut.text[ending][open_ends], cut.text[beginning][open_starts]])
+
+
+def _borders(model: Model, cut: Pieces, emit: np.ndarray, near: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For each piece the states at the end of the piece before, those to go on from, what comes after it, and the log
     probability up to its end (0 for a text of one piece)."""
     n = len(cut.length)
-    ended = np.full((STATES, n), 1 / STATES, np.float32)
-    onward = np.repeat(model.start.astype(np.float32)[:, None], n, axis=1)
-    after = np.ones((STATES, n), np.float32)
+    ended = np.full((STATES, n), 1 / STATES, emit.dtype)
+    onward = np.repeat(model.start.astype(emit.dtype)[:, None], n, axis=1)
+    after = np.ones((STATES, n), emit.dtype)
     logs = np.zeros(n)
-    if not cut.rounds:
+    rounds = cut.rounds
+    if near and rounds:
+        unsettled = _near_borders(model, cut, emit, ended, after)
+        inner = cut.number > 0
+        onward[:, inner] = model.move.astype(emit.dtype).T @ ended[:, inner]
+        rounds = [pieces[np.isin(cut.text[pieces], unsettled)] for pieces in rounds]
+        rounds = [pieces for pieces in rounds if len(pieces)]
+        after[:, cut.last] = 1
+    if not rounds:
         return ended, onward, after, logs
-    chosen, product, scales = _products(model, cut, emit)
+    chosen = np.sort(np.concatenate(rounds))
+    product, scales = _products(model, cut, emit, chosen)
     row = np.zeros(n, np.int64)
     row[chosen] = np.arange(len(chosen))
-    end = np.zeros((STATES, n), np.float32)
-    for number, pieces in enumerate(cut.rounds):
+    end = np.zeros((STATES, n), emit.dtype)
+    for number, pieces in enumerate(rounds):
         part = product[:, :, row[pieces]]
         if number == 0:
             state = part[:, 0, :]  # the same whatever stood before
-            logs[pieces] = scales[row[pieces]] + np.log(STATES)
+            logs[pieces] = scales[row[pieces]]
         else:
             before = cut.following(pieces, -1)
             ended[:, pieces] = end[:, before]
-            onward[:, pieces] = model.move.astype(np.float32).T @ end[:, before]
+            onward[:, pieces] = model.move.astype(emit.dtype).T @ end[:, before]
             state = np.einsum("jin,in->jn", part, end[:, before])
             logs[pieces] = logs[before] + scales[row[pieces]]
         total = state.sum(axis=0)
         logs[pieces] += np.log(total)
         end[:, pieces] = state / total
-    for pieces in reversed(cut.rounds):
+    for pieces in reversed(rounds):
         going = pieces[~cut.last[pieces]]
         if len(going):
             beyond = cut.following(going, 1)
@@ -193,17 +231,18 @@ def expected_counts(model: Model, classes: np.ndarray, first: np.ndarray, size:
     cut = Pieces(classes, first, size)
     if not len(cut.length):
         return starts, moves, emits
-    emit = np.take(np.ascontiguousarray(model.emit.T, np.float32), cut.symbols, axis=1)
-    ended, state, after, _ = _borders(model, cut, emit)
+    table, _ = emissions(model, np.float32)
+    emit = np.take(table, cut.symbols, axis=1)
+    ended, state, after, _ = _borders(model, cut, emit, near=True)
     move = model.move.astype(np.float32)
     forward = np.empty_like(emit)
-    scales = np.empty(emit.shape[1], np.float32)
+    scales = np.ones(emit.shape[1], np.float32)
     for t, n in enumerate(cut.active):
         at = cut.at(t)
-        state = (move.T @ state[:, :n] if t else state) * emit[:, at]
-        scales[at] = state.sum(axis=0)
-        state /= scales[at]
-        forward[:, at] = state
+        state = np.multiply(move.T @ state[:, :n] if t else state, emit[:, at], out=forward[:, at])
+        if t % 2 == 0:  # two steps do not leave the range of single precision
+            scales[at] = state.sum(axis=0)
+            state /= scales[at]
     back = None
     seen = np.zeros((STATES, STATES))
     gamma = np.empty_like(emit)
@@ -211,22 +250,24 @@ def expected_counts(model: Model, classes: np.ndarray, first: np.ndarray, size:
         n, at = cut.active[t], cut.at(t)
         # pieces that end here go on from what comes after them
         m = 0 if back is None else back.shape[1]
-        now = after[:, :n].copy()
-        if m:
-            now[:, :m] = move @ back
-            now[:, :m] /= now[:, :m].sum(axis=0)
-        both = forward[:, at] * now
-        total = both.sum(axis=0)
-        gamma[:, at] = both / total
+        now = move @ back if m else after[:, :0]
+        if t % 2 and m:
+            now /= now.sum(axis=0)
+        if m < n:
+            now = np.concatenate([now, after[:, m:n]], axis=1)
+        both = np.multiply(forward[:, at], now, out=gamma[:, at])
+        share = 1 / both.sum(axis=0)
+        both *= share
         back = now * emit[:, at]
+        # the probability of the step into this token, over that of the state and what follows
+        share /= scales[at]
         if t:
-            # the probability of the step into this token, over that of the state and what follows
             before = forward[:, cut.offset[t - 1] : cut.offset[t - 1] + n]
-            seen += before @ (back / (scales[at] * total)).T
+            seen += before @ (back * share).T
         else:
             inner = cut.number[:n] > 0
             if inner.any():
-                seen += ended[:, inner] @ (back / (scales[at] * total))[:, inner].T
+                seen += ended[:, inner] @ (back * share)[:, inner].T
     moves += seen * model.move
     for k in range(STATES):
         emits[:, k] = np.bincount(cut.symbols, gamma[k], minlength=len(emits))
@@ -243,24 +284,28 @@ def improved(model: Model, counts: tuple[np.ndarray, ...]) -> Model:
 
 def log_forward(model: Model, classes: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Natural log probability of each text's classes: the scaled forward recursion over whole texts."""
-    length = np.diff(first)
-    order = np.argsort(-length, kind="stable")
-    begin, size = first[:-1][order], length[order]
-    total = np.zeros(len(size))
-    if not len(size) or not size[0]:
+    total = np.zeros(len(first) - 1)
+    cut = Pieces(classes, first, PIECE)
+    if not len(cut.length):
         return total
-    active = np.searchsorted(-size, -np.arange(int(size[0])), "left")
-    state = None
-    for t in range(int(size[0])):
-        n = active[t]
-        state = np.repeat(model.start[None, :], n, axis=0) if t == 0 else state[:n] @ model.move
-        state = state * model.emit[classes[begin[:n] + t]]
-        scale = state.sum(axis=1)
-        state /= scale[:, None]
-        total[:n] += np.log(scale)
-    result = np.empty(len(total))
-    result[order] = total
-    return result
+    table, largest = emissions(model, np.float64)
+    emit = np.take(table, cut.symbols, axis=1)
+    _, _, _, logs = _borders(model, cut, emit)
+    # the product of a long text's pieces has its sum; the others are gone through
+    several = np.zeros(len(cut.length), bool)
+    several[[i for pieces in cut.rounds for i in pieces]] = True
+    alone = np.flatnonzero(~several)
+    length = cut.length[alone]
+    state = np.repeat(model.start[:, None], len(alone), axis=1)
+    for t in range(int(length[0]) if len(alone) else 0):
+        n = int(np.searchsorted(-length, -t, "left"))
+        state = (model.move.T @ state[:, :n] if t else state) * emit[:, cut.offset[t] + alone[:n]]
+        scale = state.sum(axis=0)
+        state /= scale
+        logs[alone[:n]] += np.log(scale)
+    total[cut.text[cut.last]] = logs[cut.last]
+    tokens = np.r_[0.0, np.cumsum(largest[classes])]
+    return total + tokens[first[1:]] - tokens[first[:-1]]
 
 
 def _pack(counts: tuple[np.ndarray, ...]) -> bytes:
@@ -349,11 +394,14 @@ def _count(text_col: str, train_col: str):
         for row, part in slices(table[text_col]):
             w = words(part, fold=True)
             hashes = w.hashes()
-            distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+            found = pa.array(hashes).dictionary_encode()
+            distinct, at = found.dictionary.to_numpy(), found.indices.to_numpy()
+            first = np.zeros(len(distinct), np.int64)
+            first[at[::-1]] = np.arange(len(at))[::-1]
             keys.append(distinct)
             forms.append(suffix_classes(w)[first])
             used = train[row : row + len(part)][w.text_of]
-            seen.append(np.bincount(inverse, used, minlength=len(distinct)).astype(np.int64))
+            seen.append(np.bincount(at, used, minlength=len(distinct)).astype(np.int64))
         keys, forms, seen = np.concatenate(keys), np.concatenate(forms), np.concatenate(seen)
         distinct, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
         n = np.bincount(inverse, seen, minlength=len(distinct)).astype(np.int64)
@@ -407,16 +455,15 @@ def score(docs: DataFrame, train, *, id_col="doc_id", text_col="text", passes=PA
 
     def scored(table, answers):
         model, form_logs = shared.value
-        keys = answers["key"].to_numpy().view(np.uint64)
-        order = np.argsort(keys)
-        keys, n = keys[order], answers["n"].to_numpy()[order].astype(np.float64)
+        keys = pa.array(answers["key"].to_numpy().view(np.uint64))
+        n = answers["n"].to_numpy().astype(np.float64)
         columns = [[] for _ in range(5)]
         for _, part in slices(table[text_col]):
             w = words(part, fold=True)
             hashes = w.hashes()
             classes = model.classes(w, hashes)
-            at, there = lookup(keys, with_ends(hashes, w.first, END))
-            count = np.where(there, n[at], 0.0)
+            at = pc.index_in(pa.array(with_ends(hashes, w.first, END)), value_set=keys)
+            count = np.r_[n, 0.0][pc.fill_null(at, len(n)).to_numpy()]
             first = w.first + np.arange(len(w.first))
             all_classes = with_ends(classes, w.first, model.end)
             form = all_classes - len(model.top) - 1

@@ -176,12 +176,13 @@ def test_forward_recursion_and_counts_are_exact():
     assert hmm.log_forward(better, classes, first).sum() > found.sum()
 
 
-def test_expected_counts_match_forward_backward_over_pieces():
+def test_expected_counts_match_forward_backward_over_pieces(monkeypatch):
     rng = np.random.Generator(np.random.PCG64(4))
     model = hmm.new_model(np.arange(3, dtype=np.uint64))
     sizes = [11, 1, 4, 5, 9, 23, 3]
     first = np.r_[0, np.cumsum(sizes)]
     classes = rng.integers(0, 12, first[-1])
+    whole_logs = []
     starts, moves, emits = np.zeros(hmm.STATES), np.zeros((hmm.STATES, hmm.STATES)), np.zeros(model.emit.shape)
     for a, b in zip(first, first[1:], strict=False):
         e = model.emit[classes[a:b]]
@@ -192,15 +193,19 @@ def test_expected_counts_match_forward_backward_over_pieces():
             back.append(model.move @ (x * back[-1]))
         ahead, back = np.array(ahead), np.array(back[::-1])
         whole = ahead[-1].sum()
+        whole_logs.append(np.log(whole))
         gamma = ahead * back / whole
         starts += gamma[0]
         np.add.at(emits, classes[a:b], gamma)
         for t in range(1, b - a):
             moves += ahead[t - 1][:, None] * model.move * (e[t] * back[t])[None, :] / whole
-    for size in (4, 8, 256):
+    for size, near in ((4, 2), (4, 48), (8, 5), (8, 8), (256, 48)):
+        monkeypatch.setattr(hmm, "NEAR", near)
         found = hmm.expected_counts(model, classes, first, size)
         for ours, true in zip(found, (starts, moves, emits), strict=True):
             assert np.allclose(ours, true, rtol=1e-3, atol=1e-5), size
+        monkeypatch.setattr(hmm, "PIECE", size)
+        assert np.allclose(hmm.log_forward(model, classes, first), whole_logs, rtol=1e-9), size
 
 
 def test_encoded_texts_are_the_classes(spark):
