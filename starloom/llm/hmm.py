@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.components import stored
 from starloom.llm.shards import SHARD, announce, answer, sharded
-from starloom.llm.text import Words, lookup, slices, words
+from starloom.llm.text import Words, slices, words
 from starloom.session import scratch_path
 
 STATES = 8
@@ -45,12 +45,12 @@ SHARD_BYTES = 8 << 20
 END = np.uint64(0x2545F4914F6CDD1D)  # stands for the end of a text among the words' hashes
 
 
-def suffix_classes(w: Words) -> np.ndarray:
-    """The class of every word by its form."""
-    size = w.end - w.start
-    tail = w.spans(np.maximum(w.end - 2, w.start), w.end)
-    kind = w.data[w.start] >> 5 if len(size) else np.zeros(0, np.uint8)
-    form = tail + kind.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.minimum(size, 6).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+def suffix_classes(w: Words, at: np.ndarray) -> np.ndarray:
+    """The class of the words at some places by their form."""
+    start, end = w.start[at], w.end[at]
+    tail = w.spans(np.maximum(end - 2, start), end)
+    kind = w.data[start] >> 5 if len(at) else np.zeros(0, np.uint8)
+    form = tail + kind.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.minimum(end - start, 6).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
     return ((form * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(54)).astype(np.int64)
 
 
@@ -62,8 +62,11 @@ class Model:
     emit: np.ndarray  # class by state
 
     def classes(self, w: Words, hashes: np.ndarray) -> np.ndarray:
-        at, known = lookup(self.top, hashes)
-        return np.where(known, at, len(self.top) + 1 + suffix_classes(w))
+        at = pc.index_in(pa.array(hashes), value_set=pa.array(self.top))
+        classes = pc.fill_null(at, -1).to_numpy().astype(np.int64)
+        rare = np.flatnonzero(classes < 0)
+        classes[rare] = len(self.top) + 1 + suffix_classes(w, rare)
+        return classes
 
     @property
     def end(self) -> int:
@@ -399,7 +402,7 @@ def _count(text_col: str, train_col: str):
             first = np.zeros(len(distinct), np.int64)
             first[at[::-1]] = np.arange(len(at))[::-1]
             keys.append(distinct)
-            forms.append(suffix_classes(w)[first])
+            forms.append(suffix_classes(w, first))
             used = train[row : row + len(part)][w.text_of]
             seen.append(np.bincount(at, used, minlength=len(distinct)).astype(np.int64))
         keys, forms, seen = np.concatenate(keys), np.concatenate(forms), np.concatenate(seen)
