@@ -2,8 +2,8 @@
 
 Both interpolate discounted bigrams with discounted words, these with discounted word beginnings, and
 these with one shared distribution: in how many different contexts, of either class, a word was seen.
-A word whose beginning neither class knows well has nearly the same probability in both and says
-nothing. An expression counts once in a text, so that one repetitive text doesn't make it common. The
+All counts are kept, also those of an expression of one text: the discounts leave most of its weight to the
+backoff, so that it says a little. A word whose beginning neither class knows says nothing. An expression counts once in a text, so that one repetitive text doesn't make it common. The
 log-likelihood ratio is normalised by length, over the whole text and over its most suspicious runs of
 some lengths; a logistic calibration on labelled rows that were not counted turns these into a score.
 
@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.components import stored
 from starloom.llm.learn import (
     MAX_TRAIN_ROWS,
     add_up,
@@ -32,7 +33,7 @@ from starloom.llm.learn import (
 from starloom.llm.text import Words, lookup, slices, strings, sums_by_text, whole_windows, windows, words
 
 DISCOUNT = 0.75
-MIN_COUNT = 5  # expressions seen less often are left to the shared counts
+LEAST_TAKEN = (0.0, 0.99, 1.8, 2.4)  # of an expression of no, one, two, more texts: the backoff has at least so much of it
 RUNS = (1, 3, 8, 24)  # words in a suspicious run
 STEM_BYTES = 6  # the beginning of a word
 FOLDS = 5
@@ -65,6 +66,7 @@ class ToxicityModel:
     contexts: np.ndarray  # weight of the backoff after a word, by class
     bigrams: np.ndarray
     seen: np.ndarray  # discounted relative frequency of a bigram, by class
+    lifts: np.ndarray  # how much likelier its second word is after its first, in both classes together
     calibration: np.ndarray
 
     def features(self, w: Words) -> np.ndarray:
@@ -82,7 +84,7 @@ class ToxicityModel:
             second, pair = second[paired], pair[paired]
             both = known[second] & known[second - 1]
             second, pair = second[both], pair[both]
-            p = self.seen[pair] + self.contexts[at[second - 1]] * self.probabilities[at[second]]
+            p = self.seen[pair] + self.contexts[at[second - 1]] * self.probabilities[at[second]] * self.lifts[pair, None]
             token[second] = np.log(p[:, 0]) - np.log(p[:, 1])
         columns = [sums_by_text(token, w.first) / np.maximum(w.counts, 1)]
         running = np.r_[0.0, np.cumsum(token)]
@@ -119,6 +121,22 @@ def _word_counts(batch):
     return add_up(np.concatenate(keys), np.concatenate(counts)) if keys else _none(3)
 
 
+def discounts(counts: np.ndarray) -> np.ndarray:
+    """What the backoff takes of each count: more, where more expressions of that count are not seen once more.
+
+    From the numbers of expressions seen once, twice, three and four times (``DISCOUNT`` where one is missing), and never
+    less than ``LEAST_TAKEN``: the largest ratio of a long text's runs is easily that of a word which happens to be rare.
+    """
+    seen = np.bincount(np.minimum(counts, 5).astype(np.int64), minlength=6)[1:5].astype(float)
+    taken = np.full(4, DISCOUNT)
+    if seen.all():
+        share = seen[0] / (seen[0] + 2 * seen[1])
+        taken[1:] = [k - (k + 1) * share * seen[k] / seen[k - 1] for k in (1, 2, 3)]
+        taken = np.minimum(taken, [0, 0.999, 1.999, 2.999])
+    taken = np.maximum(taken, LEAST_TAKEN)
+    return taken[np.minimum(counts, 3).astype(np.int64)] * (counts > 0)
+
+
 def _none(width):
     return np.zeros(0, np.uint64), np.zeros((0, width), np.int64)
 
@@ -134,13 +152,13 @@ def fit(labelled: DataFrame, *, id_col="doc_id", text_col="text", label_col="tox
     )
     # copies of one text are no evidence that its words are typical
     rows = rows.groupBy(F.xxhash64("text"), "label").agg(F.first("text").alias("text"), F.first("fold").alias("fold"))
+    rows = stored(rows.select("text", "label", "fold"), "labelled-sample")
     counted = rows.where("not fold").select("text", "label")
-    common = f"n0 + n1 >= {MIN_COUNT}"
-    keys, c = table_of(keyed_sums(counted, _word_counts, 3).where(common), 3)
+    keys, c = table_of(keyed_sums(counted, _word_counts, 3), 3)
     is_stem, c = c[:, 2] > 0, c[:, :2]
     if not len(keys) or not c.sum(axis=0).all():
         none, pairs = np.zeros(0, np.uint64), np.zeros((0, 2))
-        return ToxicityModel(none, pairs, np.zeros(0), pairs, none, pairs, np.r_[np.zeros(len(RUNS) + 1), -1000.0])
+        return ToxicityModel(none, pairs, np.zeros(0), pairs, none, pairs, np.zeros(0), np.r_[np.zeros(len(RUNS) + 1), -1000.0])
     known = context.broadcast(keys)
 
     def bigram_counts(batch):
@@ -169,7 +187,7 @@ def fit(labelled: DataFrame, *, id_col="doc_id", text_col="text", label_col="tox
         return distinct, np.column_stack([sums, counts[first, 2:]])
 
     # the words' numbers are the same in all rows of a key: their maximum is the number
-    pairs = keyed_sums(counted, bigram_counts, 4, reduce={2: F.max, 3: F.max})
+    pairs = stored(keyed_sums(counted, bigram_counts, 4, reduce={2: F.max, 3: F.max}), "bigrams")
     # distinct contexts of each word over both classes, and distinct followers of each context by class
     before = pairs.groupBy(F.col("n3").alias("key")).agg(F.count("*").alias("n0"))
     after = pairs.groupBy(F.col("n2").alias("key")).agg(
@@ -183,17 +201,34 @@ def fit(labelled: DataFrame, *, id_col="doc_id", text_col="text", label_col="tox
     p = np.zeros(c.shape)
     for kind in (is_stem, ~is_stem):
         total = np.maximum(c[kind].sum(axis=0), 1)
-        backed = DISCOUNT * (c[kind] > 0).sum(axis=0) / total
-        p[kind] = np.maximum(c[kind] - DISCOUNT, 0) / total + backed * (shared[kind] / shared[kind].sum())[:, None]
+        taken = np.column_stack([discounts(c[kind, k]) for k in range(2)])
+        p[kind] = (c[kind] - taken) / total + taken.sum(axis=0) / total * (shared[kind] / shared[kind].sum())[:, None]
     followed = np.zeros((len(keys), 4))
     at, n = table_of(after, 4)
     followed[at.astype(np.int64)] = n
     seen_after = np.maximum(followed[:, :2], 1)
-    contexts = np.where(followed[:, :2] > 0, DISCOUNT * followed[:, 2:] / seen_after, 1.0)
-    bigrams, n = table_of(pairs.where(common), 4)
-    seen = np.maximum(n[:, :2] - DISCOUNT, 0) / seen_after[n[:, 2].astype(np.int64)]
+    # the bigrams of the bounded sample, in short numbers
+    found = pairs.select("key", *[F.col(f"n{i}").cast("int").alias(f"n{i}") for i in range(4)]).toArrow()
+    bigrams = found["key"].to_numpy().view(np.uint64)
+    order = np.argsort(bigrams)
+    bigrams, word_before = bigrams[order], found["n2"].to_numpy()[order]
+    seen = np.empty((len(bigrams), 2), np.float32)
+    contexts = np.ones((len(keys), 2))
+    for k in range(2):
+        n = found[f"n{k}"].to_numpy()[order]
+        taken = discounts(n)
+        seen[:, k] = (n - taken) / seen_after[word_before, k]
+        contexts[:, k] = np.where(followed[:, k] > 0, np.bincount(word_before, taken, len(keys)) / seen_after[:, k], 1.0)
+    both = found["n0"].to_numpy()[order] + found["n1"].to_numpy()[order]
+    word = found["n3"].to_numpy()[order]
+    after_all, kinds = np.bincount(word_before, both, len(keys)), np.bincount(word_before, minlength=len(keys))
+    words_shared = shared / shared[~is_stem].sum()
+    together = np.maximum(both - DISCOUNT, 0) / after_all[word_before]
+    together += (DISCOUNT * kinds / np.maximum(after_all, 1))[word_before] * words_shared[word]
+    lifts = (together / words_shared[word]).astype(np.float32)
+    del found, order, word_before, both, word, together
     ratios = np.log(p[:, 0]) - np.log(p[:, 1])
-    model = ToxicityModel(keys, p, ratios, contexts, bigrams, seen, np.zeros(len(RUNS) + 2))
+    model = ToxicityModel(keys, p, ratios, contexts, bigrams, seen, lifts, np.zeros(len(RUNS) + 2))
     plain = context.broadcast(model)
 
     names = [f"f{i}" for i in range(len(RUNS) + 1)]

@@ -139,6 +139,33 @@ def test_repeats_of_nothing_and_of_repeated_rows(spark, nothing):
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_removed) for r in got) == [(False, 1, 0), (False, 1, 0), (False, 2, 30), (True, 0, 30)]
 
 
+def test_toxicity_counts_match_brute_force_and_rare_words_say_a_little(spark, monkeypatch):
+    import random
+
+    rng = random.Random(6)
+    plain = [" ".join(rng.choice("river stone light field cloud grass".split()) for _ in range(12)) for _ in range(120)]
+    rows = [(i, t + (" frobnik zap" if i % 3 == 0 else "") + (" zzyzx" if i == 3 else ""), int(i % 3 == 0)) for i, t in enumerate(plain)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    monkeypatch.setattr(toxicity, "FOLDS", 10**9)
+    model = toxicity.fit(df)
+    texts = {t: y for _, t, y in rows}
+    counts = collections.Counter((w, y) for t, y in texts.items() for w in set(t.split()))
+    pairs = collections.Counter((a, b, y) for t, y in texts.items() for a, b in set(zip(t.split(), t.split()[1:], strict=False)))
+    vocabulary = sorted({w for w, _ in counts})
+    hashes = toxicity.tokens(pa.array([" ".join(vocabulary)], pa.large_string())).hashes()
+    at, there = text.lookup(model.words, hashes)
+    assert there.all()
+    shared = np.array([0.5 + len({(a, b) for a, b, _ in pairs if b == w}) for w in vocabulary])
+    for k, y in enumerate((1, 0)):
+        n = np.array([counts[w, y] for w in vocabulary])
+        taken = toxicity.discounts(n)
+        expected = (n - taken) / n.sum() + taken.sum() / n.sum() * shared / shared.sum()
+        assert np.allclose(model.probabilities[at, k], expected) and expected.sum() == pytest.approx(1)
+    assert len(model.bigrams) == len({(a, b) for a, b, _ in pairs})
+    seen, unseen = (model.features(toxicity.tokens(pa.array([f"river {w} stone"], pa.large_string())))[0] for w in ("zzyzx", "qqqqq"))
+    assert seen[0] > unseen[0] and seen[1] > unseen[1]
+
+
 # --- language model ---------------------------------------------------------------------------
 
 
