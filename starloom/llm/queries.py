@@ -20,7 +20,7 @@ from starloom.llm import (
     setsketch,
     toxicity,
 )
-from starloom.llm.learn import remainder
+from starloom.llm.learn import bounded_sample, remainder
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -41,20 +41,22 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality", "toxic")
-    return documents(spark, sf_dir).select("doc_id", "text").join(labels, "doc_id")
+def labelled(spark: SparkSession, sf_dir: str, label: str, among=None) -> DataFrame:
+    """Texts with one label, of a bounded sample of the labels: their few ids are sent to the documents, which stay where they are."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", label).where(F.col(label).isNotNull())
+    chosen = bounded_sample(labels if among is None else labels.where(among), "doc_id")
+    return documents(spark, sf_dir).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
 
 @query("op1_quality_rules")
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = quality.fit(labelled(spark, sf_dir))
+    model = quality.fit(labelled(spark, sf_dir, "quality"))
     return quality.score(documents(spark, sf_dir), model)
 
 
 @query("op2_toxicity")
 def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = toxicity.fit(labelled(spark, sf_dir).where(remainder("doc_id", 4) != HELD_OUT))
+    model = toxicity.fit(labelled(spark, sf_dir, "toxic", remainder("doc_id", 4) != HELD_OUT))
     scored = toxicity.score(documents(spark, sf_dir), model)
     return scored.select("doc_id", (remainder("doc_id", 4) == HELD_OUT).alias("held_out"), "score", "predicted")
 
