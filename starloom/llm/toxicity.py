@@ -63,10 +63,8 @@ class ToxicityModel:
     words: np.ndarray  # sorted hashes of words and of beginnings of words
     probabilities: np.ndarray  # by class, toxic and ordinary
     ratios: np.ndarray  # logs of toxic over ordinary probability
-    contexts: np.ndarray  # weight of the backoff after a word, by class
     bigrams: np.ndarray
-    seen: np.ndarray  # discounted relative frequency of a bigram, by class
-    lifts: np.ndarray  # how much likelier its second word is after its first, in both classes together
+    after: np.ndarray  # such ratios of a bigram's second word after the first
     calibration: np.ndarray
 
     def features(self, w: Words) -> np.ndarray:
@@ -82,10 +80,7 @@ class ToxicityModel:
             second, pairs = _bigrams(w, hashes)
             pair, paired = lookup(self.bigrams, pairs)
             second, pair = second[paired], pair[paired]
-            both = known[second] & known[second - 1]
-            second, pair = second[both], pair[both]
-            p = self.seen[pair] + self.contexts[at[second - 1]] * self.probabilities[at[second]] * self.lifts[pair, None]
-            token[second] = np.log(p[:, 0]) - np.log(p[:, 1])
+            token[second] = self.after[pair]
         columns = [sums_by_text(token, w.first) / np.maximum(w.counts, 1)]
         running = np.r_[0.0, np.cumsum(token)]
         some = np.flatnonzero(w.counts)
@@ -158,7 +153,7 @@ def fit(labelled: DataFrame, *, id_col="doc_id", text_col="text", label_col="tox
     is_stem, c = c[:, 2] > 0, c[:, :2]
     if not len(keys) or not c.sum(axis=0).all():
         none, pairs = np.zeros(0, np.uint64), np.zeros((0, 2))
-        return ToxicityModel(none, pairs, np.zeros(0), pairs, none, pairs, np.zeros(0), np.r_[np.zeros(len(RUNS) + 1), -1000.0])
+        return ToxicityModel(none, pairs, np.zeros(0), none, np.zeros(0), np.r_[np.zeros(len(RUNS) + 1), -1000.0])
     known = context.broadcast(keys)
 
     def bigram_counts(batch):
@@ -226,9 +221,11 @@ def fit(labelled: DataFrame, *, id_col="doc_id", text_col="text", label_col="tox
     together = np.maximum(both - DISCOUNT, 0) / after_all[word_before]
     together += (DISCOUNT * kinds / np.maximum(after_all, 1))[word_before] * words_shared[word]
     lifts = (together / words_shared[word]).astype(np.float32)
-    del found, order, word_before, both, word, together
+    after_first = np.log(seen + contexts[word_before] * p[word] * lifts[:, None])
+    after_first = (after_first[:, 0] - after_first[:, 1]).astype(np.float32)
+    del found, order, word_before, both, word, together, lifts, seen
     ratios = np.log(p[:, 0]) - np.log(p[:, 1])
-    model = ToxicityModel(keys, p, ratios, contexts, bigrams, seen, lifts, np.zeros(len(RUNS) + 2))
+    model = ToxicityModel(keys, p, ratios, bigrams, after_first, np.zeros(len(RUNS) + 2))
     plain = context.broadcast(model)
 
     names = [f"f{i}" for i in range(len(RUNS) + 1)]
