@@ -66,6 +66,7 @@ class ToxicityModel:
     bigrams: np.ndarray
     after: np.ndarray  # such ratios of a bigram's second word after the first
     calibration: np.ndarray
+    sent: object = None  # the broadcast of these tables, which scoring uses again
 
     def features(self, w: Words) -> np.ndarray:
         """Length-normalised log-likelihood ratios of each text and of the largest of its runs, by length of run."""
@@ -93,8 +94,11 @@ class ToxicityModel:
             columns.append(largest)
         return np.column_stack(columns)
 
-    def scores(self, w: Words) -> np.ndarray:
-        return sigmoid(self.features(w) @ self.calibration[:-1] + self.calibration[-1])
+    def scores(self, w: Words, calibration: np.ndarray) -> np.ndarray:
+        return sigmoid(self.features(w) @ calibration[:-1] + calibration[-1])
+
+    def __getstate__(self):
+        return {**self.__dict__, "sent": None}
 
 
 def _once(keys: np.ndarray, text_of: np.ndarray) -> np.ndarray:
@@ -222,11 +226,12 @@ def fit(labelled: DataFrame, *, id_col="doc_id", text_col="text", label_col="tox
     together += (DISCOUNT * kinds / np.maximum(after_all, 1))[word_before] * words_shared[word]
     lifts = (together / words_shared[word]).astype(np.float32)
     after_first = np.log(seen + contexts[word_before] * p[word] * lifts[:, None])
-    after_first = (after_first[:, 0] - after_first[:, 1]).astype(np.float32)
+    after_first = (after_first[:, 0] - after_first[:, 1]).astype(np.float16)
     del found, order, word_before, both, word, together, lifts, seen
     ratios = np.log(p[:, 0]) - np.log(p[:, 1])
     model = ToxicityModel(keys, p, ratios, bigrams, after_first, np.zeros(len(RUNS) + 2))
-    plain = context.broadcast(model)
+    known.unpersist()
+    model.sent = plain = context.broadcast(model)
 
     names = [f"f{i}" for i in range(len(RUNS) + 1)]
 
@@ -245,13 +250,13 @@ def fit(labelled: DataFrame, *, id_col="doc_id", text_col="text", label_col="tox
 
 def score(docs: DataFrame, model: ToxicityModel, *, id_col="doc_id", text_col="text", threshold=THRESHOLD):
     """One row per document: its score from 0 to 1 and whether it reaches the threshold."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, calibration = model.sent or docs.sparkSession.sparkContext.broadcast(model), model.calibration
 
     def each(batches):
         for batch in batches:
             ids = strings(batch[id_col])
             for row, part in slices(batch[text_col]):
-                found = shared.value.scores(tokens(part))
+                found = shared.value.scores(tokens(part), calibration)
                 predicted = pa.array((found >= threshold).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([ids.slice(row, len(part)), pa.array(found), predicted], [id_col, "score", "predicted"])
 
