@@ -133,7 +133,8 @@ def discounts(counts: np.ndarray) -> np.ndarray:
         taken[1:] = [k - (k + 1) * share * seen[k] / seen[k - 1] for k in (1, 2, 3)]
         taken = np.minimum(taken, [0, 0.999, 1.999, 2.999])
     taken = np.maximum(taken, LEAST_TAKEN)
-    return taken[np.minimum(counts, 3).astype(np.int64)] * (counts > 0)
+    taken[0] = 0
+    return taken[np.minimum(counts, 3).astype(np.uint8)]
 
 
 def _none(width):
@@ -187,49 +188,43 @@ def fit(labelled: DataFrame, *, id_col="doc_id", text_col="text", label_col="tox
 
     # the words' numbers are the same in all rows of a key: their maximum is the number
     pairs = stored(keyed_sums(counted, bigram_counts, 4, reduce={2: F.max, 3: F.max}), "bigrams")
-    # distinct contexts of each word over both classes, and distinct followers of each context by class
-    before = pairs.groupBy(F.col("n3").alias("key")).agg(F.count("*").alias("n0"))
-    after = pairs.groupBy(F.col("n2").alias("key")).agg(
-        F.sum("n0").alias("n0"), F.sum("n1").alias("n1"),
-        F.sum((F.col("n0") > 0).cast("long")).alias("n2"), F.sum((F.col("n1") > 0).cast("long")).alias("n3"),
-    )
-    shared = np.full(len(keys), 0.5)
-    at, n = table_of(before, 1)
-    shared[at.astype(np.int64)] += n[:, 0]
+    # the bigrams of the bounded sample, in short numbers, to the driver once
+    found = pairs.select("key", *[F.col(f"n{i}").cast("int").alias(f"n{i}") for i in range(4)]).toArrow()
+    bigrams, (toxic, ordinary, first, second) = found["key"].to_numpy().view(np.uint64), (found[f"n{i}"].to_numpy() for i in range(4))
+    del found
+    # in how many contexts, of either class, a word was seen
+    shared = 0.5 + np.bincount(second, minlength=len(keys))
     shared[is_stem] = (c[is_stem] > 0).sum(axis=1)
     p = np.zeros(c.shape)
     for kind in (is_stem, ~is_stem):
         total = np.maximum(c[kind].sum(axis=0), 1)
         taken = np.column_stack([discounts(c[kind, k]) for k in range(2)])
         p[kind] = (c[kind] - taken) / total + taken.sum(axis=0) / total * (shared[kind] / shared[kind].sum())[:, None]
-    followed = np.zeros((len(keys), 4))
-    at, n = table_of(after, 4)
-    followed[at.astype(np.int64)] = n
-    seen_after = np.maximum(followed[:, :2], 1)
-    # the bigrams of the bounded sample, in short numbers
-    found = pairs.select("key", *[F.col(f"n{i}").cast("int").alias(f"n{i}") for i in range(4)]).toArrow()
-    bigrams = found["key"].to_numpy().view(np.uint64)
-    order = np.argsort(bigrams)
-    bigrams, word_before = bigrams[order], found["n2"].to_numpy()[order]
-    seen = np.empty((len(bigrams), 2), np.float32)
-    contexts = np.ones((len(keys), 2))
-    for k in range(2):
-        n = found[f"n{k}"].to_numpy()[order]
-        taken = discounts(n)
-        seen[:, k] = (n - taken) / seen_after[word_before, k]
-        contexts[:, k] = np.where(followed[:, k] > 0, np.bincount(word_before, taken, len(keys)) / seen_after[:, k], 1.0)
-    both = found["n0"].to_numpy()[order] + found["n1"].to_numpy()[order]
-    word = found["n3"].to_numpy()[order]
-    after_all, kinds = np.bincount(word_before, both, len(keys)), np.bincount(word_before, minlength=len(keys))
+    # after each word: how many bigrams of a class were counted, and the weight of the backoff
+    followed, contexts = np.ones(c.shape), np.ones(c.shape)
+    taken = [discounts(n).astype(np.float32) for n in (toxic, ordinary)]
+    for k, n in enumerate((toxic, ordinary)):
+        counted_after = np.bincount(first, n, len(keys))
+        followed[:, k] = np.maximum(counted_after, 1)
+        contexts[:, k] = np.where(counted_after > 0, np.bincount(first, taken[k], len(keys)) / followed[:, k], 1.0)
+    after_all, kinds = np.bincount(first, toxic, len(keys)) + np.bincount(first, ordinary, len(keys)), np.bincount(first, minlength=len(keys))
     words_shared = shared / shared[~is_stem].sum()
-    together = np.maximum(both - DISCOUNT, 0) / after_all[word_before]
-    together += (DISCOUNT * kinds / np.maximum(after_all, 1))[word_before] * words_shared[word]
-    lifts = (together / words_shared[word]).astype(np.float32)
-    after_first = np.log(seen + contexts[word_before] * p[word] * lifts[:, None])
-    after_first = (after_first[:, 0] - after_first[:, 1]).astype(np.float16)
-    del found, order, word_before, both, word, together, lifts, seen
+    after = np.empty(len(bigrams), np.float16)
+    for row in range(0, len(bigrams), 1 << 18):
+        part = slice(row, row + (1 << 18))
+        a, b = first[part], second[part]
+        # how much likelier the second word is after the first in both classes together
+        together = np.maximum(toxic[part] + ordinary[part] - DISCOUNT, 0) / after_all[a]
+        lift = (together + DISCOUNT * kinds[a] / after_all[a] * words_shared[b]) / words_shared[b]
+        logs = [
+            np.log((n[part] - taken[k][part]) / followed[a, k] + contexts[a, k] * p[b, k] * lift) for k, n in enumerate((toxic, ordinary))
+        ]
+        after[part] = logs[0] - logs[1]
+    order = np.argsort(bigrams)
+    bigrams, after = bigrams[order], after[order]
+    del order, toxic, ordinary, first, second, taken
     ratios = np.log(p[:, 0]) - np.log(p[:, 1])
-    model = ToxicityModel(keys, p, ratios, bigrams, after_first, np.zeros(len(RUNS) + 2))
+    model = ToxicityModel(keys, p, ratios, bigrams, after, np.zeros(len(RUNS) + 2))
     known.unpersist()
     model.sent = plain = context.broadcast(model)
 
