@@ -30,7 +30,7 @@ from starloom.llm.learn import (
     sigmoid,
     table_of,
 )
-from starloom.llm.text import Words, lookup, slices, strings, sums_by_text, whole_windows, windows, words
+from starloom.llm.text import Words, lookup, release, slices, strings, sums_by_text, whole_windows, windows, words
 
 DISCOUNT = 0.75
 LEAST_TAKEN = (0.0, 0.99, 1.8, 2.4)  # of an expression of no, one, two, more texts: the backoff has at least so much of it
@@ -98,7 +98,7 @@ class ToxicityModel:
         return sigmoid(self.features(w) @ calibration[:-1] + calibration[-1])
 
     def __getstate__(self):
-        return {**self.__dict__, "sent": None}
+        return {**self.__dict__, "sent": None, "probabilities": None}  # scoring needs the ratios alone
 
 
 def _once(keys: np.ndarray, text_of: np.ndarray) -> np.ndarray:
@@ -155,7 +155,8 @@ def fit(labelled: DataFrame, *, id_col="doc_id", text_col="text", label_col="tox
     rows = stored(rows.select("text", "label", "fold"), "labelled-sample")
     counted = rows.where("not fold").select("text", "label")
     keys, c = table_of(keyed_sums(counted, _word_counts, 3), 3)
-    is_stem, c = c[:, 2] > 0, c[:, :2]
+    is_stem, c = c[:, 2] > 0, c[:, :2].copy()
+    release()
     if not len(keys) or not c.sum(axis=0).all():
         none, pairs = np.zeros(0, np.uint64), np.zeros((0, 2))
         return ToxicityModel(none, pairs, np.zeros(0), none, np.zeros(0), np.r_[np.zeros(len(RUNS) + 1), -1000.0])
@@ -192,6 +193,7 @@ def fit(labelled: DataFrame, *, id_col="doc_id", text_col="text", label_col="tox
     found = pairs.select("key", *[F.col(f"n{i}").cast("int").alias(f"n{i}") for i in range(4)]).toArrow()
     bigrams, (toxic, ordinary, first, second) = found["key"].to_numpy().view(np.uint64), (found[f"n{i}"].to_numpy() for i in range(4))
     del found
+    release()
     # in how many contexts, of either class, a word was seen
     shared = 0.5 + np.bincount(second, minlength=len(keys))
     shared[is_stem] = (c[is_stem] > 0).sum(axis=1)
@@ -224,9 +226,11 @@ def fit(labelled: DataFrame, *, id_col="doc_id", text_col="text", label_col="tox
     bigrams, after = bigrams[order], after[order]
     del order, toxic, ordinary, first, second, taken
     ratios = np.log(p[:, 0]) - np.log(p[:, 1])
-    model = ToxicityModel(keys, p, ratios, bigrams, after, np.zeros(len(RUNS) + 2))
+    model = ToxicityModel(keys, p.astype(np.float32), ratios.astype(np.float32), bigrams, after, np.zeros(len(RUNS) + 2))
     known.unpersist()
+    del p, c, shared, followed, contexts, words_shared, after_all, kinds
     model.sent = plain = context.broadcast(model)
+    release()  # the driver needs its memory for the next fit
 
     names = [f"f{i}" for i in range(len(RUNS) + 1)]
 
