@@ -21,6 +21,7 @@ def parser() -> argparse.ArgumentParser:
     arrivals.add_argument("--reload", choices=("all", "partitions"), default="all")
     arrivals.add_argument("--load-size", type=int)
     arrivals.add_argument("--strict-codes", action="store_true")
+    arrivals.add_argument("--cube", action="store_true", help="also load the counts that questions are answered from")
 
     music = commands.add_parser("music", help="load the song play star")
     for name in ("logs", "songs", "output"):

@@ -1,7 +1,8 @@
 """Questions asked of the two star schemas.
 
 Each one first counts the fact by the codes it needs, so what is joined to the dimensions is as
-small as the number of distinct codes, however the rows are spread over them.
+small as the number of distinct codes, however the rows are spread over them. A loaded
+:class:`~starloom.plans.cube.Cube` answers the questions about arrivals as the fact does.
 """
 
 from __future__ import annotations
@@ -15,18 +16,21 @@ from pyspark.sql import functions as F
 from starloom.functions.values import code_label, weighted_mean
 from starloom.lookups import MODE_LABELS, VISA_LABELS
 from starloom.operators.joins import star_join
+from starloom.plans.cube import Cube
 
 # Upper bounds in degrees of each climate class; the last class has none.
 CLIMATE_BOUNDS = ((0.0, "cold"), (10.0, "cool"), (20.0, "mild"))
 WARMEST = "warm"
 
 
-def _arrivals(fact: DataFrame, *codes: str | Column) -> DataFrame:
+def _arrivals(fact: DataFrame | Cube, *codes: str) -> DataFrame:
+    if isinstance(fact, Cube):
+        return fact.counts(*codes)
     return fact.groupBy(*codes).agg(F.count(F.lit(1)).alias("_n"))
 
 
 def arrivals_by_country(
-    fact: DataFrame,
+    fact: DataFrame | Cube,
     country: DataFrame,
     years: tuple[int, int] | None = None,
 ) -> DataFrame:
@@ -42,18 +46,18 @@ def arrivals_by_country(
 
 
 def _arrivals_by_label(
-    fact: DataFrame, code: str, label: str, labels: Mapping[int, str]
+    fact: DataFrame | Cube, code: str, label: str, labels: Mapping[int, str]
 ) -> DataFrame:
     return _arrivals(fact, code).select(
         F.col(code), code_label(code, labels, "unknown").alias(label), F.col("_n").alias("arrivals")
     )
 
 
-def arrivals_by_visa(fact: DataFrame) -> DataFrame:
+def arrivals_by_visa(fact: DataFrame | Cube) -> DataFrame:
     return _arrivals_by_label(fact, "i94visa", "visa", VISA_LABELS)
 
 
-def arrivals_by_mode(fact: DataFrame) -> DataFrame:
+def arrivals_by_mode(fact: DataFrame | Cube) -> DataFrame:
     return _arrivals_by_label(fact, "i94mode", "mode", MODE_LABELS)
 
 
@@ -71,7 +75,7 @@ def climate(
 
 
 def arrivals_by_climate(
-    fact: DataFrame,
+    fact: DataFrame | Cube,
     country: DataFrame,
     bounds: Sequence[tuple[float, str]] = CLIMATE_BOUNDS,
     warmest: str = WARMEST,
@@ -84,7 +88,9 @@ def arrivals_by_climate(
     )
 
 
-def visitor_stats(fact: DataFrame) -> DataFrame:
+def visitor_stats(fact: DataFrame | Cube) -> DataFrame:
+    if isinstance(fact, Cube):
+        return fact.ages("gender")
     return fact.groupBy("gender").agg(
         F.count(F.lit(1)).alias("visitors"),
         F.avg("i94bir").alias("avg_age"),
@@ -93,7 +99,7 @@ def visitor_stats(fact: DataFrame) -> DataFrame:
     )
 
 
-def origin_by_state(fact: DataFrame, country: DataFrame, state: DataFrame) -> DataFrame:
+def origin_by_state(fact: DataFrame | Cube, country: DataFrame, state: DataFrame) -> DataFrame:
     """Per country of residence: arrivals, states addressed, and what those states look like,
     weighted with the arrivals that name them.
     """

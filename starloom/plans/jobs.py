@@ -14,6 +14,7 @@ from starloom.operators import quality
 from starloom.operators.rejects import Split, reject_checks, split_rejects
 from starloom.plans import songplays as music
 from starloom.plans.country import build_country
+from starloom.plans.cube import load_cube
 from starloom.plans.immigration import SOURCE_COLUMNS, checked_immigration, dates_of
 from starloom.plans.state import build_state
 from starloom.schemas import CONTRACTS, TEMPERATURE
@@ -66,6 +67,7 @@ def arrivals_job(
     strict_codes: bool = False,
     state_codes: str | None = None,
     allowed_rejects: int = 0,
+    cube: bool = False,
     **options,
 ) -> JobResult:
     """Build the arrivals star as Parquet tables below ``output`` and check them.
@@ -75,7 +77,8 @@ def arrivals_job(
 
     The fact comes first. Its codes and dates are counted once, by month, into ``immigration_counts``; the date
     dimension and all checks but that of the key come from these counts. ``reload="partitions"`` replaces only the
-    months that occur in the input, and counts these months only.
+    months that occur in the input, and counts these months only. ``cube`` also loads ``arrivals_cube``, from
+    which the questions about arrivals are answered without the fact.
 
     Arrival records name countries and states that no list knows. The report counts them, but only
     with ``strict_codes`` does that fail the job. ``state_codes`` names a state code list, which may
@@ -114,11 +117,13 @@ def arrivals_job(
         n = load("immigration", split.loaded, replace)
         months.extend(tuple(r) for r in split.loaded.select("i94yr", "i94mon").distinct().collect())
         split.drop_loaded()
-        load_counts()
+        fact = loaded_months(table("immigration")) if reload == "partitions" else table("immigration")
+        load_counts(fact)
+        if cube:
+            load_cube(spark, fact, f"{output.rstrip('/')}/arrivals_cube", database, months_only=reload == "partitions")
         return n
 
-    def load_counts() -> None:
-        fact = loaded_months(table("immigration")) if reload == "partitions" else table("immigration")
+    def load_counts(fact: DataFrame) -> None:
         counts = quality.value_counts(fact, FACT_CODES, ("cicid",), ("i94yr", "i94mon"))
         load("immigration_counts", counts, replace)
 

@@ -158,6 +158,13 @@ _CONTRACTS = [
         "column_name value i94yr i94mon",
         partition_by=("i94yr", "i94mon"),
     ),
+    _contract(
+        "arrivals_cube",
+        "cube_set string, i94res int, i94addr string, i94visa int, i94mode int, gender string, arrivals bigint, "
+        "ages bigint, age_sum bigint, age_min int, age_max int, i94yr int, i94mon int",
+        "cube_set i94res i94addr i94visa i94mode gender i94yr i94mon",
+        partition_by=("i94yr", "i94mon"),
+    ),
     _contract(
         "date",
         "date date, year int, month int, day int, weekofyear int, dayofweek int",

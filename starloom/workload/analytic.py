@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from starloom.plans import analytics
 from starloom.plans import songplays as music
 from starloom.plans.country import build_country
+from starloom.plans.cube import Cube, load_cube
 from starloom.plans.immigration import build_immigration
+from starloom.session import scratch_path
 from starloom.workload import frames
-from starloom.workload.registry import query, table
+from starloom.workload.registry import ORACLE_SQL, query, table
 
 
 def _fact(spark, sf):
@@ -135,6 +139,10 @@ def visitor_stats(spark, sf):
     GROUP BY CountryName""",
 )
 def origin_by_state(spark, sf):
+    return _origin_by_state(spark, sf, _fact(spark, sf))
+
+
+def _origin_by_state(spark, sf, fact):
     state = (
         table(spark, sf, "customer")
         .groupBy("c_nationkey")
@@ -151,7 +159,7 @@ def origin_by_state(spark, sf):
             F.max("top").alias("MedianAge"),
         )
     )
-    return analytics.origin_by_state(_fact(spark, sf), _country(spark, sf), state)
+    return analytics.origin_by_state(fact, _country(spark, sf), state)
 
 
 @query(
@@ -166,3 +174,52 @@ def song_plays(spark, sf):
         music.build_songs(songs),
         music.build_artists(songs),
     )
+
+
+# --- the same questions, answered from the cube ---------------------------------------------------
+
+
+def _cube(spark, sf) -> Cube:
+    """A cube that was loaded from wrong months, which were then loaded again: all of 1996 came twice."""
+    path, database = scratch_path(spark, "cube"), f"starloom_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{path}/database'")
+    fact, again = _fact(spark, sf), F.col("i94yr") == 1996
+    load_cube(spark, fact.union(fact.where(again)), f"{path}/cube", database)
+    load_cube(spark, fact.where(again), f"{path}/cube", database, months_only=True)
+    return Cube(spark.table(f"{database}.arrivals_cube"))
+
+
+@query("cube_arrivals_by_country", ORACLE_SQL["arrivals_by_country"])
+def cube_arrivals_by_country(spark, sf):
+    return analytics.arrivals_by_country(_cube(spark, sf), _country(spark, sf))
+
+
+@query("cube_arrivals_by_country_period", ORACLE_SQL["arrivals_by_country_period"])
+def cube_arrivals_by_country_period(spark, sf):
+    return analytics.arrivals_by_country(_cube(spark, sf), _country(spark, sf), (1996, 1998))
+
+
+@query("cube_arrivals_by_visa", ORACLE_SQL["arrivals_by_visa"])
+def cube_arrivals_by_visa(spark, sf):
+    return analytics.arrivals_by_visa(_cube(spark, sf))
+
+
+@query("cube_arrivals_by_mode", ORACLE_SQL["arrivals_by_mode"])
+def cube_arrivals_by_mode(spark, sf):
+    return analytics.arrivals_by_mode(_cube(spark, sf))
+
+
+@query("cube_arrivals_by_climate", ORACLE_SQL["arrivals_by_climate"])
+def cube_arrivals_by_climate(spark, sf):
+    bounds = ((440000.0, "cold"), (450000.0, "cool"), (460000.0, "mild"))
+    return analytics.arrivals_by_climate(_cube(spark, sf), _country(spark, sf), bounds)
+
+
+@query("cube_visitor_stats", ORACLE_SQL["visitor_stats"])
+def cube_visitor_stats(spark, sf):
+    return analytics.visitor_stats(_cube(spark, sf))
+
+
+@query("cube_origin_by_state", ORACLE_SQL["origin_by_state"])
+def cube_origin_by_state(spark, sf):
+    return _origin_by_state(spark, sf, _cube(spark, sf))
