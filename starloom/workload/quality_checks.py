@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from starloom.lookups import STATE_CODES
-from starloom.operators import profile, quality
+from starloom.operators import profile, quality, sketches
 from starloom.operators.joins import orphans
+from starloom.operators.matching import name_candidates
 from starloom.plans.immigration import build_immigration
 from starloom.schemas import CONTRACTS
 from starloom.session import scratch_path
+from starloom.sinks.parquet import write_parquet
 from starloom.sources.files import read_state_lookup
 from starloom.workload import frames
 from starloom.workload.registry import query, table
@@ -220,3 +222,73 @@ def dq_completeness(spark, sf):
 def dq_contract(spark, sf):
     fact = build_immigration(frames.arrivals_raw(spark, sf))
     return quality.contract_checks(fact, CONTRACTS["immigration"])
+
+
+# --- profiles that add up --------------------------------------------------------------------------
+
+_SKETCHED = ("cicid", "i94res", "i94addr", "airline", "depdate", "i94bir")
+
+
+@query(
+    "profile_by_sketches",
+    f"WITH {frames.ARRIVALS_SQL} "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_missing, true AS distinct_close, "
+        + ("true" if c in ("cicid", "i94res", "i94bir") else "NULL::BOOLEAN") + " AS median_close FROM fact"
+        for c in _SKETCHED
+    ),
+)
+def profile_by_sketches(spark, sf):
+    """A profile merged from monthly sketches, of which one year's were written again: counts, and whether distinct counts and
+    medians are as close to the exact ones as stated."""
+    fact = build_immigration(frames.arrivals_raw(spark, sf)).select(*_SKETCHED, "i94yr", "i94mon")
+    path, months = scratch_path(spark, "sketches"), ["i94yr", "i94mon"]
+    wrong = fact.withColumn("i94res", F.when(F.col("i94yr") == 1996, F.col("cicid")).otherwise(F.col("i94res")))
+    write_parquet(sketches.column_sketches(wrong, months), path, months)
+    write_parquet(sketches.column_sketches(fact.where("i94yr = 1996"), months), path, months, replace="partitions")
+    merged = sketches.merged_profile(spark.read.parquet(path))
+    exact = fact.agg(*[F.count_distinct(c).alias(c) for c in _SKETCHED]).unpivot([], list(_SKETCHED), "column_name", "exact")
+    numbers = fact.select(*[F.col(c).cast("double").alias(c) for c in ("cicid", "i94res", "i94bir")])
+    ranked = numbers.unpivot([], numbers.columns, "column_name", "v").where("v is not null").join(merged.select("column_name", "`q0.5`"), "column_name")
+    median = ranked.groupBy("column_name").agg(
+        (F.avg((F.col("v") < F.col("`q0.5`")).cast("double")) - sketches.RANK_ERROR).alias("low"),
+        (F.avg((F.col("v") <= F.col("`q0.5`")).cast("double")) + sketches.RANK_ERROR).alias("high"),
+    )
+    return merged.join(exact, "column_name").join(median, "column_name", "left").select(
+        "column_name", "n_rows", "n_missing",
+        (F.abs(F.col("n_distinct") - F.col("exact")) <= F.col("exact") * sketches.DISTINCT_ERROR).alias("distinct_close"),
+        F.when(F.col("low").isNotNull(), (F.col("low") <= 0.5) & (F.col("high") >= 0.5)).alias("median_close"),
+    )
+
+
+_GRAMS = "list_distinct([s[i:i + 2] for i in range(1, greatest(len(s) - 2, 1) + 1)])"
+
+
+@query(
+    "country_name_candidates",
+    f"""WITH code AS (
+      SELECT CASE n_nationkey WHEN 3 THEN 'INVALID: ' || upper(n_name) WHEN 4 THEN upper(n_name) || ' (ALL)' ELSE upper(n_name) END AS name FROM nation
+    ), reading AS (
+      SELECT DISTINCT CASE WHEN c_nationkey = 4 THEN 'Fourth Nation' WHEN c_nationkey = 5 AND c_custkey % 2 = 0 THEN 'Fifth Nation'
+        ELSE 'Nation_' || CASE WHEN c_nationkey < 23 THEN c_nationkey ELSE 99 END END AS name FROM customer
+    ), open_code AS (
+      SELECT DISTINCT name FROM code WHERE lower(name) NOT IN (SELECT lower(name) FROM reading)
+    ), a AS (
+      SELECT name, plain, ' ' || plain || ' ' AS s FROM (SELECT name, trim(regexp_replace(lower(name), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS plain FROM open_code)
+    ), b AS (
+      SELECT name, plain, ' ' || plain || ' ' AS s FROM (SELECT name, trim(regexp_replace(lower(name), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS plain FROM reading)
+    ), ga AS (SELECT *, {_GRAMS} AS g FROM a), gb AS (SELECT *, {_GRAMS} AS g FROM b), pair AS (
+      SELECT ga.name, gb.name AS candidate, CAST(len(list_intersect(ga.g, gb.g)) AS DOUBLE) / least(len(ga.g), len(gb.g)) AS overlap,
+        1 - CAST(levenshtein(ga.plain, gb.plain) AS DOUBLE) / greatest(len(ga.plain), len(gb.plain)) AS edit
+      FROM ga, gb
+    )
+    SELECT name, candidate, overlap, edit,
+      CAST(row_number() OVER (PARTITION BY name ORDER BY overlap DESC, edit DESC, candidate) AS INTEGER) AS rank
+    FROM pair WHERE overlap >= 0.6 QUALIFY rank <= 3""",
+)
+def country_name_candidates(spark, sf):
+    """For each uncorrected name of the code list that has no readings, the names of readings it may stand for."""
+    codes = frames.country_codes(spark, sf).select(F.col("Country").alias("name"))
+    readings = frames.temperature_readings(spark, sf).select(F.col("Country").alias("reading")).distinct()
+    without = codes.join(readings, F.lower("name") == F.lower("reading"), "left_anti")
+    return name_candidates(without, "name", readings, "reading")
