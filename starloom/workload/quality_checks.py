@@ -274,9 +274,9 @@ _GRAMS = "list_distinct([s[i:i + 2] for i in range(1, greatest(len(s) - 2, 1) +
     ), open_code AS (
       SELECT DISTINCT name FROM code WHERE lower(name) NOT IN (SELECT lower(name) FROM reading)
     ), a AS (
-      SELECT name, plain, ' ' || plain || ' ' AS s FROM (SELECT name, trim(regexp_replace(lower(name), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS plain FROM open_code)
+      SELECT name, plain, ' ' || plain || ' ' AS s FROM (SELECT name, trim(regexp_replace(lower(name), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS plain FROM open_code)
     ), b AS (
-      SELECT name, plain, ' ' || plain || ' ' AS s FROM (SELECT name, trim(regexp_replace(lower(name), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS plain FROM reading)
+      SELECT name, plain, ' ' || plain || ' ' AS s FROM (SELECT name, trim(regexp_replace(lower(name), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS plain FROM reading)
     ), ga AS (SELECT *, {_GRAMS} AS g FROM a), gb AS (SELECT *, {_GRAMS} AS g FROM b), pair AS (
       SELECT ga.name, gb.name AS candidate, CAST(len(list_intersect(ga.g, gb.g)) AS DOUBLE) / least(len(ga.g), len(gb.g)) AS overlap,
         1 - CAST(levenshtein(ga.plain, gb.plain) AS DOUBLE) / greatest(len(ga.plain), len(gb.plain)) AS edit
