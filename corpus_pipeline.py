@@ -24,7 +24,7 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest id of each group of near copies; of rows that repeat an id, one."""
+    """Keeps the smallest id of each group of near copies; of rows alike in id and text, one."""
     found = setsketch.near_duplicates(docs, width=5, percent=80)
     dropped = found.where("not kept").select(F.col("doc_id").alias("_id"))
     repeated = docs.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("n")).where("n > 1").select("_id")
@@ -35,7 +35,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
         return kept
     again = broadcast_if_few(again)
     once = kept.join(again, kept["doc_id"] == again["_id"], "left_anti")
-    return once.union(kept.join(again, kept["doc_id"] == again["_id"], "left_semi").dropDuplicates(["doc_id"]))
+    return once.union(kept.join(again, kept["doc_id"] == again["_id"], "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
