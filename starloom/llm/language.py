@@ -192,7 +192,12 @@ def predictor(docs: DataFrame, model: LanguageModel, text_col: str, carried: lis
 
 
 def determined(docs: DataFrame, model: LanguageModel, *, text_col="text", least=0.0) -> DataFrame:
-    """The documents, with all their columns, whose language is one of the model's with at least this score."""
+    """The documents, with all their columns, whose language is one of the model's with at least this score.
+
+    A model without languages tells nothing: then every text with a letter stays.
+    """
+    if not model.languages:
+        return docs.where(F.col(text_col).rlike(r"\p{L}"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     names = ("_lang_pred", "_lang_score")
     found = docs.mapInArrow(

@@ -123,7 +123,12 @@ def scan(docs: DataFrame, *, id_col="doc_id", text_col="text", phrases=None, tem
     reach = F.when(F.col("kind") == "template", F.lit(REACH)).otherwise(F.lit(0))
     merged = hits.withColumn("new", (gap.isNull() | (gap > reach)).cast("int"))
     merged = merged.withColumn("cluster", F.sum("new").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    spans = merged.groupBy(*document, "kind", "name", "cluster").agg(
+    # a chain that is too wide for one copy is several: it is cut into stretches of neighbours
+    chain = Window.partitionBy(*document, "kind", "name", "cluster")
+    wide = F.max("place").over(chain) - F.min("place").over(chain) + GROUP > F.col("length") * MAX_STRETCH + REACH
+    stretch = F.floor((F.col("diagonal") - F.min("diagonal").over(chain)) / (REACH + 1))
+    merged = merged.withColumn("stretch", F.when((F.col("kind") == "template") & wide, stretch).otherwise(F.lit(0)))
+    spans = merged.groupBy(*document, "kind", "name", "cluster", "stretch").agg(
         F.countDistinct("offset").alias("votes"), F.min("place").alias("first"), F.max("place").alias("last"),
         F.min("diagonal").alias("diagonal"), F.first("groups").alias("groups"), F.first("length").alias("length"),
     )

@@ -13,7 +13,8 @@ Targets: weights share ``total`` of all words; a target stops at ``most`` times
 the rest is shared again by weight until none is above.
 
 Defined results: a null or empty text has size 0 and nothing is taken of it. Sources without words have target
-0. Null is a source of its own, the last. Rows that repeat an id are laid side by side, ordered by their text.
+0. Null is a source of its own, the last. Rows that repeat an id are laid side by side, ordered by their text; rows without an id
+are documents like others, shuffled by their text.
 """
 
 from __future__ import annotations
@@ -59,7 +60,9 @@ def targets(sizes: DataFrame, *, weights=WEIGHTS, total=TOTAL, most=MOST) -> Dat
 
 def laid_out(docs: DataFrame) -> DataFrame:
     """For each document of (key, source, size, tie): the place of its first word among its source's shuffled words."""
-    spread = F.md5(F.concat(F.lit("mix-"), F.col("key").cast("string")))
+    # rows without a key are shuffled by their text
+    name = F.coalesce(F.concat(F.lit("mix-"), F.col("key").cast("string")), F.concat(F.lit("text-"), F.col("tie").cast("string")))
+    spread = F.md5(name)
     docs = docs.withColumn("spread", spread).withColumn("bucket", F.substring("spread", 1, BUCKET_DIGITS))
     sums = docs.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -106,6 +109,15 @@ def schedule(wanted: DataFrame, *, block=BLOCK) -> DataFrame:
     return slots.withColumn("words", F.least(block_words, rest)).select("source", "position", "rank", "block", "pass", "words")
 
 
+def _left_join(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
+    """A left join on columns in which null is a value."""
+    right = right.withColumnsRenamed({c: f"_{c}" for c in columns})
+    same = F.lit(True)
+    for c in columns:
+        same &= left[c].eqNullSafe(right[f"_{c}"])
+    return left.join(right, same, "left").drop(*[f"_{c}" for c in columns])
+
+
 def mix(docs: DataFrame, *, id_col="doc_id", text_col="text", source_col="source", weights=WEIGHTS, total=TOTAL, most=MOST, block=BLOCK):
     """One row per document: ``size``, ``source_size``, ``target``, and the words ``taken`` of it in every pass.
 
@@ -131,7 +143,7 @@ def mix(docs: DataFrame, *, id_col="doc_id", text_col="text", source_col="source
     passes = in_pass.groupBy(*identity).agg(
         F.sum("words").alias("taken"), F.transform(F.array_sort(F.collect_list(F.struct("pass", "words"))), lambda p: p["words"]).alias("passes")
     )
-    mixed = placed.join(passes, identity, "left")
+    mixed = _left_join(placed, passes, identity)
     named = wanted.withColumnRenamed("source", "name")
     mixed = mixed.join(named, mixed["source"].eqNullSafe(named["name"]))
     return mixed.select(
@@ -151,7 +163,7 @@ def mixed_documents(docs: DataFrame, *, id_col="doc_id", text_col="text", source
         F.flatten(F.collect_list("passes")).alias("_passes"), F.first("size").alias("_size")
     )
     texts = docs.withColumn("_tie", F.xxhash64(text_col)).dropDuplicates([id_col, "_tie"])
-    joined = texts.join(shares, (texts[id_col] == shares["_key"]) & (texts["_tie"] == shares["_tie"]))
+    joined = texts.join(shares, texts[id_col].eqNullSafe(shares["_key"]) & (texts["_tie"] == shares["_tie"]))
     rows = joined.withColumn("_take", F.explode("_passes"))
     head = F.expr(
         f"array_join(slice(regexp_extract_all(`{text_col}`, '[^\\\\x20\\\\x09-\\\\x0D]+', 0), 1, cast(_take AS int)), ' ')"

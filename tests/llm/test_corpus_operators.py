@@ -289,6 +289,18 @@ def test_slots_stand_in_low_discrepancy_order(spark):
     assert abs(begin.count("a") - 60) <= 4
 
 
+def test_mixture_keeps_rows_without_an_id(spark):
+    rows = [(None if i % 3 else i, "w " * (i + 1), f"s{i % 2}") for i in range(40)] + [(None, None, "s0"), (None, "w w", "s1"), (None, "w w", "s1")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixture.mix(df, block=16).collect()
+    assert len(got) == len(rows) and sorted(r["size"] for r in got) == sorted(len(words(t)) for _, t, _ in rows)
+    for source in {r.target for r in got}:
+        same = [r for r in got if r.target == source]
+        assert sum(r.taken for r in same) == round(source) and all(r.taken <= 2 * r["size"] for r in same)
+    mixed = mixture.mixed_documents(df, block=16).collect()
+    assert sum(len(words(r.text)) for r in mixed) == sum(r.taken for r in got)
+
+
 # --- fingerprints -----------------------------------------------------------------------------
 
 
@@ -460,3 +472,12 @@ def test_a_template_is_found_with_words_put_in(spark):
     changed = " ".join(["before"] * 9 + own[:15] + ["put", "in"] + own[15:] + ["after"])
     r = licenses.scan(spark.createDataFrame([(1, changed)], "doc_id long, text string")).first()
     assert r.labels == "mit" and r.score > 0.8 and (r.spans[0]["first"], r.spans[0]["last"]) == (9, 9 + len(own) + 2)
+
+
+def test_a_short_notice_is_found_however_often_it_stands_there(spark):
+    notice = next(t for name, t in licenses.TEMPLATES.items() if name == "cc-by-nc-4.0") if "cc-by-nc-4.0" in licenses.TEMPLATES else None
+    notice = notice or "Licensed under CC BY-NC 4.0"
+    rows = [(n, " ".join([notice] * n)) for n in range(1, 7)] + [(7, f"words before {notice} words after"), (8, None)]
+    got = by_id(licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert {i: "cc-by-nc-4.0" in r.labels.split(",") for i, r in got.items()} == {**dict.fromkeys(range(1, 8), True), 8: False}
+    assert all(got[i].score == 1 for i in range(1, 8))

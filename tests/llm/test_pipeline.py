@@ -43,6 +43,20 @@ def test_repeated_rows_leave_one(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
 
 
+def test_rows_of_one_id_with_other_texts_stay(spark):
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    rows = [(1, "a b c d e f g", 1), (1, "q r s t u v w", 1), (1, "a b c d e f g", 2), (2, "k l m n o p", 2)]
+    kept = stage(spark, spark.createDataFrame(rows, "doc_id long, text string, extra int"), None)
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, rows[0][1]), (1, rows[1][1]), (2, rows[3][1])]
+
+
+def test_texts_with_a_letter_stay_where_no_language_is_known(spark):
+    stage = dict(corpus_pipeline.STAGES)["language_id"]
+    rows = [(1, "some words", None), (2, "12 34", None), (3, None, None), (4, "", None), (5, "ü", None)]
+    kept = stage(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), None)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 5]
+
+
 def test_queries_are_registered():
     names = set(driver.queries())
     assert "pipeline" in names
