@@ -159,11 +159,13 @@ def mixed_documents(docs: DataFrame, *, id_col="doc_id", text_col="text", source
     fill with the new length.
     """
     mixed = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
-    shares = mixed.where("taken > 0").groupBy(F.col(id_col).alias("_key"), F.col("tie").alias("_tie")).agg(
+    # null is an id too; one shuffle of the texts by these two serves both the grouping and the join
+    name = F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit(""))
+    shares = mixed.where("taken > 0").groupBy(name.alias("_key"), F.col("tie").alias("_tie")).agg(
         F.flatten(F.collect_list("passes")).alias("_passes"), F.first("size").alias("_size")
     )
-    texts = docs.withColumn("_tie", F.xxhash64(text_col)).dropDuplicates([id_col, "_tie"])
-    joined = texts.join(shares, texts[id_col].eqNullSafe(shares["_key"]) & (texts["_tie"] == shares["_tie"]))
+    texts = docs.withColumn("_key", name).withColumn("_tie", F.xxhash64(text_col)).dropDuplicates(["_key", "_tie"])
+    joined = texts.join(shares, ["_key", "_tie"])
     rows = joined.withColumn("_take", F.explode("_passes"))
     head = F.expr(
         f"array_join(slice(regexp_extract_all(`{text_col}`, '[^\\\\x20\\\\x09-\\\\x0D]+', 0), 1, cast(_take AS int)), ' ')"
