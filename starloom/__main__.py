@@ -35,6 +35,7 @@ def parser() -> argparse.ArgumentParser:
         command = commands.add_parser(name, help=f"{name} the declared tables")
         command.add_argument("tables", nargs="*", choices=[[], *CONTRACTS], metavar="table")
     arrivals.add_argument("--state-codes", help="state code list to check the arrivals against")
+    arrivals.add_argument("--monthly", action="store_true", help="the arrivals are files or folders named by month")
     for command in (arrivals, music):
         command.add_argument("--allowed-rejects", type=int, default=0, help="bad records that do not fail the load")
         command.add_argument("--input-bytes", type=int, help="size of the input: sets the partitions")

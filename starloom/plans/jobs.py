@@ -27,6 +27,7 @@ from starloom.sources.files import (
     read_lookup,
     read_state_lookup,
 )
+from starloom.sources.filesets import read_checked_set, set_report
 from starloom.sources.logs import read_checked_log, read_checked_songs
 from starloom.streaming.incremental import stage_new_logs, staged_log
 
@@ -36,6 +37,7 @@ class JobResult:
     load_report: DataFrame
     quality_report: DataFrame
     rejected: Mapping[str, DataFrame] = field(default_factory=dict)  # file, reason and line, by source
+    source_schemas: DataFrame | None = None  # the columns of a set of files, compared
 
 
 # Columns of the arrivals fact whose values are counted once: its foreign keys.
@@ -68,6 +70,7 @@ def arrivals_job(
     state_codes: str | None = None,
     allowed_rejects: int = 0,
     cube: bool = False,
+    monthly: bool = False,
     **options,
 ) -> JobResult:
     """Build the arrivals star as Parquet tables below ``output`` and check them.
@@ -80,6 +83,10 @@ def arrivals_job(
     months that occur in the input, and counts these months only. ``cube`` also loads ``arrivals_cube``, from
     which the questions about arrivals are answered without the fact.
 
+    With ``monthly`` the arrivals are a set of files or folders named like ``..._apr16...``. Their columns may differ:
+    types are widened, and a column that some months lack is null there (``source_schemas`` of the result tells).
+    A record of another month than its file's is rejected.
+
     Arrival records name countries and states that no list knows. The report counts them, but only
     with ``strict_codes`` does that fail the job. ``state_codes`` names a state code list, which may
     hold states without demographics; the arrivals' states are then checked against it as well.
@@ -96,6 +103,7 @@ def arrivals_job(
     replace = "overwrite" if reload == "all" else "overwrite_partitions"
     splits: dict[str, Split] = {}
     months: list[tuple] = []
+    schemas: list[DataFrame] = []
 
     def table(name: str) -> DataFrame:
         return spark.table(qualified(database, name))
@@ -108,9 +116,13 @@ def arrivals_job(
         return df.where(chosen)
 
     def load_fact() -> int:
-        records = read_checked(
-            spark, arrivals, arrivals_format, columns=SOURCE_COLUMNS, load_size=load_size, **options
-        )
+        how = {"columns": SOURCE_COLUMNS, "load_size": load_size, **options}
+        if monthly:
+            keys = {"required": ("cicid",), "year": "i94yr", "month": "i94mon"}
+            records, found = read_checked_set(spark, arrivals, arrivals_format, **keys, **how)
+            schemas.append(set_report(spark, found))
+        else:
+            records = read_checked(spark, arrivals, arrivals_format, **how)
         split = split_rejects(checked_immigration(records), _aside(output, "arrivals"))
         splits["immigration"] = split
         split.check("arrivals", allowed_rejects)
@@ -180,7 +192,7 @@ def arrivals_job(
         checks = quality.enforce(checks)
     findings = [] if strict_codes else codes
     rejected = {name: s.rejected for name, s in splits.items()}
-    return JobResult(report, quality.union_reports(checks, *findings), rejected)
+    return JobResult(report, quality.union_reports(checks, *findings), rejected, *schemas)
 
 
 def music_job(

@@ -18,7 +18,7 @@ MONTH_PATTERN = r"(?i)^.*_(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)(\d{2
 
 def read_table(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     fmt: str = "parquet",
     *,
     schema: T.StructType | str | None = None,
@@ -35,7 +35,7 @@ def read_table(
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.load(path)
+    df = reader.load(path if isinstance(path, str) else list(path))
     if columns is not None and columns != "*":
         df = df.select(*columns)
     if load_size is not None:
@@ -68,7 +68,7 @@ def read_delimited(
 
 def read_checked(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     fmt: str = "csv",
     *,
     columns: Sequence[str],

@@ -13,6 +13,7 @@ from starloom.plans import songplays as music
 from starloom.plans.immigration import build_dates, build_immigration
 from starloom.schemas import CONTRACTS, TableContract, struct
 from starloom.session import scratch_path
+from starloom.sinks.buckets import bucketed_left_join, load_bucketed
 from starloom.sinks.load import LoadError, run_load
 from starloom.sinks.parquet import write_parquet
 from starloom.sinks.tables import create_table, drop_table, load_table
@@ -24,6 +25,7 @@ from starloom.sources.files import (
     read_table,
     schema_report,
 )
+from starloom.sources.filesets import month_report, read_set, scan_set, set_report
 from starloom.sources.logs import read_log_events, read_songs
 from starloom.streaming.incremental import read_staged, stage_new_files
 from starloom.workload import frames
@@ -178,6 +180,72 @@ def monthly_files(spark, sf):
     )
 
 
+def _order_months(spark, sf):
+    """Orders by month, in three layouts: April to June lack the price and have a priority, from July on the columns are
+    turned round and the customer is narrower. Urgent orders stand in the folder of the month after theirs.
+    """
+    root = scratch_path(spark, "order-months")
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    filed = F.when(urgent, F.add_months("o_orderdate", 1)).otherwise(F.to_date("o_orderdate"))
+    orders = table(spark, sf, "orders").withColumn("set", F.concat(F.lit("i94_"), F.lower(F.date_format(filed, "MMMyy")), F.lit("_sub")))
+    orders = orders.withColumn("filed", F.month(filed))
+    key, day, price = "o_orderkey", "o_orderdate", "o_totalprice"
+    layouts = [
+        ((1, 3), [key, F.col("o_custkey"), price, day]),
+        ((4, 6), [key, F.col("o_custkey"), day, "o_orderpriority"]),
+        ((7, 12), [day, price, F.col("o_custkey").cast("int").alias("O_CUSTKEY"), key]),
+    ]
+    for (first, last), columns in layouts:
+        # Folders by month, whose names are no column of the files.
+        some = orders.where(F.col("filed").between(first, last)).select(*columns, "set")
+        write_parquet(some, root, ["set"], replace="nothing")
+    return scan_set(spark, f"{root}/set=i94_*_sub", required=[key])
+
+
+_FILED_SQL = """filed AS (SELECT *, CASE o_orderpriority WHEN '1-URGENT' THEN o_orderdate + INTERVAL 1 MONTH
+      ELSE o_orderdate END AS filed FROM orders)"""
+
+
+@query(
+    "monthly_schemas",
+    f"""WITH {_FILED_SQL} SELECT o_orderkey, o_custkey,
+      CASE WHEN month(filed) NOT BETWEEN 4 AND 6 THEN o_totalprice END AS o_totalprice, o_orderdate,
+      CASE WHEN month(filed) BETWEEN 4 AND 6 THEN o_orderpriority END AS o_orderpriority,
+      CAST(month(filed) AS INTEGER) AS source_month, CAST(year(filed) % 100 AS INTEGER) AS source_year FROM filed""",
+)
+def monthly_schemas(spark, sf):
+    """Months of three layouts as one table: columns by name, types widened, null where a month lacks a column."""
+    return read_set(spark, _order_months(spark, sf)).drop("source_file")
+
+
+@query(
+    "monthly_schema_report",
+    f"""WITH {_FILED_SQL}, months AS (SELECT DISTINCT year(filed) AS y, month(filed) AS m FROM filed),
+      n AS (SELECT count(*) AS a, count(*) FILTER (m BETWEEN 4 AND 6) AS b, count(*) FILTER (m > 6) AS c FROM months)
+    SELECT column_name, CAST(held AS INTEGER) AS n_members, CAST(a - held AS INTEGER) AS n_missing, held_types, read_type
+    FROM n, LATERAL (VALUES ('o_orderkey', a, 'bigint', 'bigint'), ('o_custkey', a, 'bigint,int', 'bigint'),
+      ('o_totalprice', a - b, 'double', 'double'), ('o_orderdate', a, 'timestamp_ntz', 'timestamp_ntz'),
+      ('o_orderpriority', b, 'string', 'string')) AS t(column_name, held, held_types, read_type)""",
+)
+def monthly_schema_report(spark, sf):
+    """How many months have a column, with which types, and the type it is read as."""
+    report = set_report(spark, _order_months(spark, sf))
+    names = ("column_name", "n_members", "n_missing", "read_type")
+    return report.select(*names, F.concat_ws(",", "held_types").alias("held_types")).withColumn("column_name", F.lower("column_name"))
+
+
+@query(
+    "monthly_month_check",
+    f"""WITH {_FILED_SQL} SELECT CAST(month(filed) AS INTEGER) AS source_month, CAST(year(filed) % 100 AS INTEGER) AS source_year,
+      count(*) AS n_rows, count(*) FILTER (o_orderpriority = '1-URGENT') AS n_other_month, CAST(0 AS BIGINT) AS n_unknown
+    FROM filed GROUP BY ALL""",
+)
+def monthly_month_check(spark, sf):
+    """Rows that stand in the files of another month than their own."""
+    rows = read_set(spark, _order_months(spark, sf), ["o_orderdate"])
+    return month_report(rows, F.year("o_orderdate"), F.month("o_orderdate"))
+
+
 def _row_check(spark, sf, some):
     """How many rows there are, and how many of them stand in the table; which come is not defined."""
     lines = table(spark, sf, "lineitem").select(F.xxhash64("*").alias("row")).distinct()
@@ -357,6 +425,44 @@ def rows_during_a_load(spark, sf):
     return spark.table(name).groupBy("status").agg(F.count(F.lit(1)).alias("n_rows"), cents)
 
 
+@query(
+    "bucketed_join",
+    """SELECT l_orderkey, l_linenumber, l_extendedprice, o_custkey, o_orderdate
+    FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey""",
+)
+def bucketed_join(spark, sf):
+    """Line items and orders stored by the order's key: the join moves no row."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    left, right = _table("lines"), _table("orders")
+    load_bucketed(lines, left, ["l_orderkey"], 8, location=scratch_path(spark, "bucketed-lines"))
+    load_bucketed(orders, right, ["o_orderkey"], 8, location=scratch_path(spark, "bucketed-orders"))
+    return bucketed_left_join(spark, left, right, {"l_orderkey": "o_orderkey"}, spread_by=["l_linenumber"]).drop("o_orderkey")
+
+
+_HOT_SUPPLIER = "CASE l_returnflag WHEN 'N' THEN 1 WHEN 'A' THEN l_suppkey END"
+
+
+@query(
+    "bucketed_hot_join",
+    f"""SELECT l_orderkey, l_linenumber, key, s_name, s_nationkey
+    FROM (SELECT *, {_HOT_SUPPLIER} AS key FROM lineitem) LEFT JOIN supplier ON key = s_suppkey""",
+)
+def bucketed_hot_join(spark, sf):
+    """Half of the lines have one supplier and a quarter have none: these rows are stored apart, after a load of other rows."""
+    lines = table(spark, sf, "lineitem")
+    lines = lines.select("l_orderkey", "l_linenumber", F.expr(_HOT_SUPPLIER).alias("key"))
+    suppliers = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    left, right = _table("lines"), _table("suppliers")
+    at = scratch_path(spark, "bucketed-lines")
+    load_bucketed(lines.where("key = 1"), left, ["key"], 8, location=at)
+    hot = lines.count() // 10
+    load_bucketed(lines, left, ["key"], 8, location=at, hot_rows=hot)
+    load_bucketed(suppliers, right, ["s_suppkey"], 8, location=scratch_path(spark, "bucketed-suppliers"))
+    found = bucketed_left_join(spark, left, right, {"key": "s_suppkey"}, spread_by=["l_orderkey", "l_linenumber"])
+    return found.drop("s_suppkey")
+
+
 @query("table_drop_and_load", _ORDER_SQL)
 def table_drop_and_load(spark, sf):
     """A filled table is dropped; the next load shows its own rows only."""
