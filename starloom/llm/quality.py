@@ -1,6 +1,6 @@
 """Quality rules: exact text counts, and a calibrated logistic regression over hashed n-grams.
 
-The regression sees hashed word unigrams and bigrams and hashed groups of four bytes, each kind as
+The regression sees hashed word unigrams and bigrams and hashed groups of four characters, each kind as
 shares of the text. It is trained on labelled rows by stochastic gradient steps in a few tasks whose
 weights are averaged after every pass; a fold of the labelled rows that no step saw calibrates the
 score into a probability. Whole texts are scored in Arrow batches against a fixed threshold.
@@ -89,12 +89,11 @@ def grams(w: Words) -> list[tuple[np.ndarray, np.ndarray]]:
     ok = whole_windows(w.first, 2)
     pairs = windows(hashes, 2)[ok] if len(ok) else np.zeros(0, np.uint64)
     pair_bounds = np.r_[0, np.cumsum(np.maximum(w.counts - 1, 0))]
-    sizes = np.diff(w.bounds)
-    begin = np.arange(max(len(w.data) - CHARACTERS + 1, 0))
-    ok = whole_windows(w.bounds, CHARACTERS)
-    begin = begin[ok]
-    group = w.spans(begin, begin + CHARACTERS)
-    group_bounds = np.r_[0, np.cumsum(np.maximum(sizes - CHARACTERS + 1, 0))]
+    characters = w.characters()
+    text_begin = np.searchsorted(characters, w.bounds)
+    begin = np.flatnonzero(whole_windows(text_begin, CHARACTERS))
+    group = w.spans(characters[begin], characters[begin + CHARACTERS])
+    group_bounds = np.r_[0, np.cumsum(np.maximum(np.diff(text_begin) - CHARACTERS + 1, 0))]
     return [
         ((hashes >> shift).astype(np.int64), w.first),
         ((pairs >> shift).astype(np.int64), pair_bounds),

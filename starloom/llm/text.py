@@ -82,6 +82,10 @@ class Words:
     def hashes(self) -> np.ndarray:
         return self.spans(self.start, self.end)
 
+    def characters(self) -> np.ndarray:
+        """Where each code point begins in ``data``, and the end."""
+        return np.append(np.flatnonzero((self.data & 0xC0) != 0x80), len(self.data))
+
     def word(self, i: int) -> bytes:
         return self.data[self.start[i] : self.end[i]].tobytes()
 
@@ -163,7 +167,6 @@ def whole_windows(first: np.ndarray, k: int) -> np.ndarray:
     return ok
 
 
-
 def sums_by_text(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sum of the values from each bound to the next."""
     running = np.zeros(len(values) + 1, np.int64 if values.dtype.kind in "bi" else np.float64)
