@@ -1,8 +1,8 @@
 """Language ID: known words by their log frequency in each language, unseen words by their characters.
 
-Of an unseen word each character is scored by the longest known run of bytes that ends there, from
-six bytes down to one. Words and runs are learned from labelled rows, about ``max_rows`` of them
-at most, and kept if seen ``MIN_COUNT`` times. A text's prediction is the language with the largest sum, its
+Of an unseen word each character is scored by the longest known run of characters that ends there, from
+six characters down to one. Words and runs are learned from labelled rows, about ``max_rows`` of them
+at most (all rows of small languages, a share of large ones), and kept if seen ``MIN_COUNT`` times. A text's prediction is the language with the largest sum, its
 score that language's share after normalising.
 
 Defined results: a null text, and one without a letter, is ``und`` with score 0. Equal sums go to the
@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.learn import MAX_TRAIN_ROWS, add_up, bounded_sample, keyed_sums, table_of
+from starloom.llm.learn import MAX_TRAIN_ROWS, add_up, keyed_sums, sample_by_label, table_of
 from starloom.llm.text import Words, lookup, slices, strings, words
 
 MIN_COUNT = 3
@@ -36,13 +36,27 @@ def tokens(part: pa.Array) -> Words:
     return words(part, fold=True, in_word=_in_word)
 
 
-def _runs(w: Words, start: np.ndarray, end: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All runs of ``n`` bytes in the given words: the word's number, the place it ends in the word, its hash."""
-    counts = np.maximum(end - start - n + 1, 0)
-    word = np.repeat(np.arange(len(start)), counts)
+@dataclass
+class Letters:
+    """Characters of some words: word ``i`` has those from ``first[i]`` to before ``last[i]``, at these places in the data."""
+
+    at: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+
+
+def letters(w: Words, start: np.ndarray, end: np.ndarray) -> Letters:
+    at = w.characters()
+    return Letters(at, np.searchsorted(at, start), np.searchsorted(at, end))
+
+
+def _runs(w: Words, of: Letters, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All runs of ``n`` characters in the given words: the word's number, the character it ends before in the word, its hash."""
+    counts = np.maximum(of.last - of.first - n + 1, 0)
+    word = np.repeat(np.arange(len(counts)), counts)
     place = np.arange(len(word)) - np.repeat(np.cumsum(counts) - counts, counts)
-    begin = start[word] + place
-    return word, place + n, w.spans(begin, begin + n)
+    begin = of.first[word] + place
+    return word, place + n, w.spans(of.at[begin], of.at[begin + n])
 
 
 @dataclass
@@ -54,12 +68,13 @@ class LanguageModel:
     floor: np.ndarray
 
     def unseen(self, w: Words, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Log frequencies of words that were not learned: means over their bytes' longest known runs."""
-        sizes = end - start
+        """Log frequencies of words that were not learned: means over their characters' longest known runs."""
+        of = letters(w, start, end)
+        sizes = of.last - of.first
         bounds = np.r_[0, np.cumsum(sizes)]
         logs = np.repeat(self.floor[None, :], bounds[-1], axis=0)
         for n, (keys, known_logs) in enumerate(self.runs, 1):  # longer runs replace shorter ones
-            word, place, hashes = _runs(w, start, end, n)
+            word, place, hashes = _runs(w, of, n)
             at, known = lookup(keys, hashes)
             logs[bounds[word[known]] + place[known] - 1] = known_logs[at[known]]
         total = np.add.reduceat(logs, bounds[:-1], axis=0) if len(sizes) else np.zeros((0, len(self.languages)))
@@ -82,12 +97,12 @@ class LanguageModel:
 
 
 def _salted(keys: np.ndarray, n: int) -> np.ndarray:
-    """Keys of words (``n`` = 0) and of runs of ``n`` bytes do not meet."""
+    """Keys of words (``n`` = 0) and of runs of ``n`` characters do not meet."""
     return keys ^ np.uint64(n * 0x9E3779B97F4A7C15 % (1 << 64))
 
 
 def _counter(languages: list[str]):
-    """Counts by language of words, and of runs of bytes in the different words; the last column tells the length of run."""
+    """Counts by language of words, and of runs of characters in the different words; the last column tells the length of run."""
     width = len(languages)
 
     def count(batch):
@@ -109,8 +124,9 @@ def _counter(languages: list[str]):
             salted = hashes + language.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
             _, first, weight = np.unique(salted, return_index=True, return_counts=True)
             add(hashes[first], language[first], weight, 0)
+            different = letters(w, w.start[first], w.end[first])
             for n in range(1, LONGEST + 1):
-                word, _, key = _runs(w, w.start[first], w.end[first], n)
+                word, _, key = _runs(w, different, n)
                 of = language[first][word]
                 together = key + of.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
                 _, one, times = np.unique(together, return_index=True, return_counts=True)
@@ -132,10 +148,8 @@ def add_up_lengths(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np
 def fit(labelled: DataFrame, *, id_col="doc_id", text_col="text", label_col="lang", max_rows=MAX_TRAIN_ROWS):
     """A :class:`LanguageModel` from rows with a language, at most about ``max_rows`` of them."""
     rows = labelled.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-    rows = bounded_sample(rows.select(id_col, text_col, label_col), id_col, max_rows).select(
-        F.col(text_col).alias("text"), F.col(label_col).alias("label")
-    )
-    languages = sorted(r[0] for r in rows.select("label").distinct().collect())
+    rows = rows.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).alias("label"))
+    rows, languages = sample_by_label(rows, "id", "label", max_rows)
     width = len(languages)
     if not width:
         return LanguageModel([], np.zeros(0, np.uint64), np.zeros((0, 0)), [], np.zeros(0))

@@ -26,6 +26,26 @@ def bounded_sample(rows: DataFrame, id_col: str, max_rows: int = MAX_TRAIN_ROWS)
     return rows.where(F.pmod(F.xxhash64(F.lit("sample"), id_col), F.lit(1_000_000)) < limit)
 
 
+def shares(counts: dict, total: int) -> dict:
+    """How many rows each label may give so that all give about ``total``: small ones all of theirs, the others alike."""
+    left, given = total, {}
+    for k, (label, n) in enumerate(sorted(counts.items(), key=lambda c: (c[1], str(c[0])))):
+        given[label] = min(n, left // (len(counts) - k))
+        left -= given[label]
+    return given
+
+
+def sample_by_label(rows: DataFrame, id_col: str, label_col: str, max_rows: int = MAX_TRAIN_ROWS) -> tuple[DataFrame, list]:
+    """About ``max_rows`` of the rows at most, chosen by a hash of the id, and all labels: rare ones keep all their rows."""
+    counts = {r[0]: r[1] for r in rows.groupBy(label_col).count().collect()}
+    parts = 1_000_000
+    chosen = F.lit(False)
+    for label, n in shares(counts, max_rows).items():
+        below = parts if n == counts[label] else int(n / counts[label] * parts)
+        chosen |= F.col(label_col).eqNullSafe(F.lit(label)) & (F.pmod(F.xxhash64(F.lit("sample"), id_col), F.lit(parts)) < below)
+    return rows.where(chosen), sorted(counts)
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     """Weights (the last is the intercept) of a small logistic regression, by Newton steps."""
     x = np.column_stack([x, np.ones(len(x))]).astype(float)
