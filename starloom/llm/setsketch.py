@@ -16,7 +16,7 @@ With 30 bands of 4 registers a pair of similarity 0.85 shares no bucket once in
 
 Defined results: null and empty texts, and texts without words, have an empty set and are linked with
 nothing. Texts of fewer words than a shingle have one shingle, all their words. Rows that repeat an id
-count as one document if their texts are alike, else each is tried under the same id. Rows without an id are kept.
+are one document with several sets, each of which is linked for itself. Rows without an id are kept, and link nothing.
 """
 
 from __future__ import annotations
@@ -132,6 +132,19 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+NAME = ("n", "a", "b")
+
+
+def set_names(values: np.ndarray, bounds: np.ndarray) -> list[pa.Array]:
+    """The size of each set and two hashes of its members in any order: together its name."""
+    names = [pa.array(np.diff(bounds))]
+    for salt in (1, 2):
+        running = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(mix(values ^ np.uint64(salt * 0x5851F42D4C957F2D)), out=running[1:])
+        names.append(pa.array((running[bounds[1:]] - running[bounds[:-1]]).view(np.int64)))
+    return names
+
+
 def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """``id``, set size ``n``, the set's name (``a``, ``b``) and ``registers`` of every document."""
 
@@ -141,14 +154,9 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFra
             for row, part in slices(batch[text_col]):
                 values, bounds = shingle_sets(part, width)
                 level = registers(values, bounds)
-                names = []
-                for salt in (1, 2):
-                    running = np.zeros(len(values) + 1, np.uint64)
-                    np.cumsum(mix(values ^ np.uint64(salt * 0x5851F42D4C957F2D)), out=running[1:])
-                    names.append(pa.array((running[bounds[1:]] - running[bounds[:-1]]).view(np.int64)))
                 packed = pa.array([r.tobytes() for r in level], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(row, len(part)), pa.array(np.diff(bounds)), *names, packed], ["id", "n", "a", "b", "registers"]
+                    [ids.slice(row, len(part)), *set_names(values, bounds), packed], ["id", *NAME, "registers"]
                 )
 
     schema = "id long, n long, a long, b long, registers binary"
@@ -174,7 +182,8 @@ def _sets_of(id_col: str, text_col: str, width: int):
             for row, part in slices(batch[text_col]):
                 values, bounds = shingle_sets(part, width)
                 packed = [values[x:y].tobytes() for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([ids.slice(row, len(part)), pa.array(packed, pa.binary())], ["id", "shingles"])
+                columns = [ids.slice(row, len(part)), *set_names(values, bounds), pa.array(packed, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["id", *NAME, "shingles"])
 
     return each
 
@@ -230,8 +239,8 @@ def near_duplicates(docs: DataFrame, *, id_col="doc_id", text_col="text", width=
     Documents are linked if ``100 * intersection >= percent * union`` of their shingle sets.
     """
     sketched = stored(sketches(docs, id_col, text_col, width), "sketches")
-    name = ["n", "a", "b"]
-    classes = sketched.where("n > 0").groupBy(*name).agg(F.min("id").alias("id"), F.first("registers").alias("registers"))
+    name = list(NAME)
+    classes = sketched.where("n > 0 AND id IS NOT NULL").groupBy(*name).agg(F.min("id").alias("id"), F.first("registers").alias("registers"))
     classes = stored(classes, "classes")
     bands = classes.select("id", "registers").mapInArrow(_bands, "key long, third int, id long")
     leaders = bands.groupBy("key").agg(
@@ -242,14 +251,22 @@ def near_duplicates(docs: DataFrame, *, id_col="doc_id", text_col="text", width=
     members = broadcast_if_few(stored(shared.select("id").distinct(), "members"))
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     chosen = texts.join(members, texts["_id"] == members["id"], "left_semi")
-    sets = chosen.mapInArrow(_sets_of("_id", "_text", width), "id long, shingles binary").dropDuplicates(["id"])
-    profiles = stored(sets.join(classes.select("id", "registers"), "id"), "profiles")
+    # an id of several texts has several sets, each with its own registers
+    sets = chosen.mapInArrow(_sets_of("_id", "_text", width), "id long, n long, a long, b long, shingles binary").dropDuplicates(["id", *name])
+    profiles = stored(sets.join(classes, ["id", *name]).select("id", "registers", "shingles"), "profiles")
 
     pairs = shared.where("lead <> id").select(F.least("lead", "id").alias("a"), F.greatest("lead", "id").alias("b")).distinct()
     for side in ("a", "b"):
         own = profiles.select(F.col("id").alias(side), F.col("registers").alias(f"registers_{side}"), F.col("shingles").alias(f"shingles_{side}"))
         pairs = pairs.join(own, side)
-    links = stored(pairs.mapInArrow(_confirm(percent), "a long, b long"), "links")
+    links = pairs.mapInArrow(_confirm(percent), "a long, b long")
+    repeated = sketched.where("n > 0 AND id IS NOT NULL").groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").select("id")
+    repeated = stored(repeated, "repeated")
+    if not repeated.isEmpty():  # one document: what its sets are linked with is reached by way of it
+        own = sketched.where("n > 0").join(broadcast_if_few(repeated), "id", "left_semi").select(F.col("id").alias("b"), F.struct(*name).alias("set"))
+        least = classes.select(F.col("id").alias("a"), F.struct(*name).alias("set"))
+        links = links.union(own.distinct().join(least, "set").select("a", F.col("b")).where("a <> b"))
+    links = stored(links, "links")
     found = components(links)
 
     placed = shared.select("key", "id", "members").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
