@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -26,7 +27,7 @@ from starloom.llm import (
     text,
     toxicity,
 )
-from starloom.llm.learn import bounded_sample, remainder
+from starloom.llm.learn import bounded_sample, remainder, sample_by_label, shares
 
 
 # --- text -------------------------------------------------------------------------------------
@@ -116,6 +117,40 @@ def test_language_by_words_then_by_characters(spark, docs, nothing):
     assert {r.lang_pred for r in language.identify(docs, language.fit(nothing)).collect()} == {"und"}
 
 
+def test_runs_are_of_characters():
+    w = language.tokens(pa.array(["größe aß", "", "日本語"], pa.large_string()))
+    of = language.letters(w, w.start, w.end)
+    words_ = ["größe", "aß", "日本語"]
+    for n in range(1, 5):
+        word, place, hashes = language._runs(w, of, n)
+        expected = [(i, j + n, t[j : j + n]) for i, t in enumerate(words_) for j in range(len(t) - n + 1)]
+        assert list(zip(word, place, strict=True)) == [(i, e) for i, e, _ in expected]
+        alone = language.tokens(pa.array([g for _, _, g in expected], pa.large_string()))
+        assert (hashes == alone.hashes()).all() and len(alone.start) == len(expected)
+
+
+def test_quality_groups_are_of_four_characters():
+    texts = ["größe!", "", "日本", "日本語あx"]
+    w = text.words(pa.array(texts, pa.large_string()), fold=True)
+    slots, bounds = quality.grams(w)[2]
+    groups = [[t[j : j + 4] for j in range(len(t) - 3)] for t in texts]
+    assert list(np.diff(bounds)) == [len(g) for g in groups]
+    flat = text.words(pa.array([g for t in groups for g in t], pa.large_string()), in_word=np.ones(256, bool))
+    assert list(slots) == list((flat.hashes() >> np.uint64(64 - quality.BITS)).astype(np.int64))
+
+
+def test_rare_languages_keep_their_rows(spark):
+    assert shares({"a": 3, "b": 100, "c": 100}, 50) == {"a": 3, "b": 23, "c": 24}
+    assert shares({"a": 3, "b": 4}, 50) == {"a": 3, "b": 4} and shares({}, 5) == {}
+    rows = spark.range(5000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 1000 == 0, "rare").otherwise("much").alias("lang"))
+    sample, labels = sample_by_label(rows, "doc_id", "lang", 500)
+    assert labels == ["much", "rare"]
+    found = {r.lang: r["count"] for r in sample.groupBy("lang").count().collect()}
+    assert found["rare"] == 5 and 400 < found["much"] < 600
+    model = language.fit(rows.withColumn("text", F.col("lang")), max_rows=500)
+    assert model.languages == ["much", "rare"] and len(model.words) == 2
+
+
 def test_a_sample_is_bounded(spark):
     rows = spark.range(5000).withColumnRenamed("id", "doc_id")
     assert 300 < bounded_sample(rows, "doc_id", 500).count() < 700
@@ -385,6 +420,21 @@ def test_links_that_no_leader_has_are_found(spark, nothing):
     assert setsketch.near_duplicates(nothing).count() == 0
 
 
+def test_an_id_of_several_texts_has_the_links_of_each(spark):
+    rng = random.Random(5)
+    a, b, c = ([f"{x}{rng.randrange(10**6)}" for _ in range(200)] for x in "abc")
+
+    def near(w):
+        return " ".join([*w[:-1], "other"])
+
+    a, b, c = (" ".join(x) for x in (a, b, c))
+    rows = [(3, a), (3, b), (9, near(a.split())), (7, near(b.split())), (1, b), (5, c), (5, c), (6, near(c.split())), (None, c), (None, "x y z v")]
+    found = setsketch.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=3, percent=85).collect()
+    assert len(found) == len(rows)
+    assert {(r.doc_id, r.component_id) for r in found if r.doc_id is not None} == {(1, 1), (3, 1), (7, 1), (9, 1), (5, 5), (6, 5)}
+    assert all(r.kept for r in found if r.doc_id in (None, 1, 5)) and not any(r.kept for r in found if r.doc_id in (3, 6, 7, 9))
+
+
 def test_estimates_are_near_the_similarity():
     values = np.unique(text.mix(np.arange(1, 3001, dtype=np.uint64)))
     a, b = values[:2000], values[400:2400]

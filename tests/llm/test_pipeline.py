@@ -57,6 +57,15 @@ def test_texts_with_a_letter_stay_where_no_language_is_known(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 5]
 
 
+def test_texts_that_fit_no_language_go(spark):
+    stage = dict(corpus_pipeline.STAGES)["language_id"]
+    known = {"aa": "alpha beta gamma", "bb": "delta kappa sigma", "cc": "omega theta lambda"}
+    rows = [(i, known[k], k) for i, k in enumerate(sorted(known) * 10)]
+    rows += [(100, "beta", None), (101, "7 ж 7", None), (102, "alpha 1 kappa 2 theta", None), (103, "sigma kappa ж", None)]
+    kept = stage(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), None)
+    assert sorted(r.doc_id for r in kept.collect()) == [*range(30), 100, 103]
+
+
 def test_queries_are_registered():
     names = set(driver.queries())
     assert "pipeline" in names
