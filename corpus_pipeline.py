@@ -1,6 +1,6 @@
 """A corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next.
 
-Language ID drops texts without a letter; near dedup keeps one document of each group of texts that share
+Language ID drops texts without a letter and those in which no language is likelier than all others together; near dedup keeps one document of each group of texts that share
 four fifths of their five-word shingles; substring dedup cuts out passages that an earlier document
 holds; the mixture repeats and drops documents so that sources come in the shares wanted; the
 last stage gives the ids of the SentencePiece model.
@@ -15,12 +15,14 @@ from starloom.llm import language, mixture, pieces, repeats, setsketch
 from starloom.llm.components import broadcast_if_few, stored
 from starloom.session import scratch_path
 
+LEAST_LANGUAGE_SCORE = 0.5  # what the likeliest language must reach, of 1 for all
+
 ORACLE_SQL = None  # trained models and hashed sketches; tests/llm holds the stages against brute force
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops null texts and texts in which no language can be told."""
-    return language.determined(docs, language.fit(docs))
+    """Drops null texts, texts without a letter, and texts whose likeliest language scores below the least score."""
+    return language.determined(docs, language.fit(docs), least=LEAST_LANGUAGE_SCORE)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
