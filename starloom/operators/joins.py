@@ -72,7 +72,8 @@ def left_join(
       tasks.
     * A hot key is split by adaptive execution at run time. Where that is off or too late,
       ``salts`` > 1 splits left keys over that many tasks and repeats their right rows as often:
-      only the keys in ``hot`` (see :func:`find_hot_keys`), or all of them without it.
+      only the keys in ``hot`` (see :func:`find_hot_keys`), or all of them without it. Such a join is always
+      shuffled: Catalyst estimates the right side without its repeats and would broadcast it through the driver.
 
     The numbers depend on the row alone, so a recomputed task sends each row to the same place as
     before. Name only ``spread_by`` columns that the result needs anyway: they are read.
@@ -102,6 +103,8 @@ def left_join(
 
     left_side = left.withColumn("_part", F.when(null_key, row_hash).otherwise(left_number)).drop("_hot")
     right_side = right.withColumn("_right_part", right_number).drop("_hot")
+    if salts > 1:
+        right_side = right_side.hint("merge")
     condition = left_side["_part"] == right_side["_right_part"]
     for left_key, right_key in on.items():
         condition = condition & (left_side[f"`{left_key}`"] == right_side[f"`{right_key}`"])

@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -53,6 +54,18 @@ def test_left_join_random_against_brute_force(spark):
         assert found == brute_left_join(left, right)
 
 
+@pytest.mark.parametrize("keys", [False, True])
+def test_repeated_right_rows_are_never_broadcast(spark, keys):
+    """The estimate knows nothing of the repeats: a right side just below the limit would be several times as large."""
+    left = spark.range(100).select("id", (F.col("id") % 3).alias("k"))
+    right = spark.range(3).select(F.col("id").alias("r"))
+    hot = left.select("k").distinct() if keys else None
+    out = joins.left_join(left, right, {"k": "r"}, spread_by=["id"], salts=4, hot=hot)
+    assert out.count() == 100
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin \[[^\n]*_part", plan)
+
+
 def test_salts_need_columns(spark):
     df = spark.range(1)
     with pytest.raises(ValueError):
