@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.components import stored
+from starloom.llm.text import release
 
 SAMPLE_ROWS = 8192  # the index is learned from at most about so many vectors
 PARTITIONS = 64
@@ -42,6 +43,7 @@ RECALL = 0.96
 BLOCK_ROWS = 16_384
 BLOCK_QUERIES = 4_096
 CLOSE = 1e-9  # products of matrices are off by less
+COMPARED = 128  # rows compared with all others at once while the driver fits: 8 MB a copy with the whole sample
 
 
 def scaled(vectors: np.ndarray) -> np.ndarray:
@@ -67,14 +69,17 @@ def matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
 
 
-def neighbour_lists(x: np.ndarray, degree: int) -> np.ndarray:
-    """The nearest other rows of each row of unit vectors, in blocks."""
-    lists = []
-    for row in range(0, len(x), 1024):
-        near = x[row : row + 1024] @ x.T
-        near[np.arange(len(near)), np.arange(row, row + len(near))] = -2
-        lists.append(np.argpartition(-near, degree - 1, axis=1)[:, :degree])
-    return np.concatenate(lists)
+def neighbour_lists(x: np.ndarray, degree: int, rows: np.ndarray | None = None) -> np.ndarray:
+    """The nearest other rows of each row (or of some) of unit vectors, in blocks."""
+    rows = np.arange(len(x)) if rows is None else rows
+    lists = np.empty((len(rows), degree), np.int64)
+    for at in range(0, len(rows), COMPARED):
+        some = rows[at : at + COMPARED]
+        near = x[some] @ x.T
+        near[np.arange(len(some)), some] = -2
+        # copied: a view of the lists would keep the order of all rows
+        lists[at : at + COMPARED] = np.argpartition(np.negative(near, out=near), degree - 1, axis=1)[:, :degree]
+    return lists
 
 
 def _bisect(nodes: np.ndarray, lists: np.ndarray, rng) -> tuple[np.ndarray, np.ndarray]:
@@ -189,7 +194,7 @@ def fit(vectors: np.ndarray, *, k: int, partitions=PARTITIONS, recall=RECALL) ->
     # the mass that a held-out vector needs to come to the partition of each of its neighbours
     p = router.probabilities(x)
     put = p.argmax(axis=1)
-    near = neighbour_lists(x, min(k, degree))[held]
+    near = neighbour_lists(x, min(k, degree), np.flatnonzero(held))
     mine = p[held]
     own = np.take_along_axis(mine, put[near], axis=1)
     before = np.where(mine[:, None, :] > own[:, :, None], mine[:, None, :], 0).sum(axis=2)
@@ -268,6 +273,8 @@ def nearest(
     found = matrix(sample, width)
     found = found[np.lexsort(found.T)]
     router = fit(found, k=k, partitions=partitions, recall=recall) if len(found) else fit(np.ones((1, width)), k=k)
+    del sample, found
+    release()  # the driver needs its memory for the next search
     shared = spark.sparkContext.broadcast(router)
 
     def place(batches):

@@ -1,6 +1,7 @@
 """Nearest neighbours against brute force: recall, exact scores, ties, copies, rows that take no part, hot partitions."""
 
 import collections
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -118,3 +119,17 @@ def test_large_and_small_components(spark):
     found = search(df)
     assert [v for _, v, _ in found[0]] == [1, 2]
     assert [s for _, _, s in found[0]] == pytest.approx([0.5**0.5, -(0.5**0.5)], abs=1e-15)
+
+
+def test_the_fit_holds_no_square_of_its_sample():
+    x = N.units(np.random.Generator(np.random.PCG64(1)).standard_normal((3000, 8)))
+    tracemalloc.start()
+    lists = N.neighbour_lists(x, 4)
+    some = N.neighbour_lists(x, 4, np.arange(5, 3000, 8))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3000 * 3000 * 8 / 4
+    near = x @ x.T
+    np.fill_diagonal(near, -2)
+    best = np.sort(np.argsort(-near, axis=1)[:, :4], axis=1)
+    assert (np.sort(lists, axis=1) == best).all() and (np.sort(some, axis=1) == best[5::8]).all()
