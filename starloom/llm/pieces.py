@@ -33,6 +33,7 @@ from starloom.llm.text import slices, strings
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 REMEMBERED = 400_000  # segments that a task keeps before it starts anew
+SLICE_BYTES = 1 << 18  # of text at once: decoding takes some fifty bytes for each of it
 
 
 class StreamingViterbi:
@@ -215,7 +216,7 @@ def encode(docs: DataFrame, *, id_col="doc_id", text_col="text", model=MODEL, co
         encoder, decoder = Encoder(pieces), Decoder(pieces)
         for batch in batches:
             carried = [strings(batch[c]) for c in columns]
-            for row, part in slices(batch[text_col]):
+            for row, part in slices(batch[text_col], SLICE_BYTES):
                 texts = part.to_pylist()
                 ids, bounds = encoder.encode(texts)
                 exact = [a == b.encode() for a, b in zip(decoder.decode(ids, bounds), texts, strict=True)]

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -365,6 +366,30 @@ def test_fingerprints_follow_edits(docs, corpus, nothing):
 # --- pieces -----------------------------------------------------------------------------------
 
 
+def test_pieces_of_many_texts_need_little_memory_at_once(spark):
+    """A worker encodes and decodes small parts of a batch, whatever a batch holds."""
+    given = {}
+
+    class Rows:
+        schema = spark.range(0).withColumnRenamed("id", "doc_id").schema
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, each, schema):
+            given["each"] = each
+
+    pieces.encode(Rows())
+    pieces.load(pieces.MODEL)
+    texts = [f"a few words of text {i} and " * 40 for i in range(2000)]  # 2 MB
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(2000)), "text": texts})
+    tracemalloc.start()
+    n = sum(b.num_rows for b in given["each"](iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 2000 and peak < 40e6
+
+
 def test_pieces_are_the_models_and_decode(docs, corpus, nothing):
     library = pieces.load(pieces.MODEL).model
     encoded = pieces.encode(docs)
