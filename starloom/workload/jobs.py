@@ -19,7 +19,7 @@ from starloom.session import scratch_path
 from starloom.sinks.manifest import append_batch, read_batches
 from starloom.workload import facts_dims, frames  # noqa: F401  (registers the SQL used again below)
 from starloom.workload.registry import ORACLE_SQL, query, table
-from starloom.workload.storage import write_log
+from starloom.workload.storage import json_log, write_log
 
 
 def _database(spark, root: str) -> str:
@@ -277,17 +277,16 @@ def _delivered(spark, sf, label: str) -> str:
     """The log in three deliveries by place in the session, of which the second one comes twice; songs of odd size come
     with the last one only. Returns the database."""
     root = scratch_path(spark, label)
-    write_log(spark, sf, f"{root}/all")
     database = _database(spark, root)
-    log = spark.read.text(f"{root}/all").withColumn("item", F.get_json_object("value", "$.itemInSession").cast("int"))
+    item = F.col("itemInSession")
+    place = F.when(item <= 2, 0).when(item.isin(3, 4), 1).when(item > 4, 2)
+    log = json_log(spark, sf).withColumn("delivery", place).where("delivery is not null")
+    log.write.partitionBy("delivery").json(f"{root}/logs", compression="gzip")
     songs = frames.song_metadata(spark, sf)
-    parts = {0: F.col("item") <= 2, 1: F.col("item").isin(3, 4), 2: F.col("item") > 4}
-    for i, chosen in parts.items():
-        log.where(chosen).select("value").write.text(f"{root}/in/{i}/logs")
-        if i != 1:
-            songs.where(F.col("year") % 2 == (1 if i else 0)).write.json(f"{root}/in/{i}/songs")
+    for i in (0, 2):
+        songs.where(F.col("year") % 2 == (1 if i else 0)).write.json(f"{root}/songs/{i}")
     for i in (0, 1, 1, 2):
-        given = {"logs": f"{root}/in/{i}/logs"} | ({"songs": f"{root}/in/{i}/songs"} if i != 1 else {})
+        given = {"logs": f"{root}/logs/delivery={i}"} | ({"songs": f"{root}/songs/{i}"} if i != 1 else {})
         load_delivery(spark, batch=f"delivery {i}", output=f"{root}/out", database=database, **given)
     return database
 
