@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.operators.joins import broadcast_if_small, find_hot_keys, left_join
 from starloom.session import scratch_path
@@ -21,6 +22,18 @@ from starloom.sinks.publish import new_version, switch_partitions
 from starloom.sinks.tables import drop_table, table_location
 
 APART = "_apart"
+BUCKET_BYTES = 64 << 20  # of values; a task that sorts them takes about five times as much
+APART_ROWS = 2_000_000  # a key of so many rows in a bucket twice as large is stored apart in any case
+
+
+def bucket_count(df: DataFrame, least: int = 1) -> int:
+    """Buckets for a table, or the larger of two that share a key, so that one is a task's work whatever their size. Runs a job.
+
+    Values count eight bytes, text its own length as well.
+    """
+    long = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    row = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(f"`{c}`"), F.lit(0)) for c in long], F.lit(8 * len(df.columns)).cast("long"))
+    return max(least, -(-(df.agg(F.sum(row)).first()[0] or 0) // BUCKET_BYTES))
 
 
 def _unknown(columns: Sequence[str]) -> Column:
@@ -45,8 +58,8 @@ def load_bucketed(
     """Load ``df`` into ``table``, stored in ``n_buckets`` buckets by ``key``; returns the rows written.
 
     The table is created at the first load. Later ones must name the same key and buckets; they replace the rows, readers see
-    the old ones or the new. Keys of at least ``hot_rows`` rows, which are counted, are stored apart. Choose buckets
-    so that one is a task's work: about 256 MB, or a few thousand in a very large table.
+    the old ones or the new. Keys of at least ``hot_rows`` rows, which are counted, are stored apart; without it, those that
+    alone would be too much for a task. :func:`bucket_count` tells how many buckets a table needs.
     """
     reserved = [c for c in df.columns if c.lower() == APART]
     if reserved:
@@ -63,11 +76,14 @@ def load_bucketed(
         raise ValueError(f"{table} is stored by {bucket_spec(spark, table)}")
     elif [(f.name, f.dataType) for f in spark.table(table).drop(APART).schema] != [(f.name, f.dataType) for f in df.schema]:
         raise ValueError(f"{table} has other columns")
+    bucket = F.pmod(F.hash(*[F.col(f"`{c}`") for c in key]), F.lit(n_buckets))
+    if hot_rows is None:
+        known = df.where(~_unknown(key)).groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+        hot_rows = APART_ROWS if (known.agg(F.max("n")).first()[0] or 0) > 2 * APART_ROWS else None
     marked = _marked(df, key, hot_rows)
     row = F.xxhash64(*[f"`{c}`" for c, t in df.dtypes if not t.startswith("map")])
     # One task writes a bucket, as one file; rows stored apart go to all tasks, by their own hash.
-    bucket = F.pmod(F.hash(*[F.col(f"`{c}`") for c in key]), F.lit(n_buckets)).cast("long")
-    laid_out = marked.repartition(n_buckets, F.when(F.col(APART), F.pmod(row, F.lit(n_buckets))).otherwise(bucket))
+    laid_out = marked.repartitionById(n_buckets, F.when(F.col(APART), F.pmod(row, F.lit(n_buckets))).otherwise(bucket).cast("int"))
     written = Observation()
     counted = laid_out.observe(written, F.count(F.lit(1)).alias("n"))
     folder = new_version(table_location(spark, table))

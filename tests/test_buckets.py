@@ -91,3 +91,23 @@ def test_tables_that_do_not_fit(spark, path, database):
     load_bucketed(narrow, "buckets.n", ["rk"], 4, location=f"{path}/n")
     with pytest.raises(ValueError, match="other types"):
         bucketed_left_join(spark, "buckets.l", "buckets.n", {"k": "rk"}, spread_by=["id"])
+
+
+def test_buckets_follow_the_size(spark, path, database, monkeypatch):
+    left, _ = frames(spark)
+    monkeypatch.setattr(buckets, "BUCKET_BYTES", 2000)
+    assert buckets.bucket_count(left) == 16 and buckets.bucket_count(left, least=20) == 20
+    named = left.select("id", F.when(F.col("id") < 1000, "four").alias("name"))
+    assert buckets.bucket_count(named) == 18 and buckets.bucket_count(left.limit(0)) == 1
+    wide = left.select("id", F.col("id").alias("k"))
+    load_bucketed(wide, "buckets.w", ["k"], 16, location=f"{path}/w")
+    written = spark.table("buckets.w").groupBy(F.input_file_name()).count().collect()
+    assert len(written) == 16 and max(r["count"] for r in written) < 200  # a task each, none has two buckets
+
+
+def test_a_key_too_large_for_a_task_is_stored_apart_in_any_case(spark, path, database, rows, monkeypatch):
+    monkeypatch.setattr(buckets, "APART_ROWS", 300)
+    left, right = loaded(spark, path)
+    assert {r.k for r in spark.table("buckets.l").where(APART).select("k").distinct().collect()} == {1, None}
+    found = bucketed_left_join(spark, "buckets.l", "buckets.r", {"k": "rk"}, spread_by=["id"])
+    assert rows(found) == rows(left.join(right, left["k"] == right["rk"], "left"))
