@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.values import recode, to_int
+from starloom.operators.joins import broadcast_if_small
+from starloom.session import scratch_path
 
 
 def cast_columns(
@@ -34,6 +36,18 @@ def drop_rows_missing_all(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.dropna("all", subset=list(columns))
 
 
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """The distinct rows, where few repeat. Runs a job that shuffles a number for each row; rows whose number is no other's stay
+    where they are, and only the others are shuffled in whole. Not for columns of maps or doubles.
+    """
+    marked = df.withColumn("_row", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    path = scratch_path(df.sparkSession, "repeated-rows")
+    marked.groupBy("_row").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_row").write.parquet(path)
+    again = broadcast_if_small(df.sparkSession.read.schema("_row bigint").parquet(path))
+    once = marked.join(again, "_row", "left_anti").select(*[f"`{c}`" for c in df.columns])
+    return once.union(marked.join(again, "_row", "left_semi").select(*[f"`{c}`" for c in df.columns]).distinct())
+
+
 def latest_per_key(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """One row per key: the greatest by ``order_by``, ties broken by the other columns in turn.
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.operators.clean import latest_per_key
+from starloom.operators.clean import distinct_rows, latest_per_key
 from starloom.operators.rejects import split_rejects
 from starloom.plans import songplays as music
 from starloom.schemas import CONTRACTS, SONG_JSON, TableContract
@@ -109,7 +109,7 @@ def load_delivery(
         plays = music.plays(records(read_checked_log(spark, logs), "log")).withColumns(month_of("ts"))
         touched |= {tuple(r) for r in plays.select(*MONTHS).distinct().collect()}
         kept = table(PLAYS_SO_FAR)
-        merged = in_months(kept, list(touched)).union(plays.select(*kept.columns)).distinct()
+        merged = distinct_rows(in_months(kept, list(touched)).union(plays.select(*kept.columns)))
         load(merged, PLAYS_SO_FAR, "overwrite_partitions")
         seen = plays.where(F.col("user_id").isNotNull()).select(*_USERS.fieldNames(), "ts")
         users = table(USERS_SO_FAR)
@@ -121,9 +121,9 @@ def load_delivery(
     facts["songplays"] = load(fact.withColumns(month_of("start_time")), CONTRACTS["songplays"], "overwrite_partitions") if months else 0
     if logs is not None:
         load(table(USERS_SO_FAR), CONTRACTS["users"])
-        times = music.build_time(in_months(table(CONTRACTS["songplays"]), months))
-        before = table(CONTRACTS["time"])
-        load(before.union(times.select(*before.columns)).distinct(), CONTRACTS["time"])
+        # the moments alone are shuffled, once; their parts follow from them
+        moments = table(CONTRACTS["time"]).select("start_time").union(in_months(table(CONTRACTS["songplays"]), months).select("start_time"))
+        load(music.build_time(moments), CONTRACTS["time"])
     if songs is not None:
         load(music.build_songs(known), CONTRACTS["songs"])
         load(music.build_artists(known), CONTRACTS["artists"])

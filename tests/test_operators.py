@@ -344,3 +344,16 @@ def test_contract_checks(spark, rows):
         "max_length(artist_id)": (0, True),
         "unique(staging_song_id)": (1, False),
     }
+
+
+def test_distinct_rows_shuffles_whole_rows_only_where_they_repeat(spark, rows):
+    schema = "a string, b string, c decimal(18,5)"
+    some = [("x", None, None), (None, "x", None), ("x", None, None), ("y", "z", None), (None, None, None), (None, None, None)]
+    df = spark.createDataFrame(some, schema)
+    assert rows(clean.distinct_rows(df)) == rows(df.distinct())
+    assert clean.distinct_rows(df.limit(0)).count() == 0
+    many = spark.range(1000).select("id", F.lit("a text").alias("text"))
+    plan = clean.distinct_rows(many)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1  # over the repeated rows, which are picked first
+    whole = plan[plan.index("Aggregate"):]
+    assert "LeftSemi" in whole

@@ -645,3 +645,10 @@ def test_sized_conf():
     large = sized_conf(10**14, 2 * 10**13, 4000)
     assert large["spark.sql.shuffle.partitions"] == "50000"
     assert int(large["spark.sql.files.maxPartitionBytes"]) == 500_000_000
+
+
+def test_the_log_is_written_compressed(spark, path):
+    storage.write_log(spark, "/root/testdata/sf0.001", f"{path}/log")
+    names = [p.name for p in Path(f"{path}/log").glob("part-*")]
+    assert names and all(n.endswith(".json.gz") for n in names)
+    assert read_log_events(spark, f"{path}/log").count() == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
