@@ -17,6 +17,7 @@ from starloom.sinks.tables import clean_table, conform, create_table, drop_table
 from starloom.sources import files
 from starloom.sources.logs import log_columns, read_log_events, read_songs
 from starloom.streaming.incremental import read_staged, stage_new_files
+from starloom.workload import storage
 
 
 def put(folder, name, text):
